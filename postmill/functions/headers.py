@@ -6,8 +6,6 @@ text form (``", "``) is produced only at the sinks, by :func:`joined`.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +16,10 @@ SUBJECT_PREFIX = r"^\s*((?:re|fwd?|fw):)"
 IDENTIFIER = r"<([^<>\s]+)>"
 CHARSET = r"charset\s*=\s*([^\s;]+)"
 FILETIME_EPOCH_MICROS = 11_644_473_600_000_000  # 1601-01-01 to 1970-01-01
+DATE = (
+    r"^\s*(?:[A-Za-z]+,?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*[\s-]+(\d{2,4})\s+"
+    r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[A-Za-z]{1,4})?(?s:.*)$"
+)
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 ZONE_OFFSETS = {
     "UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000",
@@ -38,7 +40,7 @@ def joined(values: Column) -> Column:
 
 def non_empty(values: Column) -> Column:
     """An empty array means "absent"."""
-    return F.when(F.size(values) > 0, values)
+    return F.nullif(values, F.array().cast("array<string>"))
 
 
 def unfold(header: Column) -> Column:
@@ -95,31 +97,27 @@ def rfc2822_to_timestamp(date: Column) -> Column:
     Weekday, seconds and a trailing comment are optional; two-digit years follow the usual pivot
     (69-99 → 19xx). The offset is applied as an interval, so the session zone plays no part.
     """
-    pattern = (
-        r"^\s*(?:[A-Za-z]+,?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*[\s-]+(\d{2,4})\s+"
-        r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[A-Za-z]{1,4})?"
-    )
-    part = lambda i: F.regexp_extract(date, pattern, i)
+    fields = F.when(date.rlike(DATE), F.split(F.regexp_replace(date, DATE, "$1|$2|$3|$4|$5|$6|$7"), r"\|"))
+    # a one-element transform binds the fields to a variable, so the date is matched once
+    return F.get(F.transform(F.array(fields), _timestamp_of), F.lit(0))
+
+
+def _timestamp_of(fields: Column) -> Column:
+    part = lambda i: F.get(fields, F.lit(i))
     number = lambda i: F.nullif(part(i), F.lit("")).cast("int")
-    year = number(3)
     year = (
-        F.when(F.length(part(3)) == 4, year)
-        .when(year >= 69, year + 1900)
-        .when(F.length(part(3)) == 2, year + 2000)
-    )
-    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part(2))), F.lit(0)).cast("int")
-    seconds = F.coalesce(number(6), F.lit(0)).cast("decimal(16,6)")
-    local = F.try_make_timestamp_ntz(year, month, number(1), number(4), number(5), seconds)
-    named = reduce(
-        lambda acc, zone: F.when(F.upper(part(7)) == zone, ZONE_OFFSETS[zone]).otherwise(acc),
-        reversed(ZONE_OFFSETS),
-        F.when(part(7).rlike(r"^[+-]\d{4}$"), part(7)).otherwise("+0000"),
-    )
-    sign = F.when(F.substring(named, 1, 1) == "-", -1).otherwise(1)
-    offset = F.make_dt_interval(
-        F.lit(0), sign * F.substring(named, 2, 2).cast("int"), sign * F.substring(named, 4, 2).cast("int"), F.lit(0)
+        F.when(F.length(part(2)) == 4, number(2))
+        .when(number(2) >= 69, number(2) + 1900)
+        .when(F.length(part(2)) == 2, number(2) + 2000)
     )
-    return local - offset
+    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part(1))), F.lit(0)).cast("int")
+    seconds = F.coalesce(number(5), F.lit(0)).cast("decimal(16,6)")
+    local = F.try_make_timestamp_ntz(year, month, number(0), number(3), number(4), seconds)
+    names = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
+    zone = F.coalesce(F.when(part(6).rlike(r"^[+-]"), part(6)), F.try_element_at(names, F.upper(part(6))), F.lit("+0000"))
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    hours, minutes = F.substring(zone, 2, 2).cast("int"), F.substring(zone, 4, 2).cast("int")
+    return local - F.make_dt_interval(F.lit(0), sign * hours, sign * minutes, F.lit(0))
 
 
 def received_to_timestamp(received: Column) -> Column:

@@ -21,23 +21,24 @@ def connected_components(edges: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
     open_edges = checkpointed(edges.select("src", "dst").where("src <> dst").distinct())
     ends = F.explode(F.array(F.struct(F.col("src").alias("id")), F.struct(F.col("dst").alias("id"))))
     labels = open_edges.select(ends.alias("e")).select("e.id").distinct().withColumn("component", F.col("id"))
-    while not open_edges.isEmpty():
+    left = open_edges.count()
+    bound = 2 * left  # no frame below has more rows
+    while left:
         both = open_edges.unionByName(open_edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         step = both.groupBy("src").agg(F.min("dst").alias("_near"))
-        step = step.select(F.col("src").alias("node"), F.least("src", "_near").alias("target"))
-        step = checkpointed(_follow(_follow(step, floor), floor))
-        labels = checkpointed(_rename(labels, "component", step, ["id"], floor))
-        renamed = _rename(_rename(open_edges, "src", step, ["dst"], floor), "dst", step, ["src"], floor)
+        step = checkpointed(step.select(F.col("src").alias("node"), F.least("src", "_near").alias("target")))
+        near = _rename(step, "target", step, ["node"], floor, 2 * left)
+        step = checkpointed(_rename(near, "target", step, ["node"], floor, 2 * left))
+        labels = checkpointed(_rename(labels, "component", step, ["id"], floor, bound))
+        renamed = _rename(open_edges, "src", step, ["dst"], floor, left)
+        renamed = _rename(renamed, "dst", step, ["src"], floor, left)
         open_edges = checkpointed(renamed.where("src <> dst").distinct())
+        left = open_edges.count()
     return labels
 
 
-def _follow(step: DataFrame, floor: int) -> DataFrame:
-    return _rename(step, "target", step, ["node"], floor)
-
-
-def _rename(frame: DataFrame, column: str, step: DataFrame, spread: list[str], floor: int) -> DataFrame:
+def _rename(frame: DataFrame, column: str, step: DataFrame, spread: list[str], floor: int, rows: int) -> DataFrame:
     """Replace the column's nodes by what they point at."""
     targets = step.select(F.col("node").alias(column), F.col("target").alias("_new"))
-    found = lookup(frame, targets, column, spread, floor=floor)
+    found = lookup(frame, targets, column, spread, floor=floor, rows=rows)
     return found.withColumn(column, F.coalesce("_new", column)).drop("_new")

@@ -241,7 +241,9 @@ def summaries(df: DataFrame, key: str, text: str, sentences: int = 3) -> DataFra
     The text is shuffled once by ``key`` (unique per row); everything after that groups and ranks
     within the same partitions, so no exploded word crosses the network.
     """
-    parts = F.filter(F.transform(F.split(text, r"[.!?]+"), F.trim), lambda s: s != "")
+    parts = F.filter(
+        F.transform(F.split(text, r"[.!?]+"), lambda s: F.trim(F.regexp_replace(s, r"\s+", " "))), lambda s: s != ""
+    )
     base = df.select(key, F.coalesce(parts, F.array().cast("array<string>")).alias("_parts")).repartition(key)
     words = base.select(key, F.posexplode("_parts").alias("_pos", "_part")).select(
         key, "_pos", F.explode(tokens(F.col("_part"))).alias("_word")

@@ -28,14 +28,18 @@ def lookup(
     spread: Sequence[str],
     how: str = "left",
     floor: int = HOT_FLOOR,
+    rows: int | None = None,
 ) -> DataFrame:
     """``facts`` joined with ``dim`` on ``key``; ``dim`` has one row per key.
 
     Rows of the hot keys meet their (at most ``HOT_KEYS``) ``dim`` rows by broadcast. The rest is an
     ordinary join whose strategy Spark picks by size; null and hot keys are replaced there by values
     that match nothing and are spread by a hash of the ``spread`` columns, so they load no single
-    partition. ``how`` is ``left``, ``inner`` or ``left_semi``.
+    partition. ``how`` is ``left``, ``inner`` or ``left_semi``. Where the caller knows that ``facts``
+    has fewer ``rows`` than the floor, no key can be hot and a plain join is enough.
     """
+    if rows is not None and rows < floor:
+        return facts.join(dim, key, how).select(*facts.columns, *[c for c in dim.columns if c != key and how != "left_semi"])
     values = [c for c in dim.columns if c != key]
     packed = dim.select(F.col(key), F.struct(F.lit(True).alias("_found"), *values).alias("_dim"))
     hot = packed.join(F.broadcast(hot_keys(facts, key, floor)), key, "left_semi")

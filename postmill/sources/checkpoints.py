@@ -1,8 +1,9 @@
-"""Named snapshots of frames, and the folder Spark's own checkpoints go to."""
+"""Named snapshots of frames, and intermediate tables that cut a plan's lineage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +28,16 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and cut its lineage there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """The frame, written to the shared folder and read back.
+
+    This cuts the lineage like ``df.checkpoint()``, so a lost executor costs no earlier step. As a
+    table it also has a known size, by which later joins pick their strategy, and it carries no
+    constraints of the plan that made it. The files stay until the folder is cleared, since the
+    returned frame is read lazily.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/postmill-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Checkpoints:

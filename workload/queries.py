@@ -442,13 +442,13 @@ def build_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def echo_model() -> scoring.BatchModel:
-    return lambda prompts: [f"{len(p)}: {p.upper()}" for p in prompts]
+    return lambda prompts: [f"{len(p)}: {p}" for p in prompts]
 
 
 def async_echo_model() -> scoring.AsyncModel:
     async def answer(prompt: str) -> str:
         await asyncio.sleep(0)
-        return f"{len(prompt)}: {prompt.upper()}"
+        return f"{len(prompt)}: {prompt}"
 
     return answer
 

@@ -88,8 +88,8 @@ SELECT {key}, {first} AS {out} FROM best WHERE r = 1"""
 
 
 LETTER_PAIRS = (
-    "list_filter(list_transform(range(1, length(text)), lambda i: substr(lower(text), i, 2)),"
-    " lambda g: regexp_full_match(g, '\\p{L}{2}'))"
+    "list_filter(list_transform(list_zip(string_split(lower(text), ''), string_split(lower(text), '')[2:]),"
+    " lambda z: z[1] || coalesce(z[2], '')), lambda g: regexp_full_match(g, '\\p{L}{2}'))"
 )
 
 
@@ -287,7 +287,7 @@ SELECT message_id, e.t AS entity_type, e.v AS entity_value FROM ascii LEFT JOIN
     "entities_json": """
 WITH e AS (SELECT event_id, event_id % 6 AS kind, event_type, CAST(user_id AS VARCHAR) AS u, format('{:.2f}', value) AS v FROM events)
 SELECT event_id, 'Full Name' AS entity_type, 'user ' || u AS entity_value FROM e WHERE kind = 0
-UNION ALL SELECT event_id, 'Transaction Amount', CAST(CAST(v AS DECIMAL(18,2)) AS VARCHAR) FROM e WHERE kind = 0
+UNION ALL SELECT event_id, 'Transaction Amount', regexp_replace(v, '\\.?0+$', '') FROM e WHERE kind = 0
 UNION ALL SELECT event_id, 'Transaction Amount', v FROM e WHERE kind = 0
 UNION ALL SELECT event_id, 'IBAN', 'X' || u FROM e WHERE kind = 1
 UNION ALL SELECT event_id, NULL, NULL FROM e WHERE kind IN (2, 3, 4)
@@ -296,8 +296,8 @@ UNION ALL SELECT event_id, 'Mobile Number', event_type FROM e WHERE kind = 5""",
     "build_prompt": "SELECT doc_id, {} || text || {} AS prompt FROM documents".format(
         *map(quoted, scoring.SPAM_PROMPT.split("{text}"))
     ),
-    "invoke_model": "SELECT doc_id, source, length(text) || ': ' || upper(text) AS response FROM documents",
-    "invoke_concurrently": "SELECT doc_id, source, length(text) || ': ' || upper(text) AS response FROM documents",
+    "invoke_model": "SELECT doc_id, source, length(text) || ': ' || text AS response FROM documents",
+    "invoke_concurrently": "SELECT doc_id, source, length(text) || ': ' || text AS response FROM documents",
     "spam_flag": bayes(
         "SELECT CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END AS label, text FROM documents JOIN labels USING (doc_id)",
         "SELECT doc_id, text FROM documents",
@@ -312,7 +312,7 @@ UNION ALL SELECT event_id, 'Mobile Number', event_type FROM e WHERE kind = 5""",
     "products": shares(scoring.PRODUCTS, False, "product"),
     "summaries": f"""
 WITH split AS (
-  SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: trim(s)), lambda s: s <> '') AS p
+  SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: trim(regexp_replace(s, '\\s+', ' ', 'g'))), lambda s: s <> '') AS p
   FROM documents),
 parts AS (SELECT doc_id, unnest(p) AS s, unnest(range(0, len(p))) AS pos FROM split),
 words AS (SELECT doc_id, pos, unnest({tokens("s")}) AS w FROM parts),
