@@ -16,6 +16,7 @@ SUBJECT_PREFIX = r"^\s*((?:re|fwd?|fw):)"
 IDENTIFIER = r"<([^<>\s]+)>"
 CHARSET = r"charset\s*=\s*([^\s;]+)"
 FILETIME_EPOCH_MICROS = 11_644_473_600_000_000  # 1601-01-01 to 1970-01-01
+EMPTY = "cast(array() as array<string>)"
 DATE = (
     r"^\s*(?:[A-Za-z]+,?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*[\s-]+(\d{2,4})\s+"
     r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[A-Za-z]{1,4})?(?s:.*)$"
@@ -27,20 +28,19 @@ ZONE_OFFSETS = {
     "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
 }
 
-_QUOTED = r'"[^"\\]*(?:\\.[^"\\]*)*"'
-_COMMENT = r"\([^()]*\)"
-_GROUP_LABEL = r'(^|[,;])\s*[^,;:<>@"]*:'
-_ROUTE_OR_SPACE = r"\s+|^@[^:]*:"
-
-
 def joined(values: Column) -> Column:
     """``array<string>`` → the ``", "``-joined text form; null stays null."""
     return F.array_join(values, ", ")
 
 
+def bound(value: Column, function: str) -> Column:
+    """Apply a SQL function ``x -> …`` to a value, which is computed once however often x occurs."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(function)), F.lit(0))
+
+
 def non_empty(values: Column) -> Column:
     """An empty array means "absent"."""
-    return F.nullif(values, F.array().cast("array<string>"))
+    return F.nullif(values, F.expr(EMPTY))
 
 
 def unfold(header: Column) -> Column:
@@ -49,24 +49,23 @@ def unfold(header: Column) -> Column:
 
 
 def parse_addresses(header: Column) -> Column:
-    """Address list → lower-case addr-specs in order.
+    """Address list → lower-case addr-specs in order; null without an ``@``.
 
-    Quoted display names and comments are masked first, so commas inside them do not split.
-    A piece in angle brackets yields its content, another piece its first word that holds an ``@``
-    (or its first word). Not covered: nested comments and quoted local parts.
+    Quoted display names and comments are masked first, so commas inside them do not split; then
+    group labels go. A piece in angle brackets yields its content without route and blanks, another
+    piece its first word that holds an ``@`` (or its first word). Not covered: nested comments and
+    quoted local parts.
     """
-    text = F.lower(unfold(header))
-    text = F.regexp_replace(F.regexp_replace(text, _QUOTED, " "), _COMMENT, " ")
-    text = F.translate(F.regexp_replace(text, _GROUP_LABEL, "$1"), ";", ",")
-
-    def spec(piece: Column) -> Column:
-        bracket = F.regexp_replace(F.regexp_extract(piece, r"<([^<>]*)>", 1), _ROUTE_OR_SPACE, "")
-        with_at = F.regexp_extract(piece, r"\S*@\S*", 0)
-        word = F.regexp_extract(piece, r"\S+", 0)
-        return F.when(piece.contains("<"), bracket).when(with_at != "", with_at).otherwise(word)
-
-    specs = F.filter(F.transform(F.split(text, ","), spec), lambda s: s != "")
-    return F.when(header.contains("@"), non_empty(specs))
+    unfolded = r"lower(regexp_replace(h, r'\r?\n[ \t]*', ' '))"
+    unquoted = rf"""regexp_replace({unfolded}, r'"[^"\\]*(?:\\.[^"\\]*)*"', ' ')"""
+    uncommented = rf"regexp_replace({unquoted}, r'\([^()]*\)', ' ')"
+    ungrouped = rf"""regexp_replace({uncommented}, r'(^|[,;])\s*[^,;:<>@"]*:', '$1')"""
+    spec = r"""
+        p -> case when contains(p, '<') then regexp_replace(regexp_extract(p, r'<([^<>]*)>', 1), r'\s+|^@[^:]*:', '')
+                  when contains(p, '@') then regexp_extract(p, r'\S*@\S*', 0)
+                  else regexp_extract(p, r'\S+', 0) end"""
+    pieces = f"transform(split(translate({ungrouped}, ';', ','), ','), {spec})"
+    return non_empty(bound(header, f"h -> case when contains(h, '@') then filter({pieces}, s -> s <> '') end"))
 
 
 def parse_identifiers(header: Column) -> Column:
@@ -87,8 +86,8 @@ def subject_prefix(subject: Column) -> Column:
 
 def filetime_to_timestamp(ticks: Column) -> Column:
     """100-ns ticks since 1601-01-01 → UTC timestamp; 0 and null give null."""
-    micros = F.floor(ticks / F.lit(10).cast("decimal(20,0)")).cast("bigint") - F.lit(FILETIME_EPOCH_MICROS)
-    return F.when(ticks != 0, micros_to_ntz(micros))
+    micros = bound(ticks, f"t -> case when t <> 0 then cast(floor(t / 10BD) as bigint) - {FILETIME_EPOCH_MICROS} end")
+    return micros_to_ntz(micros)
 
 
 def rfc2822_to_timestamp(date: Column) -> Column:
@@ -97,27 +96,27 @@ def rfc2822_to_timestamp(date: Column) -> Column:
     Weekday, seconds and a trailing comment are optional; two-digit years follow the usual pivot
     (69-99 → 19xx). The offset is applied as an interval, so the session zone plays no part.
     """
-    fields = F.when(date.rlike(DATE), F.split(F.regexp_replace(date, DATE, "$1|$2|$3|$4|$5|$6|$7"), r"\|"))
-    # a one-element transform binds the fields to a variable, so the date is matched once
-    return F.get(F.transform(F.array(fields), _timestamp_of), F.lit(0))
-
-
-def _timestamp_of(fields: Column) -> Column:
-    part = lambda i: F.get(fields, F.lit(i))
-    number = lambda i: F.nullif(part(i), F.lit("")).cast("int")
-    year = (
-        F.when(F.length(part(2)) == 4, number(2))
-        .when(number(2) >= 69, number(2) + 1900)
-        .when(F.length(part(2)) == 2, number(2) + 2000)
+    months = ", ".join(f"'{m}'" for m in MONTHS)
+    zones = ", ".join(f"'{name}', '{offset}'" for name, offset in ZONE_OFFSETS.items())
+    fields = bound(date, f"d -> case when d rlike r'{DATE}' then split(regexp_replace(d, r'{DATE}', '$1|$2|$3|$4|$5|$6|$7'), '[|]') end")
+    typed = bound(
+        fields,
+        f"""f -> named_struct(
+            'year', cast(f[2] as int),
+            'digits', length(f[2]),
+            'month', cast(nullif(array_position(array({months}), lower(f[1])), 0) as int),
+            'day', cast(f[0] as int), 'hour', cast(f[3] as int), 'minute', cast(f[4] as int),
+            'second', cast(case when f[5] = '' then '0' else f[5] end as decimal(16,6)),
+            'zone', coalesce(case when f[6] rlike '^[+-]' then f[6] end, try_element_at(map({zones}), upper(f[6])), '+0000'))""",
+    )
+    return bound(
+        typed,
+        """t -> try_make_timestamp_ntz(
+            case when t.digits > 2 then t.year when t.year >= 69 then t.year + 1900 else t.year + 2000 end,
+            t.month, t.day, t.hour, t.minute, t.second)
+          - make_dt_interval(0, cast(concat(left(t.zone, 1), substr(t.zone, 2, 2)) as int),
+                                cast(concat(left(t.zone, 1), substr(t.zone, 4, 2)) as int), 0)""",
     )
-    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part(1))), F.lit(0)).cast("int")
-    seconds = F.coalesce(number(5), F.lit(0)).cast("decimal(16,6)")
-    local = F.try_make_timestamp_ntz(year, month, number(0), number(3), number(4), seconds)
-    names = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
-    zone = F.coalesce(F.when(part(6).rlike(r"^[+-]"), part(6)), F.try_element_at(names, F.upper(part(6))), F.lit("+0000"))
-    sign = F.when(zone.startswith("-"), -1).otherwise(1)
-    hours, minutes = F.substring(zone, 2, 2).cast("int"), F.substring(zone, 4, 2).cast("int")
-    return local - F.make_dt_interval(F.lit(0), sign * hours, sign * minutes, F.lit(0))
 
 
 def received_to_timestamp(received: Column) -> Column:
@@ -126,26 +125,16 @@ def received_to_timestamp(received: Column) -> Column:
 
 
 def header_map(block: Column) -> Column:
-    """Header block → ``map<string,string>`` with lower-cased names; the last duplicate wins."""
-    head = F.split(block, r"\r?\n\r?\n", 2)[0]
-    lines = F.filter(F.split(unfold_block(head), r"\r?\n"), lambda s: s.rlike(r"^[^\s:]+:"))
-    entries = F.reverse(
-        F.transform(
-            lines,
-            lambda s: F.struct(
-                F.lower(F.substring_index(s, ":", 1)).alias("key"),
-                F.regexp_replace(s, r"^[^:]*:[ \t]*", "").alias("value"),
-            ),
-        )
-    )
-    names = F.transform(entries, lambda e: e["key"])
-    last = F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)
-    return F.map_from_entries(last)
+    """Header block → ``map<string,string>`` with lower-cased names; the last duplicate wins.
 
-
-def unfold_block(block: Column) -> Column:
-    """Join continuation lines (those that start with a blank) inside a header block."""
-    return F.regexp_replace(block, r"\r?\n[ \t]+", " ")
+    The block ends at the first blank line; continuation lines are joined to theirs.
+    """
+    head = r"regexp_replace(split(b, r'\r?\n\r?\n', 2)[0], r'\r?\n[ \t]+', ' ')"
+    lines = rf"filter(split({head}, r'\r?\n'), l -> l rlike r'^[^\s:]+:')"
+    entry = r"l -> struct(lower(substring_index(l, ':', 1)) as key, regexp_replace(l, r'^[^:]*:[ \t]*', '') as value)"
+    entries = bound(block, f"b -> reverse(transform({lines}, {entry}))")
+    last = bound(entries, "es -> filter(es, (e, i) -> array_position(transform(es, x -> x.key), e.key) = i + 1)")
+    return F.map_from_entries(last)
 
 
 def from_name(header: Column) -> Column:
@@ -165,10 +154,9 @@ def sender_domain(from_addresses: Column) -> Column:
 
 def all_domains(*address_lists: Column) -> Column:
     """Sorted distinct domains over the given address lists, blanks dropped."""
-    empty = F.array().cast("array<string>")
-    every = F.concat(*[F.coalesce(c, empty) for c in address_lists])
-    found = F.filter(F.transform(every, domain_of), lambda d: d != "")
-    return F.array_sort(F.array_distinct(found))
+    every = F.flatten(F.array_compact(F.array(*address_lists)))
+    found = "filter(transform(l, a -> coalesce(get(split(trim(a), '@'), 1), '')), d -> d <> '')"
+    return F.coalesce(bound(every, f"l -> array_sort(array_distinct({found}))"), F.expr(EMPTY))
 
 
 def is_internal(domain: Column, pattern: str) -> Column:
