@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 # The seven line-start markers after which a mail is quoted text or a signature.
 CUT_MARKERS = (
-    r"^-- \n.*",
-    r"^--\n.*",
-    r"^-----Original Message-----.*$",
-    r"^________________________________.*$",
-    r"^On .* wrote:.*",
-    r"^From: .*",
-    r"^Sent from my iPhone.*$",
+    r"-- \n",
+    r"--\n",
+    r"-----Original Message-----",
+    r"________________________________",
+    r"On .* wrote:",
+    r"From: ",
+    r"Sent from my iPhone",
 )
-# Separators that collapse to one space (pipes and hyphens are part of the set).
-SEPARATORS = r"[\n\r\t| -]+"
+# Separators of which a run becomes one space (pipes and hyphens are part of the set).
+SEPARATORS = "\n\r\t| -"
 # The two caution banners, as patterns; the first names the receiving organisation.
 OUTSIDE_BANNER = (
     "CAUTION: This email originated from outside {organisation}. Do not click any links or open "
@@ -83,11 +83,11 @@ def clean_text(text: Column, banner_patterns: Sequence[str] | None = None) -> Co
     Each marker removes everything from its line to the end, and only a cut text is trimmed.
     ``d`` keeps ``\\n`` the only line end, so a lone CR or U+2028 starts no line.
     """
-    pattern = "(?dms)" + "|".join(CUT_MARKERS)
+    pattern = "(?dms)^(?:" + "|".join(CUT_MARKERS) + ").*"
     body = F.coalesce(text, F.lit(""))
     cut = F.regexp_replace(body, pattern, "")
     kept = F.when(F.length(cut) < F.length(body), trim_blanks(cut)).otherwise(body)
-    clean = F.regexp_replace(kept, SEPARATORS, " ")
+    clean = F.regexp_replace(F.translate(kept, SEPARATORS, " " * len(SEPARATORS)), " {2,}", " ")
     for banner in banners() if banner_patterns is None else banner_patterns:
         clean = F.regexp_replace(clean, banner, "")
     return F.when(clean.rlike(rf"(?U)^{_BLANK}*$"), F.lit("")).otherwise(clean)
@@ -120,5 +120,5 @@ def ngrams(words: Column, n: int) -> Column:
     """
     if n == 1:
         return words
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
+    starts = F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+    return F.transform(starts, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, n)]))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import email
+import re
 from collections.abc import Iterator
-from email import policy
+from email import message_from_bytes
+from email.errors import HeaderParseError
+from email.header import decode_header, make_header
+from email.message import Message
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,10 +18,19 @@ from postmill.functions import headers as H
 from postmill.schemas import MAIL
 
 # Raw parts of one mail as the Python worker returns them; all further parsing is native.
-PARTS = [
-    "subject", "date", "received", "message_id_header", "in_reply_to", "references_header", "from_header",
-    "to_header", "cc_header", "bcc_header", "plain_text", "html", "parse_error",
-]
+HEADERS = {
+    "subject": "Subject",
+    "date": "Date",
+    "received": "Received",
+    "message_id_header": "Message-ID",
+    "in_reply_to": "In-Reply-To",
+    "references_header": "References",
+    "from_header": "From",
+    "to_header": "To",
+    "cc_header": "Cc",
+    "bcc_header": "Bcc",
+}
+PARTS = [*HEADERS, "plain_text", "html", "parse_error"]
 PARTS_TYPE = StructType([StructField(name, StringType()) for name in PARTS])
 FALLBACK_CHARSETS = ["utf-8", "windows-1252"]
 
@@ -30,34 +42,40 @@ def read_mail_files(spark: SparkSession, paths: str | list[str], glob: str = "*.
     return reader.load(paths).select("path", "modificationTime", "content")
 
 
+def _header(mail: Message, name: str) -> str | None:
+    """A header with folding undone and MIME words decoded, all chunks joined."""
+    value = mail[name]
+    return None if value is None else _decode_words(re.sub(r"\r?\n[ \t]*", " ", str(value)))
+
+
+def _decode_words(value: str) -> str:
+    if "=?" not in value:
+        return value
+    try:
+        return str(make_header(decode_header(value)))
+    except (LookupError, ValueError, HeaderParseError):
+        return value
+
+
+def _text(part: Message) -> str:
+    return (part.get_payload(decode=True) or b"").decode(errors="ignore")
+
+
 def _parts_of(raw: bytes) -> dict[str, str | None]:
     """Headers and concatenated bodies of one mail; what cannot be parsed is named in ``parse_error``."""
     out: dict[str, str | None] = dict.fromkeys(PARTS)
     try:
-        mail = email.message_from_bytes(raw, policy=policy.default)
-        header = lambda name: None if mail[name] is None else str(mail[name])
-        out |= {
-            "subject": header("Subject"),
-            "date": header("Date"),
-            "received": header("Received"),
-            "message_id_header": header("Message-ID"),
-            "in_reply_to": header("In-Reply-To"),
-            "references_header": header("References"),
-            "from_header": header("From"),
-            "to_header": header("To"),
-            "cc_header": header("Cc"),
-            "bcc_header": header("Bcc"),
-        }
+        mail = message_from_bytes(raw)
+        out |= {part: _header(mail, name) for part, name in HEADERS.items()}
         missing = [name for name in ("From", "Received") if mail[name] is None]
         if missing:
             out["parse_error"] = "no header " + ", ".join(missing)
-        text = lambda part: (part.get_payload(decode=True) or b"").decode(errors="ignore")
         if mail.is_multipart():
             leaves = list(mail.walk())
-            out["plain_text"] = "".join(text(p) for p in leaves if p.get_content_type() == "text/plain")
-            out["html"] = "".join(text(p) for p in leaves if p.get_content_type() == "text/html")
+            out["plain_text"] = "".join(_text(p) for p in leaves if p.get_content_type() == "text/plain")
+            out["html"] = "".join(_text(p) for p in leaves if p.get_content_type() == "text/html")
         else:
-            out["plain_text"] = text(mail)
+            out["plain_text"] = _text(mail)
     except Exception as error:
         out["parse_error"] = f"{type(error).__name__}: {error}"
     return out
@@ -112,17 +130,7 @@ def quarantined(parsed: DataFrame) -> DataFrame:
 @F.pandas_udf(StringType())
 def decode_mime_words(headers: pd.Series) -> pd.Series:
     """``=?charset?Q?…?=`` words of a header decoded, all chunks joined."""
-    from email.header import decode_header, make_header
-
-    def decode(value: str | None) -> str | None:
-        if value is None or "=?" not in value:
-            return value
-        try:
-            return str(make_header(decode_header(value)))
-        except (LookupError, ValueError):
-            return value
-
-    return headers.map(decode)
+    return headers.map(lambda value: None if value is None else _decode_words(value))
 
 
 @F.pandas_udf(StringType())

@@ -81,6 +81,16 @@ def with_surrogate_id(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.xxhash64(*KEYS[table]).alias("id"), "*")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a frame over the cores when its files give fewer splits than there are cores.
+
+    Only a small source is shuffled this way; one with enough splits is returned as it is. Steps
+    that group by the keys reuse the partitioning.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 class TableStore:
     """The ten tables as Parquet datasets below one base path."""
 

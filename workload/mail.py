@@ -13,6 +13,7 @@ from postmill.functions import headers as H
 from postmill.functions import text as X
 from postmill.operators import relate as R
 from postmill.schemas import MAIL
+from postmill.sources.tables import spread
 
 OWN_ADDRESS = "desk@corp.example"
 INTERNAL = "corp"
@@ -31,8 +32,19 @@ _DETAILS_SQL = (
 )
 
 
+# The key of each table that goes through costly expressions.
+KEYS = {
+    "conversations": ["conv_id", "turn"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+    "embeddings": ["vec_id"],
+    "events": ["event_id"],
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, *KEYS[name]) if name in KEYS else rows
 
 
 def raw_headers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,12 +39,12 @@ def html(column: str) -> str:
 
 
 def clean(column: str, banners: list[str]) -> str:
-    pattern = quoted("(?ms)" + "|".join(X.CUT_MARKERS))
+    pattern = quoted("(?ms)" + "|".join(f"^{m}.*" for m in X.CUT_MARKERS))
     cut = f"regexp_replace({column}, {pattern}, '')"
     text = (
         f"CASE WHEN length({cut}) < length({column}) THEN regexp_replace({cut}, '^\\s+|\\s+$', '', 'g') ELSE {column} END"
     )
-    text = f"regexp_replace({text}, {quoted(X.SEPARATORS)}, ' ', 'g')"
+    text = f"regexp_replace({text}, '[{X.SEPARATORS}]+', ' ', 'g')"
     for banner in banners:
         text = f"regexp_replace({text}, {quoted(banner)}, '', 'g')"
     return f"CASE WHEN trim({text}) = '' THEN '' ELSE {text} END"
