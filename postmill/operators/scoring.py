@@ -239,13 +239,14 @@ def summaries(df: DataFrame, key: str, text: str, sentences: int = 3) -> DataFra
     """(key, summary): the sentences whose words are most frequent in the mail, in text order.
 
     The text is shuffled once by ``key`` (unique per row); everything after that groups and ranks
-    within the same partitions, so no exploded word crosses the network.
+    within the same partitions, so no exploded word crosses the network. (The outer explode keeps
+    both readers of the shuffled text alike, so that Spark shuffles it once for both.)
     """
     parts = F.filter(
         F.transform(F.split(text, r"[.!?]+"), lambda s: F.trim(F.regexp_replace(s, r"\s+", " "))), lambda s: s != ""
     )
     base = df.select(key, F.coalesce(parts, F.array().cast("array<string>")).alias("_parts")).repartition(key)
-    words = base.select(key, F.posexplode("_parts").alias("_pos", "_part")).select(
+    words = base.select(key, F.posexplode_outer("_parts").alias("_pos", "_part")).select(
         key, "_pos", F.explode(tokens(F.col("_part"))).alias("_word")
     )
     counted = words.groupBy(key, "_pos", "_word").agg(F.count(F.lit(1)).alias("_n"))

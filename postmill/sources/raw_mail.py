@@ -81,13 +81,16 @@ def _parts_of(raw: bytes) -> dict[str, str | None]:
     return out
 
 
-@F.pandas_udf(PARTS_TYPE)
-def mail_parts(contents: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """MIME structure, MIME words and transfer encodings, by the standard library."""
+def _mail_parts(contents: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in contents:
         yield pd.DataFrame([_parts_of(raw) for raw in batch], columns=PARTS)
 
 
+# MIME structure, MIME words and transfer encodings, by the standard library. Marked
+# non-deterministic so that a later filter does not run it a second time.
+mail_parts = F.pandas_udf(_mail_parts, PARTS_TYPE).asNondeterministic()
+
+
 def parse_mails(files: DataFrame, content: str = "content") -> DataFrame:
     """Add the mail fields to a frame of raw mails; ``parse_error`` marks the mails to set aside.
 
