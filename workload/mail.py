@@ -37,8 +37,6 @@ KEYS = {
     "conversations": ["conv_id", "turn"],
     "documents": ["doc_id"],
     "pages": ["page_id"],
-    "embeddings": ["vec_id"],
-    "events": ["event_id"],
 }
 
 

@@ -326,7 +326,7 @@ SELECT doc_id, coalesce(summary, '') AS summary FROM documents LEFT JOIN chosen
     "l2_normalise": """
 WITH n AS (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS norm FROM embeddings)
 SELECT vec_id, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS pos,
-  round(unnest(list_transform(embedding, lambda x: CASE WHEN norm > 0 THEN x::DOUBLE / norm ELSE x::DOUBLE END)), 5) AS x FROM n""",
+  round(unnest(list_transform(embedding, lambda x: CASE WHEN norm > 0 THEN x::DOUBLE / norm ELSE x::DOUBLE END)), 5) + 0.0 AS x FROM n""",
     "density_cut": f"""
 WITH RECURSIVE unit AS (
   SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE /
