@@ -34,8 +34,9 @@ def lookup(
 
     Rows of the hot keys meet their (at most ``HOT_KEYS``) ``dim`` rows by broadcast. The rest is an
     ordinary join whose strategy Spark picks by size; null and hot keys are replaced there by values
-    that match nothing and are spread by a hash of the ``spread`` columns, so they load no single
-    partition. ``how`` is ``left``, ``inner`` or ``left_semi``. Where the caller knows that ``facts``
+    that match nothing and are spread by a hash of the ``spread`` columns and the number of the
+    input partition, so they load no single partition, not even when they are copies of each other.
+    (The partition number, unlike a random one, is the same when a lost task runs again.) ``how`` is ``left``, ``inner`` or ``left_semi``. Where the caller knows that ``facts``
     has fewer ``rows`` than the floor, no key can be hot and a plain join is enough.
     """
     if rows is not None and rows < floor:
@@ -46,7 +47,7 @@ def lookup(
     hot = hot.select(F.col(key).alias("_hot_key"), F.col("_dim").alias("_hot"))
     cold = packed.select(F.col(key).cast("string").alias("_cold_key"), F.col("_dim").alias("_cold"))
 
-    unmatched = F.concat(F.lit("\u0000"), F.xxhash64(*spread).cast("string"))
+    unmatched = F.concat(F.lit("\u0000"), F.xxhash64(*spread, F.spark_partition_id()).cast("string"))
     own_key = F.when(F.col("_hot").isNull(), F.col(key).cast("string"))
     out = (
         facts.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")

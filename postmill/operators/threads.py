@@ -27,8 +27,8 @@ def with_threading(mails: DataFrame) -> DataFrame:
 def missing_message_ids(mails: DataFrame) -> DataFrame:
     """Distinct referenced ids that are no ``message_id`` of the frame.
 
-    Forwarded mails are skipped. Duplicates are combined before the anti join, so an id that every
-    mail refers to arrives there as one row.
+    Forwarded mails are skipped. Duplicates are combined on both sides before the anti join, so an
+    id that every mail refers to, or that many copies share, arrives there as one row.
     """
     not_forwarded = ~F.coalesce(F.col("subject_prefix").contains("fw"), F.lit(False))
     none = F.array().cast("array<string>")
@@ -37,7 +37,8 @@ def missing_message_ids(mails: DataFrame) -> DataFrame:
         F.filter(F.array("previous_message_id"), lambda x: x.isNotNull()),
     )
     ids = mails.where(not_forwarded).select(F.explode(wanted).alias("message_id")).distinct()
-    return ids.join(mails.select("message_id").where(F.col("message_id").isNotNull()), "message_id", "left_anti")
+    present = mails.select("message_id").where(F.col("message_id").isNotNull()).distinct()
+    return ids.join(present, "message_id", "left_anti")
 
 
 def with_response_time(mails: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:

@@ -38,15 +38,15 @@ def describable(assigned: DataFrame, minimum: int = MIN_DESCRIBED, floor: int =
 def topic_samples(assigned: DataFrame, n: int = SAMPLES, seed: int | None = 42) -> DataFrame:
     """n messages of each describable topic, by seeded hash (``seed=None``: by message id).
 
-    Both the rank limit and the topic sizes are applied map-side, so a topic of any size reaches
-    its reducer as n rows per task.
+    ``message_id`` is unique. Ids are ranked without their texts, with the limit applied map-side, so
+    a topic of any size reaches its reducer as n ids per task; the few samples then fetch their rows.
     """
     order = [F.col("message_id")] if seed is None else [F.xxhash64("message_id", F.lit(seed)), F.col("message_id")]
-    ranked = assigned.where(F.col("topic_id") != NOISE_TOPIC).withColumn(
-        "sample", F.row_number().over(Window.partitionBy("topic_id").orderBy(*order))
-    )
+    ids = assigned.select("message_id", "topic_id").where(F.col("topic_id") != NOISE_TOPIC)
+    ranked = ids.withColumn("sample", F.row_number().over(Window.partitionBy("topic_id").orderBy(*order)))
     picked = ranked.where(F.col("sample") <= n)
-    return picked.join(described_topics(assigned).select("topic_id"), "topic_id", "left_semi")
+    picked = picked.join(described_topics(assigned).select("topic_id"), "topic_id", "left_semi")
+    return assigned.join(picked.select("message_id", "sample"), "message_id")
 
 
 def word_frequencies(assigned: DataFrame, text: str = "clean_text", top: dict[int, int] | None = None) -> DataFrame:

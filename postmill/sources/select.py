@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators.relate import dedupe
+from postmill.operators.skew import lookup
 
 
 def bare_id(identifier: Column) -> Column:
@@ -16,15 +17,18 @@ def bare_id(identifier: Column) -> Column:
 
 
 def fetch_by_ids(mails: DataFrame, requested: DataFrame) -> DataFrame:
-    """One mail per requested id. ``requested`` has a column ``message_id``, brackets allowed."""
+    """One mail per requested id. ``requested`` has a column ``message_id``, brackets allowed.
+
+    The requested mails are picked first, with hot ids apart, and only those are ranked.
+    """
     wanted = requested.select(bare_id(F.col("message_id")).alias("message_id")).distinct()
-    return dedupe(mails.join(wanted, "message_id", "left_semi"))
+    return dedupe(lookup(mails, wanted, "message_id", ["submit_time"], "left_semi"))
 
 
 def ids_not_found(mails: DataFrame, requested: DataFrame) -> DataFrame:
     """Requested ids without a mail."""
     wanted = requested.select(bare_id(F.col("message_id")).alias("message_id")).distinct()
-    return wanted.join(mails.select("message_id"), "message_id", "left_anti")
+    return wanted.join(mails.select("message_id").distinct(), "message_id", "left_anti")
 
 
 def fetch_since(mails: DataFrame, since: date | datetime, column: str = "submit_time") -> DataFrame:
