@@ -171,13 +171,31 @@ def bytes_of(column) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.large_binary()).to_pylist()]
 
 
-def in_slices(texts: Sequence[bytes], limit: int = 4 * BLOCK_BYTES) -> Iterable[slice]:
-    """Slices of the rows with about ``limit`` bytes of text each (one row at least), to bound a task's memory."""
+def slices_of(column, limit: int = 4 * BLOCK_BYTES) -> Iterable[tuple[slice, list[bytes]]]:
+    """Runs of a batch's texts with about ``limit`` bytes each (one row at least), to bound a task's memory.
+
+    Memory is given back to the system after every run, as a worker lives on from task to task.
+    """
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
-            yield slice(start, i)
+    for i, own in enumerate([*sizes.tolist(), None]):
+        if own is None or (i > start and size + own > limit):
+            if i > start:
+                yield slice(start, i), bytes_of(column.slice(start, i - start))
+                give_back()
             start, size = i, 0
-        size += len(text)
-    if len(texts) > start:
-        yield slice(start, len(texts))
+        size += own or 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

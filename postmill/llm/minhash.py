@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from postmill.llm.common import bytes_of, in_slices, mix, saved, spread_lookup, word_hashes
+from postmill.llm.common import mix, saved, slices_of, spread_lookup, word_hashes
 from postmill.llm.graph import components
 
 LONGS = ArrayType(LongType())
@@ -104,9 +104,8 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = bytes_of(batch.column(1))
-            for part in in_slices(raw, 4 << 20):
-                sets = shingle_sets(raw[part])
+            for part, raw in slices_of(batch.column(1), 4 << 20):
+                sets = shingle_sets(raw)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 keys, bands, sketch = [None] * len(sets), [None] * len(sets), [None] * len(sets)
                 if full:

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.arrays import get, new_folder, put
-from postmill.llm.common import bytes_of, in_slices, mix, saved, text_or_empty, word_hashes
+from postmill.llm.common import mix, saved, slices_of, text_or_empty, word_hashes
 
 END = np.uint64(0x5E0FBEEF5E0FBEEF)  # the hash of the end token
 SLICE = 4 << 20  # bytes of text that a worker handles at once
-FLUSH = 3_000_000  # distinct n-grams that a worker gathers before it passes them on
+FLUSH = 1_500_000  # n-grams, distinct in their slices, that a worker gathers before it passes them on
 WORD_BUCKET, PAIR_BUCKET = 64 << 20, 16 << 20  # bytes of training text for each bucket of words, of pairs
 IDS = 1 << 18  # words whose statistics one group gathers
 
@@ -57,22 +57,21 @@ def _counted(docs: DataFrame, keys_of: Callable[[], Callable[[list[bytes]], tupl
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract, bucket_of = keys_of()
-        keys, counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows() -> pa.RecordBatch:
+            keys, counts = _summed(*(np.concatenate(x) for x in zip(*pending, strict=True)))
+            pending.clear()
             runs = list(_dealt(keys, counts, bucket_of(keys)))
             columns = [pa.array([r[i] for r in runs], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))]
             return pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "counts"])
 
         for batch in batches:
-            raw = bytes_of(batch.column(0))
-            for part in in_slices(raw, SLICE):
-                own, times = np.unique(extract(raw[part]), return_counts=True)
-                keys, counts = _summed(np.concatenate((keys, own)), np.concatenate((counts, times)))
-                if len(keys) >= FLUSH:
+            for _, raw in slices_of(batch.column(0), SLICE):
+                pending.append(np.unique(extract(raw), return_counts=True))
+                if sum(len(k) for k, _ in pending) >= FLUSH:
                     yield rows()
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
+        if pending:
             yield rows()
 
     return docs.select("text").mapInArrow(count, _BLOBS)
@@ -341,9 +340,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            raw = bytes_of(batch.column(2))
-            for part in in_slices(raw, SLICE):
-                tokens, known, base, total = _score(reader, raw[part])
+            for part, raw in slices_of(batch.column(2), SLICE):
+                tokens, known, base, total = _score(reader, raw)
                 kept = [batch.column(i).slice(part.start, part.stop - part.start) for i in (0, 1)]
                 own = [tokens, known, np.full(len(tokens), model.tokens), base, total, 10.0 ** (-total / tokens)]
                 yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, own)], names=schema.names)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import blocks_for, bytes_of, in_slices, mix, numbered, powers, prefix_hash, saved
+from postmill.llm.common import blocks_for, mix, numbered, powers, prefix_hash, saved, slices_of
 
 CAPACITY = 1024
 END = 2
@@ -187,10 +187,9 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, ranks)
         for batch in batches:
-            raw = bytes_of(batch.column(1))
-            for part in in_slices(raw, 4 << 20):
+            for part, raw in slices_of(batch.column(1), 4 << 20):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, encoded in enumerate(encoder.encode(raw[part]), part.start):
+                for i, encoded in enumerate(encoder.encode(raw), part.start):
                     encoded += tail
                     n = len(encoded) // 4
                     stop, begin, number = (n - 1) % capacity + 1, 0, 0

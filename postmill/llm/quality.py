@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import bytes_of, in_slices, mix, word_hashes
+from postmill.llm.common import slices_of, mix, word_hashes
 
 #: At most so many labelled rows fit the forest and its threshold: those with the smallest hashes of doc_id.
 FIT_ROWS = 20_000
@@ -92,9 +92,8 @@ def statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = bytes_of(batch.column(batch.num_columns - 1))
-            for part in in_slices(raw):
-                out = _statistics(raw[part])
+            for part, raw in slices_of(batch.column(batch.num_columns - 1)):
+                out = _statistics(raw)
                 kept = [batch.column(i).slice(part.start, part.stop - part.start) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(kept + [pa.array(out[n]) for n in names], names=[*keep, *names])
 

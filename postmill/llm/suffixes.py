@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.arrays import get, new_folder, put
-from postmill.llm.common import bytes_of, in_slices, mix, powers, prefix_hash, saved, text_or_empty
+from postmill.llm.common import bytes_of, give_back, mix, powers, prefix_hash, saved, slices_of, text_or_empty
 from postmill.llm.ngrams import _counted, _find, _merged, _ranges
 
 LENGTH = 100
 GRAM = 32  # an anchor is the least hash of a 32-byte string within 100 bytes
 WINDOW = LENGTH - GRAM + 1
-SLICE = 4 << 20
-SHARD = 4 << 20  # bytes of text for each shard
+SLICE = 1 << 20
+GROUP = 16 << 20  # bytes of text whose passages one group gathers
+SHARD = 3 << 20  # bytes of passages in one suffix array; sorting needs about a hundred times as much
+PASS_ON = 16 << 20  # bytes of passages that a worker gathers before it passes them on
 #: An anchor that occurs more often is split: its 100-byte strings are compared one by one, dealt by their hashes.
 HOT = 500
 
@@ -69,7 +71,7 @@ def _induced(s: np.ndarray, smaller: np.ndarray, seeds: list[np.ndarray]) -> np.
         if len(seeds[c]):
             spread(seeds[c], False, larger, c)
     down: list[list[np.ndarray]] = [[] for _ in range(size)]
-    down[0].append(np.array([len(s) - 1]))
+    down[0].append(np.array([len(s) - 1], dtype=np.int32))
     for c in range(size - 1, -1, -1):
         done = 0
         while done < len(down[c]):
@@ -101,7 +103,7 @@ def suffix_array(s: np.ndarray, size: int, depth: int = LENGTH) -> np.ndarray:
     the length but a large alphabet, is ranked by doubling; a second induction gives the array.
     """
     smaller = _smaller(s)
-    leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    leftmost = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     if len(leftmost) > 1:
         order = _induced(s, smaller, _seeds(s, leftmost, size))
         mark = np.zeros(len(s), dtype=bool)
@@ -109,7 +111,7 @@ def suffix_array(s: np.ndarray, size: int, depth: int = LENGTH) -> np.ndarray:
         order = order[mark[order]]
         follow = np.append(leftmost[1:], leftmost[-1]) + 1  # each substring ends with the next one's first character
         sums, down = _plain_hash(s), powers(len(s) + 1)[1]
-        number = np.zeros(len(s), dtype=np.int64)
+        number = np.zeros(len(s), dtype=np.int32)
         number[leftmost] = np.arange(len(leftmost))
         k = number[order]
         name_hash = mix((sums[follow[k]] - sums[order]) * down[order] + (follow[k] - order).astype(np.uint64))
@@ -147,11 +149,11 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, inside: np.ndarray) ->
     This is the permuted common-prefix array cut at 100, as that is all that removal needs.
     ``inside`` says where 100 characters lie within one passage.
     """
-    before = np.full(len(data), -1, dtype=np.int64)
+    before = np.full(len(data), -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
     sums, down = _plain_hash(data), powers(len(data) + 1)[1]
     hashes = np.zeros(len(data), dtype=np.uint64)
-    whole = np.flatnonzero(inside)
+    whole = np.flatnonzero(inside).astype(np.int32)
     hashes[whole] = mix((sums[whole + LENGTH] - sums[whole]) * down[whole])
     return inside & (before >= 0) & inside[before] & (hashes == hashes[before])
 
@@ -247,6 +249,21 @@ def _passages(texts: DataFrame, folder: str, buckets: int, shards: int) -> DataF
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, np.ndarray] = {}
+        passages, content_of, alone, gone, gathered = [], [], [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            out = []
+            texts_ = [t for part in content_of for t in part]
+            for kind, parts in ((0, passages), (1, alone), (2, gone)):
+                items = np.concatenate(parts) if parts else np.zeros(0, dtype=_PASSAGE)
+                shard = (items["hash"] % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                for s, (i, j) in _ranges(shard[order]):
+                    out.append((s, kind, items[order[i:j]].tobytes(), b"".join(texts_[k] for k in order[i:j].tolist()) if kind == 0 else b""))
+            for parts in (passages, content_of, alone, gone):
+                parts.clear()
+            columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "kind", "places", "text"])
 
         def array(name: str, dtype: str) -> np.ndarray:
             if name not in known:
@@ -254,9 +271,9 @@ def _passages(texts: DataFrame, folder: str, buckets: int, shards: int) -> DataF
             return known[name]
 
         for batch in batches:
-            ords, raw = batch.column(0).to_numpy(), bytes_of(batch.column(1))
-            for part in in_slices(raw, SLICE):
-                data, first, end, at, hashes, text = _anchors(raw[part])
+            ords = batch.column(0).to_numpy()
+            for part, raw in slices_of(batch.column(1), SLICE):
+                data, first, end, at, hashes, text = _anchors(raw)
                 times = np.zeros(len(at), dtype=np.int64)
                 bucket = (hashes % np.uint64(buckets)).astype(np.int64)
                 order = np.lexsort((hashes, bucket))
@@ -275,12 +292,11 @@ def _passages(texts: DataFrame, folder: str, buckets: int, shards: int) -> DataF
                 sums, down = prefix_hash(data), powers(len(data) + 1)[1]
                 content = mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64))
                 early, late = _first_of_each([content, hashes], own)
-                rows = [(int(own["hash"][late[0]] % np.uint64(shards)), 2, own[late].tobytes(), b"")] if len(late) else []
+                gone.append(own[late])
                 calm = early[times[early] <= HOT]
-                shard = (hashes[calm] % np.uint64(shards)).astype(np.int64)
-                calm = calm[np.argsort(shard, kind="stable")]
-                for s, (i, j) in _ranges(np.sort(shard)):
-                    rows.append((s, 0, own[calm[i:j]].tobytes(), b"".join(data[a:b].tobytes() for a, b in zip(low[calm[i:j]].tolist(), high[calm[i:j]].tolist(), strict=True))))
+                passages.append(own[calm])
+                content_of.append([data[a:b].tobytes() for a, b in zip(low[calm].tolist(), high[calm].tolist(), strict=True)])
+                gathered += int(own["size"][calm].sum()) + 20 * len(late)
                 hot = early[times[early] > HOT]
                 if len(hot):
                     count = high[hot] - low[hot] - LENGTH + 1
@@ -292,16 +308,16 @@ def _passages(texts: DataFrame, folder: str, buckets: int, shards: int) -> DataF
                     strings["hash"], strings["ord"], strings["begin"] = mix(plain), own["ord"][which[keep]], start - first[text[which[keep]]]
                     strings["more"] = _second_hash(data, start)
                     early_, late_ = _first_of_each([strings["more"], strings["hash"]], strings)
-                    if len(late_):
-                        gone = np.zeros(len(late_), dtype=_PASSAGE)
-                        gone["ord"], gone["begin"], gone["size"] = strings["ord"][late_], strings["begin"][late_], LENGTH
-                        rows.append((int(strings["hash"][0] % np.uint64(shards)), 2, gone.tobytes(), b""))
-                    shard = (strings["hash"][early_] % np.uint64(shards)).astype(np.int64)
-                    early_ = early_[np.argsort(shard, kind="stable")]
-                    for s, (i, j) in _ranges(np.sort(shard)):
-                        rows.append((s, 1, strings[early_[i:j]].tobytes(), b""))
-                columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "kind", "places", "text"])
+                    more = np.zeros(len(late_), dtype=_PASSAGE)
+                    more["hash"], more["ord"], more["begin"], more["size"] = strings["hash"][late_], strings["ord"][late_], strings["begin"][late_], LENGTH
+                    gone.append(more)
+                    alone.append(strings[early_])
+                    gathered += 32 * len(early_) + 20 * len(late_)
+                if gathered >= PASS_ON:
+                    yield rows()
+                    gathered = 0
+        if gathered:
+            yield rows()
 
     return texts.select("ord", "text").mapInArrow(cut, _SHARDS)
 
@@ -354,9 +370,16 @@ def _settled(frame: pd.DataFrame) -> pd.DataFrame:
         # Anchors that have one passage left need no array.
         _, where, times = np.unique(places["hash"][early], return_inverse=True, return_counts=True)
         early = early[times[where] > 1]
-        if len(early):
-            found.append(_by_suffixes(data, begin[early], places[early]))
+        shards = int(size[early].sum()) // SHARD + 1
+        shard = mix(places["hash"][early]) % np.uint64(shards)
+        del sums, content
+        for k in range(shards):
+            own = early[shard == k]
+            if len(own):
+                found.append(_by_suffixes(data, begin[own], places[own]))
+                give_back()
     whole = np.concatenate(found, axis=1)
+    give_back()
     return _intervals(*whole)
 
 
@@ -393,9 +416,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     earlier in the same document. Strings are judged on the input.
 
     1. Anchors are picked from all texts and counted; those that occur once need no more work.
-    2. Passages around repeated anchors are dealt to shards by the anchor, so all copies of a
-       100-byte string meet in a shard. Equal passages collapse first.
-    3. Each shard's suffix array is induced, and neighbours that share 100 bytes form classes, of
+    2. Passages around repeated anchors are dealt to groups by the anchor, and so to shards
+       within them, so all copies of a 100-byte string meet in a shard. Equal passages collapse first.
+    3. In shards of about SHARD bytes, suffix arrays are induced, and neighbours that share 100 bytes form classes, of
        which the earliest place stays.
     4. The ranges found are merged per document and cut out.
 
@@ -407,7 +430,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
     folder = new_folder(spark, "anchors")
     buckets = max(8, size // (16 << 20) + 1)
-    shards = max(8, size // SHARD + 1)
+    shards = max(8, size // GROUP + 1)
     _repeated_anchors(texts, folder, buckets)
     ranges = saved(_passages(texts, folder, buckets, shards).groupBy("shard").applyInPandas(_settled, "ord long, begin long, end long"))
     per_text = ranges.groupBy("ord").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
