@@ -19,9 +19,9 @@ LENGTH = 100
 GRAM = 32  # an anchor is the least hash of a 32-byte string within 100 bytes
 WINDOW = LENGTH - GRAM + 1
 SLICE = 1 << 20
-GROUP = 16 << 20  # bytes of text whose passages one group gathers
-SHARD = 3 << 20  # bytes of passages in one suffix array; sorting needs about a hundred times as much
-PASS_ON = 16 << 20  # bytes of passages that a worker gathers before it passes them on
+GROUP = 8 << 20  # bytes of text whose passages one group gathers
+SHARD = 2 << 20  # bytes of passages in one suffix array; sorting needs about a hundred times as much
+PASS_ON = 12 << 20  # bytes of passages that a worker gathers before it passes them on
 #: An anchor that occurs more often is split: its 100-byte strings are compared one by one, dealt by their hashes.
 HOT = 500
 
@@ -224,7 +224,7 @@ def _repeated_anchors(texts: DataFrame, folder: str, buckets: int) -> None:
         put(folder, f"times-{bucket}", np.zeros(0, dtype="<i8"))
 
 
-_PASSAGE = np.dtype([("hash", "<u8"), ("ord", "<i8"), ("begin", "<i8"), ("size", "<i4")])
+_PASSAGE = np.dtype([("hash", "<u8"), ("content", "<u8"), ("ord", "<i8"), ("begin", "<i8"), ("size", "<i4")])
 _PLACE = np.dtype([("hash", "<u8"), ("more", "<u8"), ("ord", "<i8"), ("begin", "<i8")])
 _SHARDS = "shard int, kind int, places binary, text binary"
 
@@ -291,6 +291,7 @@ def _passages(texts: DataFrame, folder: str, buckets: int, shards: int) -> DataF
                 own["hash"], own["ord"], own["begin"], own["size"] = hashes, ords[part][text], low - first[text], high - low
                 sums, down = prefix_hash(data), powers(len(data) + 1)[1]
                 content = mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64))
+                own["content"] = content
                 early, late = _first_of_each([content, hashes], own)
                 gone.append(own[late])
                 calm = early[times[early] <= HOT]
@@ -363,16 +364,13 @@ def _settled(frame: pd.DataFrame) -> pd.DataFrame:
         data = np.frombuffer(b"".join(by_kind[0]["text"]), dtype=np.uint8)
         size = places["size"].astype(np.int64)
         begin = np.cumsum(size) - size
-        sums, down = prefix_hash(data), powers(len(data) + 1)[1]
-        content = mix((sums[begin + size] - sums[begin]) * down[begin] + size.astype(np.uint64))
-        early, late = _first_of_each([content, places["hash"]], places)
+        early, late = _first_of_each([places["content"], places["hash"]], places)
         found.append(np.stack([places["ord"][late], places["begin"][late], places["begin"][late] + size[late]]))
         # Anchors that have one passage left need no array.
         _, where, times = np.unique(places["hash"][early], return_inverse=True, return_counts=True)
         early = early[times[where] > 1]
         shards = int(size[early].sum()) // SHARD + 1
         shard = mix(places["hash"][early]) % np.uint64(shards)
-        del sums, content
         for k in range(shards):
             own = early[shard == k]
             if len(own):
