@@ -222,7 +222,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     members = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("id"), F.col("_parts") + 1).cast("int").alias("part"), "id", F.lit(False).alias("is_hub"))
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("_parts"))).alias("part"), F.col("hub").alias("id"), F.lit(True).alias("is_hub"))
     stars = members.unionByName(hubs).join(texts, "id")
-    first = saved(stars.groupBy("hub", "part").applyInPandas(_linked_to_hub, "a long, b long").repartition(_few(spark)))
+    first = saved(stars.repartition(_few(spark), "hub", "part").groupBy("hub", "part").applyInPandas(_linked_to_hub, "a long, b long"))
 
     known = components(first).withColumnRenamed("component", "_comp")
     placed = multi.join(known, "id", "left").select("bucket", "id", "members", F.coalesce("_comp", "id").alias("comp"))
@@ -237,9 +237,10 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     )
     dealt = saved(dealt.join(sketched, "id").select(*dealt.columns, "s.n", "s.sketch"))
     keys = ["bucket", "low", "high"]
+    dealt = dealt.repartition(_few(spark), *keys)  # small in bytes, but each group is work
     worth = dealt.groupBy(*keys).applyInPandas(_worth_reading, "bucket long, low int, high int, id long")
     doubtful = dealt.join(saved(worth), [*keys, "id"]).join(texts, "id")
-    second = doubtful.groupBy(*keys).applyInPandas(_linked_in_block, "a long, b long")
+    second = doubtful.repartition(_few(spark), *keys).groupBy(*keys).applyInPandas(_linked_in_block, "a long, b long")
     return first.unionByName(saved(second))
 
 

@@ -96,7 +96,9 @@ def range_search(x: np.ndarray, padded: np.ndarray, entries: np.ndarray, queries
 
     def neighbours(rows: np.ndarray, items: np.ndarray) -> np.ndarray:
         new = np.zeros((q, n + 1), dtype=bool)
-        new[rows[:, None], padded[items]] = True
+        step = max(1, 2_000_000 // padded.shape[1])  # a row can be the neighbour of many
+        for s in range(0, len(rows), step):
+            new[rows[s : s + step, None], padded[items[s : s + step]]] = True
         return new[:, :n]
 
     first = np.zeros((q, n), dtype=bool)
