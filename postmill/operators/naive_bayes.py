@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postmill.operators.skew import lookup
+from postmill.sources.checkpoints import checkpointed
+
 MAX_LABELS = 500
-MAX_FEATURES = 20_000
 FIXED_POINT = 1_000_000  # log-probabilities are summed as integers, so no sum depends on row order
 
 
@@ -20,27 +22,21 @@ def letter_pairs(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class NaiveBayes:
-    """Model parameters: a bounded table of features and one prior per label."""
+    """Model parameters: one prior per label, and the whole vocabulary as a saved frame.
+
+    ``table`` has ``feature`` and one fixed-point weight column ``w0``, ``w1``, … per label.
+    """
 
     labels: list[str]
     priors: list[int]
-    features: list[str]
-    weights: list[list[int]]
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        """The features as a frame: ``feature`` and one fixed-point weight column per label."""
-        columns = ", ".join(f"w{i} bigint" for i in range(len(self.labels)))
-        rows = [(f, *w) for f, w in zip(self.features, self.weights)]
-        return spark.createDataFrame(rows, f"feature string, {columns}")
+    table: DataFrame
 
 
-def fit(
-    examples: DataFrame, features: Column, label: str, max_features: int = MAX_FEATURES
-) -> NaiveBayes:
-    """Count features per label and keep the ``max_features`` most frequent ones as vocabulary.
+def fit(examples: DataFrame, features: Column, label: str) -> NaiveBayes:
+    """Count every feature per label; smoothing adds one to each count.
 
-    One distributed count with map-side combining; the driver receives at most ``max_features``
-    rows and ``MAX_LABELS`` priors. Smoothing adds one to each count.
+    One distributed count with map-side combining, written out as a table; the driver receives the
+    labels with their priors (at most ``MAX_LABELS``) and one row of sums.
     """
     known = examples.where(F.col(label).isNotNull())
     label_rows = known.groupBy(label).count().orderBy(label).limit(MAX_LABELS + 1).collect()
@@ -52,42 +48,32 @@ def fit(
     examples_total = sum(r["count"] for r in label_rows)
 
     exploded = known.select(F.col(label).alias("_label"), F.explode(features).alias("feature"))
-    counts = exploded.groupBy("feature", "_label").agg(F.count(F.lit(1)).alias("_n"))
-    per_label = [F.sum(F.when(F.col("_label") == v, F.col("_n")).otherwise(0)).alias(f"n{i}") for i, v in enumerate(labels)]
-    vocabulary = (
-        counts.groupBy("feature")
-        .agg(F.sum("_n").alias("_total"), *per_label)
-        .orderBy(F.desc("_total"), "feature")
-        .limit(max_features)
-        .collect()
-    )
-    size = len(vocabulary)
-    totals = [sum(r[f"n{i}"] for r in vocabulary) for i in range(len(labels))]
+    per_label = [F.count(F.when(F.col("_label") == v, True)).alias(f"n{i}") for i, v in enumerate(labels)]
+    counts = checkpointed(exploded.groupBy("feature").agg(*per_label))
+    ids = range(len(labels))
+    sums = counts.agg(F.count(F.lit(1)).alias("size"), *[F.sum(f"n{i}").alias(f"t{i}") for i in ids]).first()
     weights = [
-        [_fixed(math.log((r[f"n{i}"] + 1) / (totals[i] + size))) for i in range(len(labels))] for r in vocabulary
+        F.round(F.log((F.col(f"n{i}") + 1) / F.lit(float((sums[f"t{i}"] or 0) + sums["size"]))) * FIXED_POINT).cast("bigint").alias(f"w{i}")
+        for i in ids
     ]
-    priors = [_fixed(math.log(r["count"] / examples_total)) for r in label_rows]
-    return NaiveBayes([str(v) for v in labels], priors, [r["feature"] for r in vocabulary], weights)
-
-
-def _fixed(value: float) -> int:
-    return round(value * FIXED_POINT)
+    priors = [round(math.log(r["count"] / examples_total) * FIXED_POINT) for r in label_rows]
+    return NaiveBayes([str(v) for v in labels], priors, counts.select("feature", *weights))
 
 
 def classify(docs: DataFrame, key: str, features: Column, model: NaiveBayes, out: str) -> DataFrame:
     """(key, out): the label with the highest score, the first label on a tie.
 
-    Features meet the model's bounded table by broadcast, and the sums of one document are combined
-    in its own task before the shuffle, which carries one row of sums per document. Documents
-    without a known feature get the label with the highest prior.
+    The features of one document are counted first, so that each meets the model once. Frequent
+    features are split by the look-up. Documents without a known feature get the label with the
+    highest prior.
     """
     exploded = docs.select(key, F.explode_outer(features).alias("feature"))
-    table = F.broadcast(model.table(docs.sparkSession))
+    counted = exploded.groupBy(key, "feature").agg(F.count(F.lit(1)).alias("_times"))
     ids = range(len(model.labels))
     sums = (
-        exploded.join(table, "feature", "left")
+        lookup(counted, model.table, "feature", [key])
         .groupBy(key)
-        .agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in ids])
+        .agg(*[F.sum(F.col(f"w{i}") * F.col("_times")).alias(f"s{i}") for i in ids])
     )
     scores = F.array(
         *[

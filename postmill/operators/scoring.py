@@ -94,7 +94,9 @@ def invoke_model(df: DataFrame, prompt: str, factory: Callable[[], BatchModel],
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for batch in batches:
-            yield pd.Series(model(batch.tolist()), dtype=object)
+            asked = batch[batch.notna()]  # a null prompt has a null response
+            answers = pd.Series(model(asked.tolist()) if len(asked) else [], index=asked.index, dtype=object)
+            yield answers.reindex(batch.index).astype(object).where(lambda v: v.notna(), None)
 
     scorer = F.pandas_udf(run, "string").asNondeterministic()
     return df.withColumn(out, scorer(F.col(prompt)))
@@ -122,7 +124,9 @@ def invoke_model_concurrently(
         model = factory()
         with asyncio.Runner() as runner:
             for batch in batches:
-                yield pd.Series(runner.run(gather(model, batch.tolist())), dtype=object)
+                asked = batch[batch.notna()]
+                answers = pd.Series(runner.run(gather(model, asked.tolist())) if len(asked) else [], index=asked.index, dtype=object)
+                yield answers.reindex(batch.index).astype(object).where(lambda v: v.notna(), None)
 
     scorer = F.pandas_udf(run, "string").asNondeterministic()
     return df.withColumn(out, scorer(F.col(prompt)))
@@ -131,10 +135,10 @@ def invoke_model_concurrently(
 # --- spam -------------------------------------------------------------------------------------
 
 
-def fit_spam(examples: DataFrame, text: str, is_spam: str, max_features: int = nb.MAX_FEATURES) -> nb.NaiveBayes:
+def fit_spam(examples: DataFrame, text: str, is_spam: str) -> nb.NaiveBayes:
     """Train the default spam scorer on texts with a boolean label."""
     named = examples.select(text, F.when(F.col(is_spam), "spam").otherwise("ham").alias("_kind"))
-    return nb.fit(named, tokens(F.col(text)), "_kind", max_features)
+    return nb.fit(named, tokens(F.col(text)), "_kind")
 
 
 def spam_flags(docs: DataFrame, key: str, text: str, model: nb.NaiveBayes) -> DataFrame:

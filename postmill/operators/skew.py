@@ -43,12 +43,12 @@ def lookup(
         return facts.join(dim, key, how).select(*facts.columns, *[c for c in dim.columns if c != key and how != "left_semi"])
     values = [c for c in dim.columns if c != key]
     packed = dim.select(F.col(key), F.struct(F.lit(True).alias("_found"), *values).alias("_dim"))
-    hot = packed.join(F.broadcast(hot_keys(facts, key, floor)), key, "left_semi")
+    hot = hot_keys(facts, key, floor).join(packed, key, "left")  # hot keys that dim lacks are spread, too
     hot = hot.select(F.col(key).alias("_hot_key"), F.col("_dim").alias("_hot"))
     cold = packed.select(F.col(key).cast("string").alias("_cold_key"), F.col("_dim").alias("_cold"))
 
     unmatched = F.concat(F.lit("\u0000"), F.xxhash64(*spread, F.spark_partition_id()).cast("string"))
-    own_key = F.when(F.col("_hot").isNull(), F.col(key).cast("string"))
+    own_key = F.when(F.col("_hot_key").isNull(), F.col(key).cast("string"))
     out = (
         facts.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
         .withColumn("_spread_key", F.coalesce(own_key, unmatched))

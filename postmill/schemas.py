@@ -91,6 +91,6 @@ KEYS: dict[str, list[str]] = {
 }
 
 # Columns without the 255-character limit, and the allowed address types.
-LONG_TEXT = {"html_body", "plain_text_body", "clean_text", "summary"}
+LONG_TEXT = {"html_body", "plain_text_body", "clean_text", "summary", "subject", "topic_description"}
 MAX_LENGTH = 255
 ADDRESS_TYPES = ["from", "to", "cc", "bcc"]

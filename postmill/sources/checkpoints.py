@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +12,15 @@ from postmill.sources.tables import path_exists
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where none is set (a local test session) a fresh temporary folder is used; a cluster must name
-    one, since its executors do not share a disk.
+    Where none is set (a local test session) a folder in the warehouse is used; a cluster must name
+    one.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="postmill-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder

@@ -128,17 +128,17 @@ def test_naive_bayes(spark):
     assert {r.id: r.found for r in got.collect()} == {1: "en", 2: "de", 3: "de", 4: "de"}
 
 
-def test_vocabulary_is_bounded(spark):
-    rows = spark.createDataFrame([("a", "one two two three three three")], "label string, text string")
-    model = naive_bayes.fit(rows, F.split("text", " "), "label", max_features=2)
-    assert model.features == ["three", "two"]
+def test_vocabulary_is_whole(spark):
+    words = [f"w{i}" for i in range(30_000)]
+    model = naive_bayes.fit(spark.createDataFrame([("a", " ".join(words))], "label string, text string"), F.split("text", " "), "label")
+    assert model.table.count() == 30_000
 
 
 def test_language_scores_need_no_python(spark):
     rows = spark.createDataFrame([("a", "one"), ("b", "two")], "label string, text string")
     pairs = naive_bayes.letter_pairs(F.col("text"))
     scored = plan(naive_bayes.classify(rows.withColumn("id", F.lit(1)), "id", pairs, naive_bayes.fit(rows, pairs, "label"), "x"))
-    assert "ArrowEvalPython" not in scored and "BroadcastHashJoin" in scored
+    assert "ArrowEvalPython" not in scored
 
 
 def test_models_run_once_per_row_and_once_in_the_plan(spark):
@@ -252,3 +252,19 @@ def test_descriptions(assigned):
 
     got = {r.topic_id: r.topic_description for r in topics.model_topic_descriptions(assigned, factory).collect()}
     assert got == {0: "3 mails", 2: "3 mails"}
+
+
+def test_lookup_spreads_a_hot_key_that_is_missing(spark):
+    from postmill.operators.skew import lookup
+
+    facts = spark.range(20_000).select("id", F.when(F.col("id") % 5 > 0, "lost").otherwise(F.col("id").cast("string")).alias("k"))
+    dim = spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sizes = [r["count"] for r in lookup(facts, dim, "k", ["id"], floor=1000).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / len(sizes)

@@ -190,6 +190,12 @@ def test_tables_round_trip(spark, tmp_path, caplog):
         assert sorted(map(str, back.collect())) == sorted(map(str, store.read(table).collect()))
 
 
+def test_long_subject_loads(spark):
+    row = spark.createDataFrame([("m", "s" * 300)], "message_id string, subject string")
+    good, bad = tables.split_rejects(row, "messages")
+    assert good.count() == 1 and bad.count() == 0
+
+
 def test_rejects(spark):
     rows = [("m", "from", "a@x"), (None, "to", "a@x"), ("m", "reply", "a@x"), ("m", "to", "a" * 256), ("m", "to", " ")]
     good, bad = tables.split_rejects(spark.createDataFrame(rows, TABLES["addresses"]), "addresses")

@@ -63,14 +63,14 @@ ENTITY_ROWS = " || ".join(
 ASCII = "regexp_replace({}, '[^\\x00-\\x7F]', ' ', 'g')"
 
 
-def bayes(examples: str, docs: str, key: str, features: str, first: str, out: str, limit: int) -> str:
+def bayes(examples: str, docs: str, key: str, features: str, first: str, out: str) -> str:
     """Naive Bayes in SQL. ``examples`` has (label, id, text), ``docs`` (key, text)."""
     return f"""
 WITH examples AS ({examples}), docs AS ({docs}),
 labels AS (SELECT label, count(*) AS n FROM examples GROUP BY 1),
 priors AS (SELECT label, round(ln(n / (SELECT sum(n) FROM labels)) * 1000000) AS prior FROM labels),
 counts AS (SELECT label, feature, count(*) AS n FROM (SELECT label, unnest({features}) AS feature FROM examples) GROUP BY 1, 2),
-vocabulary AS (SELECT feature FROM counts GROUP BY 1 ORDER BY sum(n) DESC, feature LIMIT {limit}),
+vocabulary AS (SELECT DISTINCT feature FROM counts),
 full_counts AS (
   SELECT l.label, v.feature, coalesce(c.n, 0) AS n FROM labels l, vocabulary v
   LEFT JOIN counts c ON c.label = l.label AND c.feature = v.feature),
@@ -244,7 +244,6 @@ SELECT * FROM cleaned WHERE clean_text <> ''""",
         LETTER_PAIRS,
         "CASE WHEN label IN ('la', 'qu') THEN 'en' ELSE label END",
         "language",
-        20000,
     ),
     "ngrams": f"""
 WITH tok AS (SELECT {tokens("text")} AS t FROM conversations),
@@ -305,7 +304,6 @@ UNION ALL SELECT event_id, 'Mobile Number', event_type FROM e WHERE kind = 5""",
         tokens("text"),
         "label = 'spam'",
         "is_spam",
-        20000,
     ),
     "spam_response": "SELECT event_id, event_id % 4 IN (0, 3) AS is_spam FROM events",
     "categories": shares(scoring.CATEGORIES, True, "category"),
