@@ -149,7 +149,10 @@ def _linked_to_hub(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _apart(frame: pd.DataFrame) -> np.ndarray:
-    """Which pairs of rows have different components, come from the two sides, and are plausible."""
+    """Which pairs of rows have different components, come from the two sides, are plausible, and meet here first.
+
+    A pair that shares several split buckets is looked at in the smallest of them only.
+    """
     sketch = np.array(frame["sketch"].tolist(), dtype=np.int64).view(np.uint64)
     comp, n, side = frame["comp"].to_numpy(), frame["n"].to_numpy(), frame["side"].to_numpy()
     both = frame["same"].iloc[0]  # one block against itself
@@ -159,11 +162,20 @@ def _apart(frame: pd.DataFrame) -> np.ndarray:
         out[i] = (odd <= MOST_ODD_BITS) & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= SIMILAR * np.maximum(n, n[i]))
         if not both:
             out[i] &= side != side[i]
+    lists = frame["buckets"].to_list()
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    bucket = np.concatenate(lists)
+    row, bucket = row[bucket < frame["bucket"].iloc[0]], bucket[bucket < frame["bucket"].iloc[0]]
+    _, which, count = np.unique(bucket, return_inverse=True, return_counts=True)
+    row, which = row[count[which] > 1], which[count[which] > 1]
+    row, which = row[np.argsort(which, kind="stable")], np.sort(which)
+    for members in np.split(row, np.flatnonzero(np.diff(which)) + 1):
+        out[np.ix_(members, members)] = False
     return out
 
 
 def _worth_reading(frame: pd.DataFrame) -> pd.DataFrame:
-    return frame.loc[_apart(frame).any(1), ["bucket", "low", "high", "id"]]
+    return frame.loc[_apart(frame).any(1)]
 
 
 def _linked_in_block(frame: pd.DataFrame) -> pd.DataFrame:
@@ -198,15 +210,18 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     1. Classes meet in the buckets of their bands; buckets with the same members count once.
     2. In each bucket every member is compared with the smallest one, its hub.
     3. Where a bucket's members still belong to different components, all pairs across components
-       are compared, in blocks, inside tasks. Pairs within a component need no comparison.
-    So a group of copies of any size costs one comparison per member, and a task returns no more
-    links than it has members.
+       are compared, in blocks, inside tasks. Pairs within a component need no comparison, so the
+       blocks of the bucket's largest component meet those of the rest, and never each other.
+    So a group of copies of any size costs one comparison per member and per member outside its
+    component, and a task returns no more links than it has members.
+
+    Texts are fetched by a merge join at every size: the ids that need one grow with the corpus.
     """
     spark = docs.sparkSession
     rows = classes.select(F.explode("bands").alias("bucket"), "id")
     met = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("_last"), F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("id") % (1 << 40)).alias("_sum"))
     met = met.where("hub < _last").groupBy("hub", "_last", "members", "_sum").agg(F.min("bucket").alias("bucket"))
-    multi = saved(rows.join(met.select("bucket", "hub", "members"), "bucket"))
+    multi = saved(rows.join(met.select("bucket", "hub"), "bucket"))
 
     sketched = classes.select("id", F.struct("n", "sketch").alias("s"))
     pairs = multi.where("id <> hub").select("id", "hub").distinct()
@@ -215,7 +230,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     wanted = multi.select("id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    texts = saved(texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text")))
+    texts = saved(texts.join(wanted.hint("merge"), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text")))
 
     # Stars are cut into parts of about BLOCK members by a hash; every part gets its hub.
     parts = pairs.groupBy("hub").agg((F.count(F.lit(1)) / BLOCK).cast("int").alias("_parts"))
@@ -225,21 +240,27 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     first = saved(stars.repartition(_few(spark), "hub", "part").groupBy("hub", "part").applyInPandas(_linked_to_hub, "a long, b long"))
 
     known = components(first).withColumnRenamed("component", "_comp")
-    placed = multi.join(known, "id", "left").select("bucket", "id", "members", F.coalesce("_comp", "id").alias("comp"))
-    placed = saved(placed)
-    split = placed.groupBy("bucket").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a < _b").select("bucket")
-    blocks = (F.col("members") / BLOCK).cast("int") + 1
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("_other")
-    dealt = placed.join(split, "bucket").withColumn("_own", own).select("*", other).select(
+    placed = saved(multi.join(known, "id", "left").select("bucket", "id", F.coalesce("_comp", "id").alias("comp")))
+    counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("_n"))
+    split = counts.groupBy("bucket").agg(F.max(F.struct("_n", "comp")).alias("_most"), F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_comps"))
+    split = split.where("_comps > 1").select("bucket", "_all", F.col("_most.comp").alias("_main"), F.col("_most._n").alias("_main_n"))
+    # The rest's blocks are 0, 1, ...; those of the largest component follow. A small bucket is one block.
+    rest = F.when(F.col("_all") <= BLOCK, 1).otherwise(((F.col("_all") - F.col("_main_n")) / BLOCK).cast("int") + 1)
+    main = F.when(F.col("_all") <= BLOCK, 0).otherwise((F.col("_main_n") / BLOCK).cast("int") + 1)
+    placed = saved(placed.join(split.select("bucket", "_main", rest.alias("_rest"), main.alias("_blocks")), "bucket"))
+    inside = (F.col("comp") == F.col("_main")) & (F.col("_blocks") > 0)
+    own = F.when(inside, F.col("_rest") + F.pmod(F.xxhash64("id"), F.col("_blocks"))).otherwise(F.pmod(F.xxhash64("id"), F.col("_rest"))).cast("int")
+    others = F.col("_rest") + F.when(inside, 0).otherwise(F.col("_blocks")) - 1
+    dealt = placed.withColumn("_own", own).select("*", F.explode(F.sequence(F.lit(0), others)).alias("_other")).select(
         "bucket", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"), "id", "comp",
         (F.col("_own") < F.col("_other")).alias("side"), (F.col("_own") == F.col("_other")).alias("same"),
     )
-    dealt = saved(dealt.join(sketched, "id").select(*dealt.columns, "s.n", "s.sketch"))
+    met = placed.groupBy("id").agg(F.collect_list("bucket").alias("buckets"))  # at most one per band
+    dealt = dealt.join(sketched.join(met, "id"), "id").select(*dealt.columns, "s.n", "s.sketch", "buckets")
     keys = ["bucket", "low", "high"]
     dealt = dealt.repartition(_few(spark), *keys)  # small in bytes, but each group is work
-    worth = dealt.groupBy(*keys).applyInPandas(_worth_reading, "bucket long, low int, high int, id long")
-    doubtful = dealt.join(saved(worth), [*keys, "id"]).join(texts, "id")
+    worth = saved(dealt.groupBy(*keys).applyInPandas(_worth_reading, dealt.schema))
+    doubtful = worth.join(texts, "id")
     second = doubtful.repartition(_few(spark), *keys).groupBy(*keys).applyInPandas(_linked_in_block, "a long, b long")
     return first.unionByName(saved(second))
 

@@ -51,6 +51,29 @@ def test_near_duplicates(docs, texts):
     assert got == {i: (len(s), root[i], root[i] == i) for i, s in enumerate(sets)}
 
 
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    """Variants of one text, some linked and some not, in buckets of many blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(90):
+        words = [f"w{k}" for k in range(60)]
+        for k in rng.choice(60, rng.integers(0, 4), replace=False):
+            words[k] = f"x{rng.integers(10**9)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(56)} for _, t in rows]
+    least = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(rows)):
+            for b in range(len(rows)):
+                if least[b] < least[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    least[a], changed = least[b], True
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(least)) and 1 < len(set(least)) < 80
+
+
 def test_odd_sketches_estimate_similar_sets():
     rng = np.random.default_rng(0)
     one = rng.integers(0, 2**63, 1000).astype(np.uint64)
