@@ -36,6 +36,7 @@ HEADLINES = [
     "svd",
     "l2_normalise",
     "density_cut",
+    "topics",
     "topic_samples",
     "word_frequencies",
 ]

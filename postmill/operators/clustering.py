@@ -131,7 +131,8 @@ def _neighbours(paired: DataFrame, k: int) -> DataFrame:
         else:
             side = group["side"].to_numpy()
             apart[side[:, None] == side[None, :]] = np.inf
-        near = np.argsort(apart, axis=1, kind="stable")[:, :k]
+        most = min(k, len(x))
+        near = np.argpartition(apart, most - 1, axis=1)[:, :most]
         rows = np.repeat(np.arange(len(x)), near.shape[1])
         out = pd.DataFrame(
             {"point": ids[rows], "distance": apart[rows, near.ravel()], "weight": weight[near.ravel()]}
