@@ -187,7 +187,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, ranks)
         for batch in batches:
-            for part, raw in slices_of(batch.column(1), 4 << 20):
+            for part, raw in slices_of(batch.column(1), 1 << 20):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
                 for i, encoded in enumerate(encoder.encode(raw), part.start):
                     encoded += tail

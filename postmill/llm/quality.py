@@ -92,7 +92,7 @@ def statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw in slices_of(batch.column(batch.num_columns - 1)):
+            for part, raw in slices_of(batch.column(batch.num_columns - 1), 2 << 20):
                 out = _statistics(raw)
                 kept = [batch.column(i).slice(part.start, part.stop - part.start) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(kept + [pa.array(out[n]) for n in names], names=[*keep, *names])
