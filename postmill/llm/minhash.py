@@ -130,22 +130,25 @@ def plausible(a: Column, b: Column) -> Column:
     return sizes & (odd_bits(a["sketch"], b["sketch"]) <= MOST_ODD_BITS)
 
 
-def similar(common: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
+def similar(common, n, m):
+    """Whether sets of n and m shingles with so many in common are linked; numbers or arrays."""
     return 100 * common >= SIMILAR * (n + m - common)
 
 
-def _linked_to_hub(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links between the hub of a star and its members, all given with their texts."""
-    ids = frame["id"].to_numpy()
-    sets = shingle_sets(list(frame["text"]))
-    hub = int(np.flatnonzero(frame["is_hub"])[0])
-    found = []
-    for i, own in enumerate(sets):
-        if not frame["is_hub"].iloc[i]:
-            common = len(np.intersect1d(own, sets[hub], assume_unique=True))
-            if similar(np.array(common), len(own), np.array(len(sets[hub]))):
-                found.append((ids[i], ids[hub]))
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+def _linked_to_hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between members and the hubs of their stars. Every star's rows come together, its hub first."""
+    hub = np.zeros(0, dtype=np.uint64)
+    for batch in batches:
+        hub_ids, ids, is_hub = (batch.column(name).to_pylist() for name in ("hub", "id", "is_hub"))
+        found = []
+        for part, raw in slices_of(batch.column("text"), 4 << 20):
+            for i, own in enumerate(shingle_sets(raw), part.start):
+                if is_hub[i]:
+                    hub = own
+                elif similar(len(np.intersect1d(own, hub, assume_unique=True)), len(own), len(hub)):
+                    found.append(i)
+        columns = [pa.array([ids[i] for i in found], pa.int64()), pa.array([hub_ids[i] for i in found], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 def _apart(frame: pd.DataFrame) -> np.ndarray:
@@ -209,7 +212,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     1. Classes meet in the buckets of their bands; buckets with the same members count once.
     2. In each bucket every member is compared with the smallest one, its hub.
-    3. Where a bucket's members still belong to different components, all pairs across components
+    3. Where a bucket's other members still belong to different components, all pairs across components
        are compared, in blocks, inside tasks. Pairs within a component need no comparison, so the
        blocks of the bucket's largest component meet those of the rest, and never each other.
     So a group of copies of any size costs one comparison per member and per member outside its
@@ -237,10 +240,12 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     members = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("id"), F.col("_parts") + 1).cast("int").alias("part"), "id", F.lit(False).alias("is_hub"))
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("_parts"))).alias("part"), F.col("hub").alias("id"), F.lit(True).alias("is_hub"))
     stars = members.unionByName(hubs).join(texts, "id")
-    first = saved(stars.repartition(_few(spark), "hub", "part").groupBy("hub", "part").applyInPandas(_linked_to_hub, "a long, b long"))
+    stars = stars.repartition(_few(spark), "hub", "part").sortWithinPartitions("hub", "part", F.desc("is_hub"))
+    first = saved(stars.mapInArrow(_linked_to_hubs, "a long, b long"))
 
     known = components(first).withColumnRenamed("component", "_comp")
-    placed = saved(multi.join(known, "id", "left").select("bucket", "id", F.coalesce("_comp", "id").alias("comp")))
+    others = multi.where("id <> hub")  # every pair with a hub has been compared
+    placed = saved(others.join(known, "id", "left").select("bucket", "id", F.coalesce("_comp", "id").alias("comp")))
     counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("_n"))
     split = counts.groupBy("bucket").agg(F.max(F.struct("_n", "comp")).alias("_most"), F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_comps"))
     split = split.where("_comps > 1").select("bucket", "_all", F.col("_most.comp").alias("_main"), F.col("_most._n").alias("_main_n"))
@@ -250,8 +255,8 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     placed = saved(placed.join(split.select("bucket", "_main", rest.alias("_rest"), main.alias("_blocks")), "bucket"))
     inside = (F.col("comp") == F.col("_main")) & (F.col("_blocks") > 0)
     own = F.when(inside, F.col("_rest") + F.pmod(F.xxhash64("id"), F.col("_blocks"))).otherwise(F.pmod(F.xxhash64("id"), F.col("_rest"))).cast("int")
-    others = F.col("_rest") + F.when(inside, 0).otherwise(F.col("_blocks")) - 1
-    dealt = placed.withColumn("_own", own).select("*", F.explode(F.sequence(F.lit(0), others)).alias("_other")).select(
+    last = F.col("_rest") + F.when(inside, 0).otherwise(F.col("_blocks")) - 1
+    dealt = placed.withColumn("_own", own).select("*", F.explode(F.sequence(F.lit(0), last)).alias("_other")).select(
         "bucket", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"), "id", "comp",
         (F.col("_own") < F.col("_other")).alias("side"), (F.col("_own") == F.col("_other")).alias("same"),
     )
