@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions.text import tokens
 from postmill.functions.vectors import l2_normalise
-from postmill.sources.checkpoints import checkpointed
-from postmill.sources.tables import path_exists
+from postmill.sources.checkpoints import checkpointed, path_exists
 
 Encoder = Callable[[list[str]], np.ndarray]
 STORE_SCHEMA = "message_id string, embedding array<float>"

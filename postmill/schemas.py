@@ -76,6 +76,9 @@ PARENTS: dict[str, tuple[str, str]] = {
     },
 }
 
+# Tables with one row per key.
+UNIQUE = {parent for parent, _ in PARENTS.values()}
+
 # Natural key of each table: the columns a row must have, and the base of its surrogate id.
 KEYS: dict[str, list[str]] = {
     "messages": ["message_id"],

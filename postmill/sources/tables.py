@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from postmill.functions.headers import joined
-from postmill.schemas import ADDRESS_TYPES, KEYS, LONG_TEXT, MAX_LENGTH, PARENTS, TABLES
+from postmill.operators.skew import lookup
+from postmill.schemas import ADDRESS_TYPES, KEYS, LONG_TEXT, MAX_LENGTH, PARENTS, TABLES, UNIQUE
+
+from postmill.sources.checkpoints import checkpointed, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -58,6 +61,21 @@ def split_rejects(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return good, checked.where(F.col("reject_reason").isNotNull())
 
 
+def mark_conflicts(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """The distinct rows with a ``reject_reason``: their key is stored already, or repeated.
+
+    Of different rows with one key, the one with the smallest digest stays. Minima combine
+    map-side and reach the rows through the skew-safe look-up.
+    """
+    digest = F.sha2(F.to_json(F.struct(*rows.columns)), 256)
+    hashed = rows.distinct().withColumn("_digest", digest)
+    first = hashed.groupBy(key).agg(F.min("_digest").alias("_first"))
+    known = first.join(stored.select(key).distinct().withColumn("_stored", F.lit(True)), key, "left")
+    judged = lookup(hashed, known, key, ["_digest"])
+    reason = F.when(F.col("_stored"), f"{key} is stored already").when(F.col("_digest") != F.col("_first"), f"{key} is repeated")
+    return judged.select(*rows.columns, reason.alias("reject_reason"))
+
+
 def missing_parents(child: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Stub rows (key set, other columns null) for the child keys that have no parent.
 
@@ -102,9 +120,19 @@ class TableStore:
         return f"{self.base}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        """The table; an empty frame when nothing has been loaded."""
-        if path_exists(self.spark, self.path(table)):
-            return self.spark.read.schema(TABLES[table]).parquet(self.path(table))
+        """The table; an empty frame when nothing has been loaded. A full row hides the stub of its key."""
+        full = self._stored(table, self.path(table))
+        if not path_exists(self.spark, self.stub_path(table)):
+            return full
+        stubs = self._stored(table, self.stub_path(table))
+        return full.unionByName(stubs.join(full.select(KEYS[table]), KEYS[table], "left_anti"))
+
+    def stub_path(self, table: str) -> str:
+        return f"{self.path(table)}_stubs"
+
+    def _stored(self, table: str, path: str) -> DataFrame:
+        if path_exists(self.spark, path):
+            return self.spark.read.schema(TABLES[table]).parquet(path)
         return self.spark.createDataFrame([], TABLES[table])
 
     def read_all(self) -> dict[str, DataFrame]:
@@ -115,17 +143,23 @@ class TableStore:
         """Append a frame to its table; returns the rejected rows.
 
         An unknown table name is logged and nothing is written. Parents that do not exist yet are
-        added as stubs first. Expects a frame that was written out before, if it is costly: it is
+        added as stubs first. In the parent tables, whose key is unique, rows with a stored or repeated
+        key are rejected, so a load that runs again adds nothing to them. Expects a frame that was written out before, if it is costly: it is
         read once for the parents and once for the rows.
         """
         if table not in TABLES:
             log.error("table %r is unknown", table)
             return None
         good, rejected = split_rejects(df, table)
+        if table in UNIQUE:
+            judged = mark_conflicts(good, self._stored(table, self.path(table)), KEYS[table][0])
+            judged = checkpointed(judged)  # judged before the rows are stored
+            good = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            rejected = rejected.unionByName(judged.where(F.col("reject_reason").isNotNull()))
         if table in PARENTS:
             parent, key = PARENTS[table]
             stubs = missing_parents(good, self.read(parent), key)
-            stubs.write.mode("append").parquet(self.path(parent))
+            stubs.write.mode("append").parquet(self.stub_path(parent))
         good.write.mode("append").parquet(self.path(table))
         return rejected
 
@@ -136,12 +170,6 @@ def write_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str])
     good.write.jdbc(url, table, mode="append", properties=properties)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the path exists in its Hadoop file system."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 # --- CSV ----------------------------------------------------------------------------------------
 
 

@@ -190,6 +190,19 @@ def test_tables_round_trip(spark, tmp_path, caplog):
         assert sorted(map(str, back.collect())) == sorted(map(str, store.read(table).collect()))
 
 
+def test_conflicts_and_repeated_loads(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path / "tables"))
+    child = spark.createDataFrame([("m1", "from", "a@x")], TABLES["addresses"])
+    store.load(child, "addresses")
+    assert [(r.message_id, r.subject) for r in store.read("messages").collect()] == [("m1", None)]
+    batch = spark.createDataFrame([("m1", "s"), ("m2", "t"), ("m2", "t"), ("m2", "u")], "message_id string, subject string")
+    assert [r.reject_reason for r in store.load(batch, "messages").collect()] == ["message_id is repeated"]
+    once = sorted((r.message_id, r.subject) for r in store.read("messages").collect())
+    assert once[0] == ("m1", "s") and [k for k, _ in once] == ["m1", "m2"]
+    assert {r.reject_reason for r in store.load(batch, "messages").collect()} == {"message_id is stored already"}
+    assert sorted((r.message_id, r.subject) for r in store.read("messages").collect()) == once
+
+
 def test_long_subject_loads(spark):
     row = spark.createDataFrame([("m", "s" * 300)], "message_id string, subject string")
     good, bad = tables.split_rejects(row, "messages")

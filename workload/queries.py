@@ -134,6 +134,13 @@ def load_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.split_rejects(_address_rows(spark, sf_dir), "addresses")[0]
 
 
+def load_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with keys that repeat in the batch or are stored; the richer customers are stored."""
+    stored = M.table(spark, sf_dir, "customer").where("c_acctbal > 5000").select(c("c_custkey").alias("topic_id"))
+    batch = M.table(spark, sf_dir, "orders").select(c("o_custkey").alias("topic_id"), c("o_orderstatus").alias("topic_description"))
+    return tables.mark_conflicts(batch, stored, "topic_id")
+
+
 def null_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = M.table(spark, sf_dir, "events").select(
         "event_id",
@@ -588,6 +595,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ensure_parents": ensure_parents,
     "load_rejects": load_rejects,
     "load_accepted": load_accepted,
+    "load_conflicts": load_conflicts,
     "null_normalise": null_normalise,
     "source_counts": source_counts,
     "parse_addresses": parse_addresses,

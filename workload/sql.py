@@ -368,3 +368,10 @@ SELECT """
 )
 SQL["load_rejects"] = _ADDRESS_ROWS + "* FROM checked WHERE reject_reason IS NOT NULL"
 SQL["load_accepted"] = _ADDRESS_ROWS + "* EXCLUDE (reject_reason) FROM checked WHERE reject_reason IS NULL"
+SQL["load_conflicts"] = """
+WITH batch AS (SELECT DISTINCT o_custkey AS topic_id, o_orderstatus AS topic_description FROM orders),
+digests AS (
+  SELECT *, sha256('{"topic_id":' || topic_id || ',"topic_description":"' || topic_description || '"}') AS d FROM batch)
+SELECT topic_id, topic_description, CASE
+  WHEN topic_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000) THEN 'topic_id is stored already'
+  WHEN d <> min(d) OVER (PARTITION BY topic_id) THEN 'topic_id is repeated' END AS reject_reason FROM digests"""
