@@ -260,7 +260,8 @@ def test_stream(spark, folder, tmp_path):
     mails = incremental.mail_stream(spark, folder, files_per_batch=1)
     embed = lambda d: hashed_embeddings(d.withColumn("t", F.coalesce("plain_text_body", "html_body")), "message_id", "t", 16, idf=False)
     for _ in range(2):
-        query = incremental.follow_embeddings(mails, str(tmp_path / "s"), embed, str(tmp_path / "ck"))
+        query = incremental.follow_embeddings(mails, str(tmp_path / "s"), embed, str(tmp_path / "ck"), str(tmp_path / "aside"))
         query.awaitTermination(120)
         assert query.exception() is None
     assert sorted(r.message_id for r in read_store(spark, str(tmp_path / "s")).collect()) == ["a@x", "b@x", "c@x"]
+    assert [r.parse_error is None for r in spark.read.parquet(str(tmp_path / "aside")).collect()] == [False]
