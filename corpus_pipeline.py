@@ -39,13 +39,19 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as Poisson replication to the target weights says, shuffled over all sources."""
-    return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS)
+    """Documents as often as Poisson replication to the target weights says, shuffled over all sources.
+
+    ``copy`` numbers the copies of a document from 0, ``position`` all rows in their new order.
+    """
+    return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS, "copy", "position")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, placed in sequences of 1024 tokens, with their ids."""
-    return packing.pack(docs, TOKENIZER, RANKS)
+    """The pieces of all documents, placed in sequences of 1024 tokens, with their ids.
+
+    (position, piece) is unique, also where copies share a doc_id.
+    """
+    return packing.pack(docs, TOKENIZER, RANKS, keep_ids=True, keep=("copy", "position"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

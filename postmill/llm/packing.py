@@ -173,21 +173,23 @@ class Words:
         return out
 
 
-def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = CAPACITY, end: int = END, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]): documents as ids and an end id, cut only if too long.
+def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = CAPACITY, end: int = END, keep_ids: bool = False, keep: Sequence[str] = (), narrow: bool = False) -> DataFrame:
+    """(doc_id[, keep], piece, start, length, ids_crc32[, ids]): documents as ids and an end id, cut only if too long.
 
     Pieces of a longer document hold ``capacity`` ids each, but for the first, which may be shorter.
     ``ids`` (little-endian 32-bit) is filled on request. Null text is empty and gives a piece with
-    the end id alone.
+    the end id alone. Columns named in ``keep`` go with every piece. With ``narrow``, ids take 16 bits each
+    in pieces where all of them fit, for ``widened`` to undo.
     """
-    schema = docs.select("doc_id").schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long")
+    own_columns = ["doc_id", *keep]
+    schema = docs.select(*own_columns).schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long")
     schema = schema.add("ids", "binary") if keep_ids else schema
     tail = np.array([end], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, ranks)
         for batch in batches:
-            for part, raw in slices_of(batch.column(1), 1 << 20):
+            for part, raw in slices_of(batch.column(len(own_columns)), 1 << 20):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
                 for i, encoded in enumerate(encoder.encode(raw), part.start):
                     encoded += tail
@@ -200,13 +202,25 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity:
                         start.append(begin)
                         length.append(stop - begin)
                         crc.append(zlib.crc32(own))
-                        ids.append(own if keep_ids else None)
+                        ids.append(None if not keep_ids else narrowed(own) if narrow else own)
                         begin, stop, number = stop, stop + capacity, number + 1
-                columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                at = pa.array(row, pa.int64())
+                columns = [*[batch.column(k).take(at) for k in range(len(own_columns))], pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 columns += [pa.array(ids, pa.binary())] if keep_ids else []
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select(*own_columns, "text").mapInArrow(cut, schema)
+
+
+def narrowed(ids: bytes) -> bytes:
+    """32-bit ids as 16-bit ones, or unchanged if one does not fit."""
+    wide = np.frombuffer(ids, dtype="<u4")
+    return wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else ids
+
+
+def widened(ids: bytes, length: int) -> bytes:
+    """The ``length`` 32-bit ids that ``narrowed`` was given."""
+    return np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes() if len(ids) == 2 * length else ids
 
 
 class CapacityTree:
@@ -285,7 +299,7 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
     return runs
 
 
-def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False, block_rows: int = 2000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False, block_rows: int = 2000, keep: Sequence[str] = ()) -> DataFrame:
     """The pieces of all documents with sequence_id and offset, as best-fit decreasing packs them.
 
     Best fit needs the lengths only, and there are at most ``capacity`` of them: the driver gets one
@@ -293,18 +307,20 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: in
     place from its rank among the pieces of its length. Ranks are counted in blocks, so a length that
     most pieces share does not gather in one task.
 
+    With ``keep_ids`` the ids are saved and shuffled once, in 16 bits each where they fit.
+
     Null text: a piece with the end id alone. Null doc_id and repeated rows: documents like any
-    other. An empty table gives no rows; other columns of ``docs`` are ignored.
+    other. An empty table gives no rows; columns of ``docs`` that ``keep`` does not name are ignored.
     """
-    cut = saved(pieces(docs, tokenizer, ranks, capacity, keep_ids=keep_ids))
+    cut = saved(pieces(docs, tokenizer, ranks, capacity, keep_ids=keep_ids, keep=keep, narrow=True))
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     runs = np.array(best_fit(histogram, capacity), dtype=np.int64).reshape(-1, 6)
     runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
     top = int(runs[:, 1].max() + runs[:, 2].max() + 1) if len(runs) else 1
     keys = runs[:, 0] * top + runs[:, 1] if capacity * top < 2**62 else None
     blocks = blocks_for(max(histogram.values(), default=1), block_rows)
-    block = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id()), F.lit(blocks)).cast("int")
-    ranked = numbered(cut.withColumn("_block", block), ["length"], "_block", ["doc_id", "piece", "ids_crc32"], "_rank_")
+    block = F.pmod(F.xxhash64("doc_id", *keep, "piece", "ids_crc32", F.spark_partition_id()), F.lit(blocks)).cast("int")
+    ranked = numbered(cut.withColumn("_block", block), ["length"], "_block", ["doc_id", "piece", "ids_crc32", *keep], "_rank_")
     names = cut.columns
     schema = cut.schema.add("sequence_id", "long").add("offset", "long")
     if keys is None:
@@ -316,6 +332,14 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: in
             run = runs[np.searchsorted(keys, length * top + rank, "right") - 1]
             r = rank - run[:, 1]
             own = [pa.array(run[:, 3] + r // run[:, 4]), pa.array(run[:, 5] + r % run[:, 4] * length)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(names))] + own, names=schema.names)
+            columns = [batch.column(i) for i in range(len(names))] + own
+            if not keep_ids:
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                continue
+            at = names.index("ids")
+            for part, raw in slices_of(columns[at], 1 << 20):
+                some = [c.slice(part.start, part.stop - part.start) for c in columns]
+                some[at] = pa.array(map(widened, raw, length[part].tolist()), pa.binary())
+                yield pa.RecordBatch.from_arrays(some, names=schema.names)
 
     return ranked.select(*names, "_rank_").mapInArrow(placed, schema)
