@@ -32,6 +32,7 @@ class Encoder:
     A text is cut where the tokenizer's pre-split cuts in any case, before a single space and around
     a single line end, and every distinct chunk is encoded once. ``ranks`` names the same vocabulary
     as a rank file, with which plain chunks are encoded several times faster; the ids are the same.
+    A text that holds an added token, such as an end mark, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, ranks: str | None = None) -> None:
@@ -41,7 +42,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {"": b""}
         self.fast = None
         if ranks:
@@ -82,6 +83,16 @@ class Encoder:
 
     def encode(self, raw: Sequence[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts: in blocks of words where a rank file is given, or else by chunks."""
+        whole = [i for i, t in enumerate(raw) if any(a in t for a in self.added)]
+        if not whole:
+            return self.encode_parts(raw)
+        out = self.encode_parts([t for t in raw if not any(a in t for a in self.added)])
+        for i in whole:  # in ascending order, so that each lands at its own place
+            ids = self.tokenizer.encode(raw[i].decode("utf-8"), add_special_tokens=False).ids
+            out.insert(i, np.array(ids, dtype="<u4").tobytes())
+        return out
+
+    def encode_parts(self, raw: Sequence[bytes]) -> list[bytes]:
         if self.fast is None or not raw:
             return self.encode_chunks([t.decode("utf-8") for t in raw])
         return self.words.encode(raw, self.encode_chunks)

@@ -252,6 +252,18 @@ def test_packing(docs, texts):
         assert at <= 1024
 
 
+@pytest.mark.parametrize("ranks", [None, "byte_bpe_50k.tiktoken"])
+def test_added_tokens_are_encoded_as_the_tokenizer_does(ranks):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    cases = ["<|endoftext|>", "plain words", "a <|endoftext|> b<|endoftext|>\n\nc  d", "", "é <|endoftext|", "x<|endoftext|><|endoftext|>y", "日本<|endoftext|>", "last one"]
+    got = packing.Encoder(path, ranks and public_tokenizers.path(ranks)).encode([t.encode() for t in cases])
+    want = [plain.encode(t, add_special_tokens=False).ids for t in cases]
+    assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == want and 50256 in want[0]
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for out in (minhash.near_duplicates(none), sharding.with_shards(none), ngrams.train_and_score(none), suffixes.remove_repeats(none), quality.statistics(none), secrets.scan(none), packing.pack(none, public_tokenizers.path("byte_bpe_50k.json"))):
