@@ -44,7 +44,9 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _dealt(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
-    """Sorted (key, count) runs, one per bucket."""
+    """Sorted (key, count) runs, one per bucket; none without keys."""
+    if not len(keys):
+        return
     order = np.argsort(bucket, kind="stable")
     keys, counts, bucket = keys[order], counts[order].astype("<u4"), bucket[order]
     first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.arrays import get, new_folder, put
-from postmill.llm.common import bytes_of, give_back, mix, powers, prefix_hash, saved, slices_of, text_or_empty
+from postmill.llm.common import give_back, mix, powers, prefix_hash, saved, slices_of, text_or_empty
 from postmill.llm.ngrams import _counted, _find, _merged, _ranges
 
 LENGTH = 100
@@ -256,7 +256,9 @@ def _passages(texts: DataFrame, folder: str, buckets: int, shards: int) -> DataF
             texts_ = [t for part in content_of for t in part]
             for kind, parts in ((0, passages), (1, alone), (2, gone)):
                 items = np.concatenate(parts) if parts else np.zeros(0, dtype=_PASSAGE)
-                shard = (items["hash"] % np.uint64(shards)).astype(np.int64)
+                # What is settled needs no partner and goes by its text, so that no anchor gathers its copies.
+                own = items["hash"] if kind < 2 else mix(items["ord"].astype(np.uint64))
+                shard = (own % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 for s, (i, j) in _ranges(shard[order]):
                     out.append((s, kind, items[order[i:j]].tobytes(), b"".join(texts_[k] for k in order[i:j].tolist()) if kind == 0 else b""))
@@ -437,24 +439,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = bytes_of(batch.column(1))
-            removed, spans, kept = [], [], []
-            for text, begin, end in zip(raw, batch.column(2), batch.column(3), strict=True):
-                if not begin.is_valid:
-                    removed.append(0)
-                    spans.append(0)
-                    kept.append(text)
-                    continue
-                cut = _intervals(np.zeros(len(begin), dtype=np.int64), begin.values.to_numpy(), end.values.to_numpy())
-                left, at = [], 0
-                for a, b in zip(cut["begin"].tolist(), cut["end"].tolist(), strict=True):
-                    left.append(text[at:a])
-                    at = b
-                left.append(text[at:])
-                kept.append(b"".join(left))
-                removed.append(len(text) - len(kept[-1]))
-                spans.append(len(cut))
-            columns = [batch.column(0), pa.array([len(t) for t in raw], pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for part, raw in slices_of(batch.column(1)):
+                own = batch.slice(part.start, part.stop - part.start)
+                removed, spans, kept = [], [], []
+                for text, begin, end in zip(raw, own.column(2), own.column(3), strict=True):
+                    if not begin.is_valid:
+                        removed.append(0)
+                        spans.append(0)
+                        kept.append(text)
+                        continue
+                    cut = _intervals(np.zeros(len(begin), dtype=np.int64), begin.values.to_numpy(), end.values.to_numpy())
+                    left, at = [], 0
+                    for a, b in zip(cut["begin"].tolist(), cut["end"].tolist(), strict=True):
+                        left.append(text[at:a])
+                        at = b
+                    left.append(text[at:])
+                    kept.append(b"".join(left))
+                    removed.append(len(text) - len(kept[-1]))
+                    spans.append(len(cut))
+                numbers = [pa.array(v, pa.int64()) for v in ([len(t) for t in raw], removed, spans)]
+                yield pa.RecordBatch.from_arrays([own.column(0), *numbers, pa.array(kept, pa.binary())], names=schema.names)
 
     return joined.mapInArrow(apply, schema)

@@ -210,7 +210,7 @@ def test_secrets(spark):
     assert secrets.trigram_query("[0-9a-f]{24,}") == []
 
 
-def test_repeats_are_removed(spark, docs, texts):
+def without_repeats(texts):
     seen, want = set(), {}
     for i, t in enumerate(texts):
         data = (t or "").encode()
@@ -220,8 +220,20 @@ def test_repeats_are_removed(spark, docs, texts):
                 gone[s : s + 100] = b"\1" * 100
             seen.add(data[s : s + 100])
         want[i] = (len(data), sum(gone), len(re.findall(b"\1+", gone)), bytes(c for c, g in zip(data, gone) if not g))
+    return want
+
+
+def test_repeats_are_removed(docs, texts):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.remove_repeats(docs).collect()}
-    assert got == want
+    assert got == without_repeats(texts)
+
+
+def test_repeats_beside_short_texts(spark, texts):
+    """Tasks that see no text of 100 bytes: short texts only, nulls only, and one such partition among others."""
+    for own, parts in (([f"short {i}" for i in range(8)], 4), ([None] * 8, 4), ([*texts[:4], *["few words"] * 12], 4)):
+        rows = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").repartitionByRange(parts, "doc_id")
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.remove_repeats(rows).collect()}
+        assert got == without_repeats(own)
 
 
 def test_suffix_array():
