@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import chat, minhash, mixing, ngrams, packing, quality, secrets, sharding, suffixes, vectors
-from postmill.llm.common import table
+from postmill.llm import chat, minhash, mixing, ngrams, packing, quality, runs, secrets, sharding, suffixes, vectors
+from postmill.llm.common import WORD_SPLIT, table, text_or_empty
 from postmill.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,9 +81,42 @@ def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), TOKENIZER, RANKS)
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by a hash of the id, the words from some place on repeat with a period."""
+    words = F.filter(F.split(text_or_empty(), WORD_SPLIT, -1), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    start = (g % F.nullif(n, F.lit(0))).cast("int")
+    period = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    chosen = chosen.withColumns({"n": n, "g": g, "a": start}).withColumn("p", period)
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_lyndon_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_periodic_tails(table(spark, folder, "documents")))
+    ranked = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    first = found.withColumn("top", F.get(ranked, F.lit(0)))
+    return first.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        (-F.col("top.n")).alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(-1000 * F.col("top.n") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_minhash_odd_sketches, op2_weighted_hash_tree, op3_poisson_mixing, op4_kneser_ney, op5_pruned_graph,
     op6_isolation_forest, op7_event_sourced_chat, op8_trigram_secrets, op9_induced_suffixes, op10_best_fit,
+    op13_lyndon_runs,
 )}
 
 __all__ = ["QUERIES", "SQL"]
