@@ -117,10 +117,24 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN g ON g.rid = d.rid
 """
 
+OP11 = """
+WITH w AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS o, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+places AS (SELECT o, i, array_to_string(w[i:i+19], ' ') AS s FROM (SELECT o, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
+later AS (SELECT o, i FROM places QUALIFY row_number() OVER (PARTITION BY s ORDER BY o, i) > 1),
+gone AS (SELECT DISTINCT o, i + k AS i FROM later, range(0, 20) AS r(k)),
+words AS (SELECT o, w[i] AS x, i FROM (SELECT o, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+left_ AS (SELECT o, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (o, i) GROUP BY o)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN left_ USING (o)
+"""
+
 SQL = {
     "op1_minhash_odd_sketches": OP1,
     "op3_poisson_mixing": OP3,
     "op5_pruned_graph": OP5,
     "op7_event_sourced_chat": OP7,
     "op8_trigram_secrets": OP8,
+    "op11_count_min_windows": OP11,
 }

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postmill.llm import queries, runs
+from postmill.llm import queries, runs, windows
 
 SEPARATED = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -112,3 +112,58 @@ def test_runs_of_odd_tables(spark):
     one = (20, [(0, 20, 2)], "a b")
     assert got == [(None, *one), (4, *one), (4, *one), (5, 0, [], "")]
     assert runs.periodic_runs(spark.createDataFrame([], schema)).count() == 0
+
+
+# --- windows ------------------------------------------------------------------------------------
+
+
+def without_windows(texts, size=20):
+    seen, want = set(), []
+    for t in texts:
+        words = SEPARATED.findall(t or "")
+        gone = set()
+        for i in range(len(words) - size + 1):
+            key = tuple(words[i : i + size])
+            if key in seen:
+                gone.update(range(i, i + size))
+            seen.add(key)
+        want.append((len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)))
+    return want
+
+
+def test_windows_query(spark, folder, texts):
+    want = {i * 7 + 3: (n, gone, sha(kept)) for i, (n, gone, kept) in enumerate(without_windows(texts))}
+    assert rows_of(queries.op11_count_min_windows(spark, folder), "doc_id", "n_words", "n_removed", "kept_sha256") == want
+    assert sum(gone > 0 for _, gone, _ in want.values()) > 20
+
+
+@pytest.mark.parametrize("columns", [8, 1 << 12])
+def test_windows_of_many_slices(spark, texts, monkeypatch, columns):
+    """Small slices and groups, and counters that most windows share: the sketch lets more pass, the result is the same."""
+    monkeypatch.setattr(windows, "COLUMNS", columns)
+    monkeypatch.setattr(windows, "SLICE", 2000)
+    monkeypatch.setattr(windows, "FLUSH", 300)
+    monkeypatch.setattr(windows, "SEGMENT", 10_000)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = rows_of(windows.remove_repeats(rows), "doc_id", "n_words", "n_removed", "kept")
+    assert got == dict(enumerate(without_windows(texts)))
+
+
+def test_windows_without_answers(spark, texts, monkeypatch):
+    """Slices that were cut otherwise when they were counted find no answer; all their windows are compared."""
+    monkeypatch.setattr(windows, "get", lambda *_: (_ for _ in ()).throw(FileNotFoundError()))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = rows_of(windows.remove_repeats(rows), "doc_id", "n_words", "n_removed", "kept")
+    assert got == dict(enumerate(without_windows(texts)))
+
+
+def test_windows_of_odd_tables(spark):
+    schema = "doc_id long, text string, ord string, kept long"
+    passage = " ".join(f"w{i}" for i in range(25))
+    rows = [(None, passage, "x", 1), (4, f"{passage} a", "x", 1), (4, f"{passage} b", "x", 1), (4, f"{passage} b", "x", 1), (5, None, None, None), (6, "short", "", 1)]
+    got = sorted(tuple(r) for r in windows.remove_repeats(spark.createDataFrame(rows, schema)).where("doc_id is not null").collect())
+    assert got == [(4, 26, 0, f"{passage} a"), (4, 26, 25, "b"), (4, 26, 26, ""), (5, 0, 0, ""), (6, 1, 0, "short")]
+    assert windows.remove_repeats(spark.createDataFrame(rows, schema)).where("doc_id is null").collect()[0].n_removed == 25
+    for few in ([], [(i, "few words", "", 1) for i in range(8)], [(i, None, "", 1) for i in range(8)]):
+        out = windows.remove_repeats(spark.createDataFrame(few, schema).repartition(3)).collect()
+        assert len(out) == len(few) and not any(r.n_removed for r in out)
