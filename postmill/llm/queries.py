@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import chat, minhash, mixing, ngrams, packing, quality, runs, secrets, sharding, suffixes, vectors, windows
+from postmill.llm import chat, minhash, mixing, ngrams, packing, phrases, quality, runs, secrets, sharding, suffixes, vectors, windows
 from postmill.llm.common import WORD_SPLIT, table, text_or_empty
 from postmill.llm.sql import SQL
 
@@ -86,6 +86,10 @@ def op11_count_min_windows(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_de_bruijn_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """(doc_id, text): in a tenth of the documents, by a hash of the id, the words from some place on repeat with a period."""
     words = F.filter(F.split(text_or_empty(), WORD_SPLIT, -1), lambda w: w != "")
@@ -121,7 +125,7 @@ def op13_lyndon_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_minhash_odd_sketches, op2_weighted_hash_tree, op3_poisson_mixing, op4_kneser_ney, op5_pruned_graph,
     op6_isolation_forest, op7_event_sourced_chat, op8_trigram_secrets, op9_induced_suffixes, op10_best_fit,
-    op11_count_min_windows, op13_lyndon_runs,
+    op11_count_min_windows, op12_de_bruijn_phrases, op13_lyndon_runs,
 )}
 
 __all__ = ["QUERIES", "SQL"]

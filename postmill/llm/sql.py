@@ -130,6 +130,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM w LEFT JOIN left_ USING (o)
 """
 
+OP12 = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, w[i:i+m-1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) AS s(m))),
+f AS (SELECT lang, g, count(*) AS a FROM grams GROUP BY 1, 2),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY 1),
+c AS (SELECT lang, g, a FROM f WHERE len(g) > 1 AND a >= 30),
+inner_ AS (
+  SELECT lang, g[i:i+m-1] AS g, max(a) AS most
+  FROM (SELECT lang, g, a, m, unnest(range(1, len(g) - m + 2)) AS i FROM c, (VALUES (2), (3)) AS s(m) WHERE m < len(g)) GROUP BY 1, 2),
+alive AS (SELECT c.* FROM c LEFT JOIN inner_ USING (lang, g) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * c.a::HUGEINT),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM alive),
+scored AS (
+  SELECT cuts.lang, cuts.g, cuts.a, k, x.a AS l, y.a AS r, ((2000000 * cuts.a::HUGEINT) // (x.a + y.a))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1:k] JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[k+1:]),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (SELECT *, array_to_string(g, ' ') AS phrase FROM worst)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op1_minhash_odd_sketches": OP1,
     "op3_poisson_mixing": OP3,
@@ -137,4 +161,5 @@ SQL = {
     "op7_event_sourced_chat": OP7,
     "op8_trigram_secrets": OP8,
     "op11_count_min_windows": OP11,
+    "op12_de_bruijn_phrases": OP12,
 }

@@ -1,5 +1,6 @@
 """Windows, phrases and periodic runs: the operators and their queries on small fixtures, against brute force."""
 
+import collections
 import hashlib
 import random
 import re
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postmill.llm import queries, runs, windows
+from postmill.llm import phrases, queries, runs, windows
 
 SEPARATED = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -167,3 +168,75 @@ def test_windows_of_odd_tables(spark):
     for few in ([], [(i, "few words", "", 1) for i in range(8)], [(i, None, "", 1) for i in range(8)]):
         out = windows.remove_repeats(spark.createDataFrame(few, schema).repartition(3)).collect()
         assert len(out) == len(few) and not any(r.n_removed for r in out)
+
+
+# --- phrases ------------------------------------------------------------------------------------
+
+
+def slow_collocations(rows, least, top):
+    counts = collections.defaultdict(collections.Counter)
+    for text, lang in rows:
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for m in range(1, 5):
+                for i in range(len(w) - m + 1):
+                    counts[lang or "und"][tuple(w[i : i + m])] += 1
+    out = []
+    for lang, f in counts.items():
+        n = sum(a for g, a in f.items() if len(g) == 1)
+        often = {g: a for g, a in f.items() if len(g) > 1 and a >= least}
+        most = collections.Counter()
+        for g, a in often.items():
+            for m in range(2, len(g)):
+                for i in range(len(g) - m + 1):
+                    most[g[i : i + m]] = max(most[g[i : i + m]], a)
+        found = []
+        for g, a in often.items():
+            if 100 * most[g] >= 80 * a:
+                continue
+            score, _, l, r = min((2000000 * a // (f[g[:k]] + f[g[k:]]), k, f[g[:k]], f[g[k:]]) for k in range(1, len(g)))
+            found.append((-score, -a, " ".join(g).encode(), l, r))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, n, -score))
+    return sorted(out)
+
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@pytest.mark.parametrize(("least", "top", "slices"), [(30, 2000, 1 << 22), (3, 25, 700)])
+def test_collocations(spark, folder, texts, monkeypatch, least, top, slices):
+    """The query's parameters, and small ones with small slices, groups and flushes; the top cuts through ties."""
+    monkeypatch.setattr(phrases, "SLICE", slices)
+    if top < 2000:
+        monkeypatch.setattr(phrases, "FLUSH", 500)
+        monkeypatch.setattr(phrases, "GROUP", 5000)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = sorted(tuple(r) for r in phrases.collocations(docs, least, top).select(*COLUMNS).collect())
+    rows = [(r.text, r.lang) for r in docs.collect()]
+    assert got == slow_collocations(rows, least, top) and len({g[0] for g in got}) == 3
+
+
+def test_paths_are_compacted(spark):
+    """Passages of their own words are one path each; where two share a stretch, paths end at its ends."""
+    word = [f"w{i}" for i in range(40)]
+    lines = [" ".join(word[:12])] * 5 + [" ".join(word[20:26] + word[6:10] + word[30:34])] * 4 + ["en es de"] * 3
+    graph = phrases.build(spark.createDataFrame([(t, "en") for t in lines], "text string, lang string"), 3)
+    name = {r.id: r.word for r in graph.words.collect()}
+    got = sorted((r.a, " ".join(name[i] for i in r.words)) for r in phrases.paths(graph).collect())
+    # the shared stretch w6..w9 is one edge of weight 9
+    want = [(4, word[20:26] + word[6:9]), (4, word[7:10] + word[30:34]), (5, word[:9]), (5, word[7:12]), (9, word[6:10])]
+    assert got == sorted((a, " ".join(w)) for a, w in want)
+
+
+def test_phrases_of_odd_tables(spark):
+    schema = "text string, lang string, w1 string, n long, word long"
+    docs = spark.createDataFrame([], schema)
+    assert phrases.collocations(docs).count() == 0
+    docs = spark.createDataFrame([(None, None, "x", 1, 1), ("", "en", "x", 1, 1), ("only once", None, "x", 1, 1)], schema)
+    assert phrases.collocations(docs).count() == 0
+    # words of one language are the names of another
+    docs = spark.createDataFrame([("en es", "es", "x", 1, 1), ("es en", "en", "x", 1, 1)] * 2 + [("long " * 9000, None, "x", 1, 1)], schema)
+    got = sorted(tuple(r) for r in phrases.collocations(docs, 2).select(*COLUMNS).collect())
+    assert got == slow_collocations([(r.text, r.lang) for r in docs.collect()], 2, 2000)
