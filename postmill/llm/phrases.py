@@ -235,7 +235,8 @@ def build(docs: DataFrame, least: int = 30) -> Graph:
     frequent, so rare words end pieces, and the words' own counts are taken before.
 
     Edges are added up in groups by node, pairs in groups by pair, both from packed runs: a
-    frequent gram costs one entry per ``FLUSH`` grams of a task.
+    frequent gram costs one entry per ``FLUSH`` grams of a task. There are as many partitions as groups,
+    so that a task's share does not grow with the text.
     """
     spark = docs.sparkSession
     n_bytes = docs.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
@@ -267,7 +268,7 @@ def build(docs: DataFrame, least: int = 30) -> Graph:
         give_back()
         return pd.DataFrame(out, columns=["bucket", "first", "rest", "counts"])
 
-    flows = saved(grams.groupBy("bucket").applyInPandas(add, _RUNS))
+    flows = saved(grams.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(add, _RUNS))
     row = "w1 long, w2 long, w3 long, w4 long, a long"
 
     def as_rows(a: np.ndarray, b: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
@@ -284,7 +285,7 @@ def build(docs: DataFrame, least: int = 30) -> Graph:
             for first, rest, counts in zip(frame["first"], frame["rest"], frame["counts"], strict=True):
                 yield as_rows(_unpacked([first], "<u8"), _unpacked([rest], "<u8"), _unpacked([counts], "<i8"))
 
-    pairs = flows.where("bucket >= 0").groupBy("bucket").applyInPandas(add_pairs, row)
+    pairs = flows.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(add_pairs, row)
     longer = flows.where("bucket = -1").mapInPandas(unpack, row)
     zero = F.lit(0).cast("long")
     single = frequent.select(F.col("id").alias("w1"), zero.alias("w2"), zero.alias("w3"), zero.alias("w4"), F.col("n").alias("a"))
