@@ -246,7 +246,7 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     3. A second pass over the texts takes the windows whose counters both reach two. That is every repeated window, as a
        sketch never counts too little, and a few others.
     4. These are grouped exactly, by 128 bits of two hashes of their words; the earliest of each stays.
-       A frequent window costs a group one entry per ``FLUSH`` windows of a task.
+       A frequent window costs a group one entry per ``FLUSH`` windows of a task. There are as many partitions as groups.
     5. The ranges found are merged per document and cut out.
 
     Two windows are taken for equal if both 64-bit hashes agree: 1e-38 for each pair of windows, and 5e-20 for
@@ -259,11 +259,11 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     n_bytes = texts.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
     segments, groups = n_bytes // SEGMENT + 8, n_bytes // GROUP + 8
     folder = new_folder(docs.sparkSession, "sketch")
-    told = _partial_sketches(texts, size, segments).groupBy("segment").applyInPandas(_merged, _TOLD)
-    told.groupBy("slice").applyInPandas(_write_answers(folder), "slice long").agg(F.count("slice")).first()
+    told = _partial_sketches(texts, size, segments).repartition(segments, "segment").groupBy("segment").applyInPandas(_merged, _TOLD)
+    told.repartition(groups, "slice").groupBy("slice").applyInPandas(_write_answers(folder), "slice long").agg(F.count("slice")).first()
     chosen = _candidates(texts, size, folder, segments, groups)
-    settled = chosen.groupBy("group").applyInPandas(_settled(size, groups), "group int, items binary")
-    ranges = saved(settled.groupBy("group").applyInPandas(_per_text, "ord long, ranges binary"))
+    settled = chosen.repartition(groups, "group").groupBy("group").applyInPandas(_settled(size, groups), "group int, items binary")
+    ranges = saved(settled.repartition(groups, "group").groupBy("group").applyInPandas(_per_text, "ord long, ranges binary"))
     joined = texts.join(ranges, "ord", "left").select("doc_id", "text", "ranges")
     schema = StructType([*docs.select("doc_id").schema, *StructType.fromDDL("n_words long, n_removed long, kept string")])
 
