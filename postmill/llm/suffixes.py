@@ -218,7 +218,7 @@ def _repeated_anchors(texts: DataFrame, folder: str, buckets: int) -> None:
         put(folder, f"times-{key[0]}", counts[counts > 1].astype("<i8"))
         return pd.DataFrame({"bucket": [int(key[0])], "n": [int((counts > 1).sum())]})
 
-    have = {r["bucket"] for r in saved(_counted(texts, keys).groupBy("bucket").applyInPandas(write, "bucket int, n long")).collect()}
+    have = {r["bucket"] for r in saved(_counted(texts, keys).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(write, "bucket int, n long")).collect()}
     for bucket in set(range(buckets)) - have:
         put(folder, f"anchors-{bucket}", np.zeros(0, dtype="<u8"))
         put(folder, f"times-{bucket}", np.zeros(0, dtype="<i8"))
@@ -432,7 +432,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets = max(8, size // (16 << 20) + 1)
     shards = max(8, size // GROUP + 1)
     _repeated_anchors(texts, folder, buckets)
-    ranges = saved(_passages(texts, folder, buckets, shards).groupBy("shard").applyInPandas(_settled, "ord long, begin long, end long"))
+    ranges = saved(_passages(texts, folder, buckets, shards).repartition(shards, "shard").groupBy("shard").applyInPandas(_settled, "ord long, begin long, end long"))
     per_text = ranges.groupBy("ord").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     joined = texts.join(per_text, "ord", "left").select("doc_id", "text", "ranges.begin", "ranges.end")
     schema = docs.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
