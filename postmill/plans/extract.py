@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions.text import clean_text, fill_plain_text_body
 from postmill.operators import language, relate, threads
+from postmill.operators.charsets import CharsetModel
 from postmill.operators.naive_bayes import NaiveBayes
 from postmill.operators.skew import lookup
 from postmill.sources import raw_mail
@@ -24,13 +25,15 @@ def extract(
     fill_html: bool = False,
     banners: Sequence[str] | None = None,
     languages: NaiveBayes | None = None,
+    charsets: CharsetModel | None = None,
 ) -> DataFrame:
     """Read, parse, thread, clean, time and (with a model) name the language of each mail.
 
     The parsed mails are saved once as ``parsed`` and the ones set aside as ``quarantined``, so the
-    Python parser runs once; all later steps are native and read only the columns they need.
+    Python parser runs once; all later steps are native and read only the columns they need. Bodies without
+    a charset that fits are decoded by ``charsets``, which ``charsets.train`` learns from ``raw_mail.declared_bodies``.
     """
-    everything = checkpoints.save("raw_parsed", raw_mail.parse_mails(raw_mail.read_mail_files(spark, paths, glob)))
+    everything = checkpoints.save("raw_parsed", raw_mail.parse_mails(raw_mail.read_mail_files(spark, paths, glob), model=charsets))
     checkpoints.save("quarantined", raw_mail.quarantined(everything))
     mails = raw_mail.accepted(everything)
     if fill_html:

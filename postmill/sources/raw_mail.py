@@ -12,9 +12,11 @@ from email.message import Message
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
 from postmill.functions import headers as H
+from postmill.operators import charsets
+from postmill.operators.charsets import CharsetModel
 from postmill.schemas import MAIL
 
 # Raw parts of one mail as the Python worker returns them; all further parsing is native.
@@ -30,9 +32,12 @@ HEADERS = {
     "cc_header": "Cc",
     "bcc_header": "Bcc",
 }
-PARTS = [*HEADERS, "plain_text", "html", "parse_error"]
-PARTS_TYPE = StructType([StructField(name, StringType()) for name in PARTS])
-FALLBACK_CHARSETS = ["utf-8", "windows-1252"]
+LEAF = StructType([StructField("body", BinaryType()), StructField("charset", StringType())])
+PARTS_TYPE = StructType(
+    [StructField(name, StringType()) for name in [*HEADERS, "parse_error"]]
+    + [StructField(name, ArrayType(LEAF)) for name in ("plain_text", "html")]
+)
+PARTS = PARTS_TYPE.names
 
 
 def read_mail_files(spark: SparkSession, paths: str | list[str], glob: str = "*.eml") -> DataFrame:
@@ -57,13 +62,14 @@ def _decode_words(value: str) -> str:
         return value
 
 
-def _text(part: Message) -> str:
-    return (part.get_payload(decode=True) or b"").decode(errors="ignore")
+def _leaf(part: Message) -> dict[str, object]:
+    """A part's bytes, its transfer encoding undone, and the charset it declares; decoding comes later."""
+    return {"body": part.get_payload(decode=True) or b"", "charset": part.get_content_charset()}
 
 
-def _parts_of(raw: bytes) -> dict[str, str | None]:
-    """Headers and concatenated bodies of one mail; what cannot be parsed is named in ``parse_error``."""
-    out: dict[str, str | None] = dict.fromkeys(PARTS)
+def _parts_of(raw: bytes) -> dict[str, object]:
+    """Headers and leaf parts of one mail; what cannot be parsed is named in ``parse_error``."""
+    out: dict[str, object] = dict.fromkeys(PARTS)
     try:
         mail = message_from_bytes(raw)
         out |= {part: _header(mail, name) for part, name in HEADERS.items()}
@@ -72,10 +78,10 @@ def _parts_of(raw: bytes) -> dict[str, str | None]:
             out["parse_error"] = "no header " + ", ".join(missing)
         if mail.is_multipart():
             leaves = list(mail.walk())
-            out["plain_text"] = "".join(_text(p) for p in leaves if p.get_content_type() == "text/plain")
-            out["html"] = "".join(_text(p) for p in leaves if p.get_content_type() == "text/html")
+            out["plain_text"] = [_leaf(p) for p in leaves if p.get_content_type() == "text/plain"]
+            out["html"] = [_leaf(p) for p in leaves if p.get_content_type() == "text/html"]
         else:
-            out["plain_text"] = _text(mail)
+            out["plain_text"] = [_leaf(mail)]
     except Exception as error:
         out["parse_error"] = f"{type(error).__name__}: {error}"
     return out
@@ -86,16 +92,17 @@ def _mail_parts(contents: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([_parts_of(raw) for raw in batch], columns=PARTS)
 
 
-# MIME structure, MIME words and transfer encodings, by the standard library. Marked
+# MIME structure, MIME words and transfer encodings, by the standard library; bodies leave as bytes. Marked
 # non-deterministic so that a later filter does not run it a second time.
 mail_parts = F.pandas_udf(_mail_parts, PARTS_TYPE).asNondeterministic()
 
 
-def parse_mails(files: DataFrame, content: str = "content") -> DataFrame:
+def parse_mails(files: DataFrame, content: str = "content", model: CharsetModel | None = None) -> DataFrame:
     """Add the mail fields to a frame of raw mails; ``parse_error`` marks the mails to set aside.
 
-    Python only takes a mail apart; identifiers, addresses and times are native expressions.
-    An empty body is null.
+    Python only takes a mail apart; identifiers, addresses and times are native expressions. Each
+    part is decoded by its own charset, natively where it is UTF-8; parts that declare none or a wrong one
+    are decoded by the ``model``'s guess. An empty body is null.
     """
     parts = files.withColumn("_p", mail_parts(F.col(content))).drop(content)
     p = lambda name: F.col("_p")[name]
@@ -105,8 +112,8 @@ def parse_mails(files: DataFrame, content: str = "content") -> DataFrame:
         "subject_prefix": H.subject_prefix(p("subject")),
         "submit_time": H.rfc2822_to_timestamp(p("date")),
         "delivery_time": H.received_to_timestamp(p("received")),
-        "html_body": F.nullif(p("html"), F.lit("")),
-        "plain_text_body": F.nullif(p("plain_text"), F.lit("")),
+        "html_body": charsets.joined_text(p("html"), model),
+        "plain_text_body": charsets.joined_text(p("plain_text"), model),
         "from_name": H.from_name(p("from_header")),
         "from_address": H.parse_addresses(p("from_header")),
         "to_address": H.parse_addresses(p("to_header")),
@@ -136,31 +143,17 @@ def decode_mime_words(headers: pd.Series) -> pd.Series:
     return headers.map(lambda value: None if value is None else _decode_words(value))
 
 
-@F.pandas_udf(StringType())
-def _decode_declared(bodies: pd.Series, charsets: pd.Series) -> pd.Series:
-    """Bytes that are not valid in the fast path: declared charset, then fallbacks, then replacement."""
-
-    def decode(body: bytes | None, charset: str | None) -> str | None:
-        if not body:
-            return None
-        for candidate in [charset, *FALLBACK_CHARSETS]:
-            try:
-                if candidate:
-                    return body.decode(candidate)
-            except (UnicodeDecodeError, LookupError):
-                continue
-        return body.decode(FALLBACK_CHARSETS[-1], errors="replace")
-
-    return pd.Series([decode(b, c) for b, c in zip(bodies, charsets)], dtype=object)
-
-
-def parse_body(body: Column, charset: Column) -> Column:
-    """Decode a body with its declared charset; undeclared means UTF-8, empty means null.
+def parse_body(body: Column, charset: Column, model: CharsetModel | None = None) -> Column:
+    """Decode a body with its declared charset, or with the one detected; empty means null.
 
     UTF-8 bodies (declared or undeclared) stay native. Only the others are sent to Python, which
     knows more charsets than the JVM function and never fails on malformed bytes.
     """
-    utf8 = F.coalesce(charset, F.lit("utf-8")).isin("utf-8", "utf8", "us-ascii", "ascii")
-    native = F.coalesce(utf8 & F.is_valid_utf8(body.cast("string")), F.lit(False))
-    other = _decode_declared(F.when(~native, body), F.when(~native, charset))
-    return F.when(native, F.nullif(body.cast("string"), F.lit(""))).otherwise(other)
+    return charsets.detected(body, charset, model)["text"]
+
+
+def declared_bodies(files: DataFrame, content: str = "content") -> DataFrame:
+    """(body, charset) of all text parts of raw mails that declare a charset: what a charset model learns from."""
+    parts = files.select(mail_parts(F.col(content)).alias("p"))
+    both = F.concat(F.coalesce("p.plain_text", F.array()), F.coalesce("p.html", F.array()))
+    return parts.select(F.explode(both).alias("p")).select("p.body", "p.charset").where("charset is not null")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from postmill.operators.charsets import CharsetModel
 from postmill.operators.embeddings import populate
 from postmill.operators.relate import dedupe, drop_null_keys
 from postmill.sources.raw_mail import accepted, parse_mails, quarantined
@@ -14,11 +15,13 @@ from postmill.sources.raw_mail import accepted, parse_mails, quarantined
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def mail_stream(spark: SparkSession, path: str, glob: str = "*.eml", files_per_batch: int = 10_000) -> DataFrame:
+def mail_stream(
+    spark: SparkSession, path: str, glob: str = "*.eml", files_per_batch: int = 10_000, model: CharsetModel | None = None
+) -> DataFrame:
     """Parsed mails of the files that arrive below a path. Those that did not parse have a ``parse_error``."""
     reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True)
     files = reader.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).load(path)
-    return parse_mails(files.select("path", "content"))
+    return parse_mails(files.select("path", "content"), model=model)
 
 
 def follow_embeddings(

@@ -79,7 +79,7 @@ def test_raw_mail(spark, folder):
     assert b.html_body.strip() == "<p>html</p>" and b.subject_prefix == "re:"
     assert (b.previous_message_id, b.references, b.cc_address) == ("a@x", ["a@x"], None)
     assert b.submit_time == datetime(2023, 9, 1, 10) and b.delivery_time == datetime(2023, 9, 1, 10, 0, 5)
-    assert by_id["c@x"].plain_text_body == "<p>only html</p> " and by_id["c@x"].html_body is None
+    assert by_id["c@x"].plain_text_body == "<p>only html</p> é" and by_id["c@x"].html_body is None
 
 
 def test_mime_words(spark):

@@ -6,6 +6,7 @@ import asyncio
 from collections.abc import Callable
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,10 @@ from postmill.functions import headers as H
 from postmill.functions import text as X
 from postmill.functions.times import to_utc_ntz
 from postmill.functions.vectors import l2_normalise
-from postmill.operators import clustering, embeddings, language, scoring, threads, topics
+from postmill.operators import charsets, clustering, embeddings, language, scoring, threads, topics
 from postmill.operators import relate as R
 from postmill.sources import raw_mail, select, tables
+from postmill.sources.checkpoints import checkpointed
 from workload import mail as M
 
 c = F.col
@@ -38,8 +40,12 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources ------------------------------------------------------------------------------------
 
 
+#: The charset of a mail's parts by conv_id % 4; the first and third go undeclared every other time.
+MAIL_CHARSETS = ("utf-8", "iso-8859-1", "utf-16", "utf-8")
+
+
 def _raw_mail_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RFC 822 bytes for every conversation row: plain, or multipart with an HTML part."""
+    """RFC 822 bytes for every conversation row: plain, or multipart with an HTML part; 8-bit or base64 bodies in four charsets."""
     raw = M.raw_headers(spark, sf_dir)
     line = lambda name, col: F.coalesce(F.concat(F.lit(f"{name}: "), col, F.lit("\r\n")), F.lit(""))
     head = F.concat(
@@ -49,17 +55,34 @@ def _raw_mail_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         line("Message-ID", c("message_id_header")), line("In-Reply-To", c("in_reply_to")),
         line("References", c("references_header")), F.lit("MIME-Version: 1.0\r\n"),
     )
-    part = lambda kind, col: F.concat(
-        F.lit(f"--cut\r\nContent-Type: text/{kind}; charset=utf-8\r\nContent-Transfer-Encoding: 8bit\r\n\r\n"),
-        col,
-        F.lit("\r\n"),
-    )
-    plain = F.concat(head, F.lit("Content-Type: text/plain; charset=utf-8\r\nContent-Transfer-Encoding: 8bit\r\n\r\n"), c("text"))
+    latin = ~c("text").rlike(r"[^\x00-\xFF]")  # other texts cannot be written in Latin-1
+    number = (c("conv_id") % 4).cast("int")
+    charset = F.when((number == 1) & ~latin, "utf-8").otherwise(F.element_at(F.array(*map(F.lit, MAIL_CHARSETS)), number + 1))
+    raw = raw.withColumn("charset", charset)
+
+    def encoded(text: Column) -> Column:
+        by_name = [F.when(c("charset") == name, F.encode(text, name)) for name in ("utf-8", "iso-8859-1", "utf-16")]
+        return F.coalesce(*by_name)
+
+    def part(kind: str, text: Column) -> Column:
+        """Header and body of a part: UTF-16 in base64, the rest as 8-bit bytes; UTF-8 is declared every other time."""
+        undeclared = (c("charset") == "utf-8") & (c("turn") % 4 < 2)
+        named = F.when(undeclared, "").otherwise(F.concat(F.lit("; charset="), c("charset")))
+        wide = c("charset") == "utf-16"
+        header = F.concat(
+            F.lit(f"Content-Type: text/{kind}"), named,
+            F.lit("\r\nContent-Transfer-Encoding: "), F.when(wide, "base64").otherwise("8bit"), F.lit("\r\n\r\n"),
+        )
+        return F.concat(F.encode(header, "utf-8"), F.when(wide, F.encode(F.base64(encoded(text)), "utf-8")).otherwise(encoded(text)))
+
+    ascii_ = lambda text: F.encode(text, "utf-8")
+    plain = F.concat(ascii_(head), part("plain", c("text")))
+    html = F.concat(F.lit("<p>"), c("text"), F.lit("</p>"))
     multi = F.concat(
-        head, F.lit('Content-Type: multipart/alternative; boundary="cut"\r\n\r\n'),
-        part("plain", c("text")), part("html", F.concat(F.lit("<p>"), c("text"), F.lit("</p>"))), F.lit("--cut--\r\n"),
+        ascii_(F.concat(head, F.lit('Content-Type: multipart/alternative; boundary="cut"\r\n\r\n--cut\r\n'))),
+        part("plain", c("text")), ascii_(F.lit("\r\n--cut\r\n")), part("html", html), ascii_(F.lit("\r\n--cut--\r\n")),
     )
-    return raw.select("conv_id", "turn", F.encode(F.when(c("turn") % 2 == 1, multi).otherwise(plain), "utf-8").alias("content"))
+    return raw.select("conv_id", "turn", F.when(c("turn") % 2 == 1, multi).otherwise(plain).alias("content"))
 
 
 def raw_mail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,19 +211,52 @@ def subject_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as bodies: UTF-8, UTF-16, an unknown name, real 8-bit Latin-1, and 8-bit bytes that name no charset."""
     docs = M.table(spark, sf_dir, "documents").withColumn("kind", (c("doc_id") % 5).cast("int"))
-    latin = F.regexp_replace("text", "[^\\x00-\\x7F]", "e")
+    latin = ~c("text").rlike(r"[^\x00-\x7F\xA0-\xFF]")  # the two 8-bit charsets differ between
     body = (
-        F.when(c("kind") == 0, F.encode("text", "UTF-8"))
-        .when(c("kind") == 1, F.encode("text", "UTF-16"))
-        .when(c("kind") == 2, F.encode("text", "UTF-8"))
-        .when(c("kind") == 3, F.encode(latin, "ISO-8859-1"))
-        .otherwise(F.encode(F.lit(""), "UTF-8"))
+        F.when(c("kind") == 1, F.encode("text", "UTF-16"))
+        .when((c("kind") >= 3) & latin, F.encode("text", "ISO-8859-1"))
+        .otherwise(F.encode("text", "UTF-8"))
     )
-    declared = F.when(c("kind") == 1, "utf-16").when(c("kind") == 2, "no-such-charset").when(c("kind") == 3, "iso-8859-1")
+    declared = F.when(c("kind") == 1, "utf-16").when(c("kind") == 2, "no-such-charset").when((c("kind") == 3) & latin, "iso-8859-1")
     return docs.select("doc_id", raw_mail.parse_body(body, declared).alias("body"))
 
 
+# Letters of other scripts in place of the Latin ones, so that whole documents can be written in their charsets.
+LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZéóèñüçäöêßíÉÈÑÓÇÊÜÖÄÍ"
+CYRILLIC = "абцдефгхийклмнопщрстувшжызАБЦДЕФГХИЙКЛМНОПЩРСТУВШЖЫЗэоеньюяяёьиЭЕНОЦЁЮЯЯИ"
+KATAKANA = "アベツデエフグヒイジクルムノオプキリストウヴワザヨゼアベツデエフグヒイジクルムノオプキリストウヴワザヨゼエオエノウツアオエスイエエノオツエウオアイ"
+#: (name, letters) of the charsets, by doc_id / 2 modulo their number.
+SCRIPTS = (("windows-1252", None), ("windows-1251", CYRILLIC), ("koi8-r", CYRILLIC), ("shift_jis", KATAKANA), ("utf-16-le", None), ("utf-16-be", CYRILLIC))
+
+
+def bodies_in_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, charset, declared, body): whole documents in six charsets; those with even ids declare theirs."""
+    docs = M.table(spark, sf_dir, "documents").where("text is not null")
+    kind = (F.floor(c("doc_id") / 2) % len(SCRIPTS)).cast("int")
+    docs = docs.select("doc_id", "text", kind.alias("kind"))
+    text = F.coalesce(*[F.when(c("kind") == k, F.translate("text", LATIN, letters)) for k, (_, letters) in enumerate(SCRIPTS) if letters], c("text"))
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in SCRIPTS]), c("kind") + 1)
+
+    @F.pandas_udf("binary")
+    def encoded(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([t.encode(n) for t, n in zip(texts, names, strict=True)], dtype=object)
+
+    docs = docs.select("doc_id", text.alias("text"), name.alias("charset"))
+    declared = F.when(c("doc_id") % 2 == 0, c("charset"))
+    return docs.select("doc_id", "charset", declared.alias("declared"), encoded("text", "charset").alias("body"))
+
+
+def detect_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that declare a charset teach the model, which names and decodes the others."""
+    bodies = checkpointed(bodies_in_charsets(spark, sf_dir))
+    names = [name for name, _ in SCRIPTS]
+    model = charsets.train(bodies.where("declared is not null"), names, charset="declared")
+    found = bodies.select("doc_id", charsets.detected(c("body"), c("declared"), model).alias("d"))
+    return found.select("doc_id", c("d.charset").alias("charset"), c("d.text").alias("body"))
+
+
 def filetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = F.when(c("value") > 50, 0).otherwise(c("event_id") * 987654321017 + 133380360000000005)
     return M.table(spark, sf_dir, "events").select("event_id", H.filetime_to_timestamp(ticks).alias("sent"))
@@ -603,6 +659,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "charset": charset,
     "subject_prefix": subject_prefix,
     "parse_body": parse_body,
+    "detect_charset": detect_charset,
     "filetime": filetime,
     "rfc2822_time": rfc2822_time,
     "header_map": header_map,

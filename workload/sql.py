@@ -8,6 +8,11 @@ from postmill.operators import scoring
 from workload.mail import MAIL_SQL, ORGANISATION, OWN_ADDRESS
 
 
+_LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZéóèñüçäöêßíÉÈÑÓÇÊÜÖÄÍ"
+_CYRILLIC = "абцдефгхийклмнопщрстувшжызАБЦДЕФГХИЙКЛМНОПЩРСТУВШЖЫЗэоеньюяяёьиЭЕНОЦЁЮЯЯИ"
+_KATAKANA = "アベツデエフグヒイジクルムノオプキリストウヴワザヨゼアベツデエフグヒイジクルムノオプキリストウヴワザヨゼエオエノウツアオエスイエエノオツエウオアイ"
+
+
 def quoted(text: str) -> str:
     """A text as SQL literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -191,9 +196,17 @@ FROM documents""",
 SELECT conv_id, turn, CASE turn % 6 WHEN 0 THEN 're:' WHEN 1 THEN 'fwd:' WHEN 2 THEN 'fw:'
   ELSE nullif(regexp_extract(lower(trim(['FD: ', 'Re ', 'answer: re: '][turn % 6 - 2] || text)), '^(?:re|fwd?|fw):'), '')
   END AS prefix FROM conversations""",
-    "parse_body": f"""
-SELECT doc_id, CASE doc_id % 5 WHEN 3 THEN regexp_replace(text, '[^\\x00-\\x7F]', 'e', 'g') WHEN 4 THEN NULL ELSE text END
-  AS body FROM documents""",
+    "parse_body": "SELECT doc_id, nullif(text, '') AS body FROM documents",
+    "detect_charset": f"""
+WITH t AS (
+  SELECT doc_id, doc_id // 2 % 6 AS kind, doc_id % 2 = 1 AS undeclared,
+    CASE WHEN doc_id // 2 % 6 IN (1, 2, 5) THEN translate(text, {quoted(_LATIN)}, {quoted(_CYRILLIC)})
+      WHEN doc_id // 2 % 6 = 3 THEN translate(text, {quoted(_LATIN)}, {quoted(_KATAKANA)}) ELSE text END AS body
+  FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE WHEN body = '' THEN NULL WHEN undeclared AND kind < 4 AND NOT regexp_matches(body, '[^\\x00-\\x7F]') THEN 'utf-8'
+    ELSE ['windows-1252', 'windows-1251', 'koi8-r', 'shift_jis', 'utf-16-le', 'utf-16-be'][kind + 1] END AS charset,
+  nullif(body, '') AS body
+FROM t""",
     "filetime": """
 SELECT event_id, CASE WHEN value <= 50 THEN make_timestamp(CAST(
   (event_id * 987654321017 + 133380360000000005) // 10 - 11644473600000000 AS BIGINT)) END AS sent FROM events""",
