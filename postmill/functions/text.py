@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html import unescape
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,36 +37,36 @@ _BLANK = r"[\s\x1c-\x1f]"
 _TRIM = rf"(?U)^{_BLANK}+|{_BLANK}+$"
 _TOKEN_BREAK = r"[^\p{L}\p{N}_]+"
 
-# The conversion steps from HTML to text, in order (pattern, replacement).
-HTML_STEPS = (
+# Conversion from HTML to text, in order (pattern, replacement): before lists and quotes are marked, and after.
+_HIDDEN = (
+    (r"[\x01-\x03]", ""),
     (r"(?is)<!--.*?-->", ""),
     (r"(?is)<script\b.*?</script\s*>", ""),
     (r"(?is)<style\b.*?</style\s*>", ""),
     (r"(?is)<head\b.*?</head\s*>", ""),
     (r"[ \t\r\n]+", " "),
+)
+_STRUCTURE = r"(?i)</?(?:ol|ul|li|blockquote)\b[^>]*>"
+_TAGS = (
     (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)</?(?:p|div|section|article|header|footer|nav|ul|ol|table|tr|blockquote|pre|body|html)\b[^>]*>", "\n\n"),
-    (r"(?i)<h1\b[^>]*>", "\n\n# "),
-    (r"(?i)<h2\b[^>]*>", "\n\n## "),
-    (r"(?i)<h3\b[^>]*>", "\n\n### "),
-    (r"(?i)<h4\b[^>]*>", "\n\n#### "),
-    (r"(?i)<h5\b[^>]*>", "\n\n##### "),
-    (r"(?i)<h6\b[^>]*>", "\n\n###### "),
+    (r"(?i)</?(?:p|div|section|article|header|footer|nav|table|tr|pre|body|html)\b[^>]*>", "\n\n"),
+    *((rf"(?i)<h{n}\b[^>]*>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
     (r"(?i)</h[1-6]\s*>", "\n\n"),
-    (r"(?i)<li\b[^>]*>", "\n  * "),
     (r"(?i)<hr\b[^>]*>", "\n\n* * *\n\n"),
     (r"(?i)</t[dh]\s*>", " "),
     (r"<[^>]*>", ""),
-    (r"&nbsp;|&#160;", " "),
-    (r"&lt;|&#60;", "<"),
-    (r"&gt;|&#62;", ">"),
-    (r"&quot;|&#34;", '"'),
-    (r"&#39;|&apos;", "'"),
-    (r"&amp;|&#38;", "&"),
-    (r"[ \t]+\n", "\n"),
-    (r"\n[ \t]+([^ *\t])", "\n$1"),
-    (r"\n{3,}", "\n\n"),
-)
+)
+_BLANKS = ((r"[ \t]+\n", "\n"), (r"\n[ \t]+", "\n"), (r"\n{3,}", "\n\n"))
+# Marks that no text keeps: quote begins, quote ends, one step of a list's indentation.
+_QUOTE, _UNQUOTE, _STEP = "\x01", "\x02", "\x03"
+_QUOTE_EDGES = (
+    (f"{_QUOTE}\\s*{_UNQUOTE}", ""),
+    (f"{_QUOTE}\\s+(?={_QUOTE})", _QUOTE),
+    (f"\\s*({_QUOTE}+)\\s*", "\n\n$1"),
+    (f"{_UNQUOTE}\\s+(?={_UNQUOTE})", _UNQUOTE),
+    (f"\\s*({_UNQUOTE}+)\\s*", "$1\n\n"),
+)
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def banners(organisation: str | None = None) -> list[str]:
@@ -93,11 +96,101 @@ def clean_text(text: Column, banner_patterns: Sequence[str] | None = None) -> Co
     return F.when(clean.rlike(rf"(?U)^{_BLANK}*$"), F.lit("")).otherwise(clean)
 
 
-def html_to_text(html: Column) -> Column:
-    """Visible text of an HTML body; links, images and emphasis leave only their text."""
-    text = html
-    for pattern, replacement in HTML_STEPS:
+def _replaced(text: Column, steps: Sequence[tuple[str, str]]) -> Column:
+    for pattern, replacement in steps:
         text = F.regexp_replace(text, pattern, replacement)
+    return text
+
+
+def _references() -> Column:
+    """All named references, and the numeric ones that do not stand for their own number, as a constant map."""
+    odd = [*range(0x20), *range(0x7F, 0xA0), *range(0xD800, 0xE000)]
+    table = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+    table |= {f"#{n}": unescape(f"&#{n};") for n in odd}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def decode_references(text: Column) -> Column:
+    """``&name;``, ``&#number;`` and ``&#xnumber;`` decoded once; what is no reference stays as it is."""
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, _REFERENCE, 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
+        number = F.when(name.startswith("#"), number.cast("int"))
+        wide = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        plain = F.when(number > 0x10FFFF, "\ufffd").when(number.isNotNull(), wide)
+        known = F.coalesce(F.element_at(_references(), F.coalesce(F.concat(F.lit("#"), number.cast("string")), name)), plain)
+        rest = F.substr(piece, F.length(name) + 2)
+        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&", -1)
+    found = F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece)))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(found, "")).otherwise(text)
+
+
+def _mark_structure(html: Column) -> Column:
+    """Lists and quotes as marks: one fold over their tags with the open lists as a stack.
+
+    The stack holds the last number of each open ordered list, -1 for an unordered one. Only the tags go
+    through the fold; the text between them is joined to their marks afterwards.
+    """
+
+    def add(state: Column, tag: Column) -> Column:
+        kind = F.lower(F.regexp_extract(tag, "^</?([a-zA-Z]+)", 1))
+        ends, is_list = tag.startswith("</"), kind.isin("ol", "ul")
+        stack = state["stack"]
+        depth, top = F.size(stack), F.try_element_at(stack, F.lit(-1))
+        outer = F.slice(stack, F.lit(1), F.greatest(depth - 1, F.lit(0)))
+        given = F.regexp_extract(tag, r"(?i)\bstart\s*=\s*[\"']?([0-9]{1,9})", 1)
+        begin = F.when(kind == "ul", -1).when(given != "", given.try_cast("int") - 1).otherwise(0)
+        item = (kind == "li") & ~ends
+        next_stack = (
+            F.when(is_list & ends, outer)
+            .when(is_list, F.concat(stack, F.array(begin)))
+            .when(item & (top >= 0), F.concat(outer, F.array(top + 1)))
+            .otherwise(stack)
+        )
+        bullet = F.when(top >= 0, F.concat((top + 1).cast("string"), F.lit(". "))).otherwise("* ")
+        outermost = F.when(ends, depth <= 1).otherwise(depth == 0)
+        mark = (
+            F.when(is_list & outermost, "\n\n")
+            .when(item, F.concat(F.lit("\n"), F.repeat(F.lit(_STEP), F.greatest(depth, F.lit(1))), bullet))
+            .when(kind == "blockquote", F.when(ends, _UNQUOTE).otherwise(_QUOTE))
+            .otherwise("")
+        )
+        return F.struct(next_stack.alias("stack"), F.concat(state["marks"], F.array(mark)).alias("marks"))
+
+    start = F.struct(F.array().cast("array<int>").alias("stack"), F.array().cast("array<string>").alias("marks"))
+    marks = F.aggregate(F.regexp_extract_all(html, F.lit(_STRUCTURE), F.lit(0)), start, add, lambda s: s["marks"])
+    between = F.split(html, _STRUCTURE, -1)
+    joined = F.array_join(F.zip_with(between, F.concat(marks, F.array(F.lit(""))), lambda t, m: F.concat(t, m)), "")
+    return F.when(html.rlike(_STRUCTURE), joined).otherwise(html)
+
+
+def _quote_lines(text: Column) -> Column:
+    """``> `` before every line within quotes, once per level: a fold over the lines with the level as state."""
+
+    def add(state: Column, line: Column) -> Column:
+        plain = F.translate(line, _QUOTE + _UNQUOTE, "")
+        level = state["level"] + F.length(line) - F.length(F.translate(line, _QUOTE, ""))
+        quoted = F.when(level > 0, F.rtrim(F.concat(F.repeat(F.lit("> "), level), plain))).otherwise(plain)
+        after = F.greatest(level - (F.length(line) - F.length(F.translate(line, _UNQUOTE, ""))), F.lit(0))
+        return F.struct(after.alias("level"), F.concat(state["lines"], F.array(quoted)).alias("lines"))
+
+    start = F.struct(F.lit(0).alias("level"), F.array().cast("array<string>").alias("lines"))
+    lines = F.split(F.regexp_replace(_replaced(text, _QUOTE_EDGES), r"^\s+|\s+$", ""), "\n", -1)
+    return F.when(F.contains(text, F.lit(_QUOTE)), F.array_join(F.aggregate(lines, start, add, lambda s: s["lines"]), "\n")).otherwise(text)
+
+
+def html_to_text(html: Column) -> Column:
+    """Visible text of an HTML body; links, images and emphasis leave only their text.
+
+    Headings get ``#`` marks, list items a bullet or their number, indented by level, quoted lines ``> `` per
+    level. References are decoded once, after the tags have gone.
+    """
+    text = _replaced(_mark_structure(_replaced(html, _HIDDEN)), _TAGS)
+    text = F.translate(decode_references(text), "\u00a0", " ")
+    text = F.regexp_replace(_quote_lines(_replaced(text, _BLANKS)), _STEP, "  ")
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 

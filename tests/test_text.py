@@ -1,7 +1,10 @@
 """Text and entity expressions against Python's own regular expressions."""
 
 import re
+from html import unescape
+from html.entities import html5
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -67,6 +70,37 @@ def test_clean_text_matches_python(spark, texts):
     assert column(spark, texts, X.clean_text) == [cleaned(t) for t in texts]
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<ol><li>a<li>b</ol>", "1. a\n  2. b"),
+        ("x<ol start='9'><li>a</li></ol><ol><li>b</li></ol>", "x\n\n  9. a\n\n  1. b"),
+        ("x<ul><li>a<ol><li>b</li><li>c<ul><li>d</li></ul></li></ol></li><li>e</li></ul>y", "x\n\n  * a\n    1. b\n    2. c\n      * d\n  * e\n\ny"),
+        ("<li>loose</li></ol></ul>end", "* loose\n\nend"),
+        ("a<blockquote>b<br>c</blockquote>d", "a\n\n> b\n> c\n\nd"),
+        ("<blockquote>a<blockquote><p>b</p></blockquote></blockquote>c", "> a\n>\n> > b\n\nc"),
+        ("<blockquote></blockquote>x</blockquote>y", "x\n\ny"),
+        ("<blockquote>a<ol><li>b</ol></blockquote>", "> a\n>\n>   1. b"),
+        ("<blockquote>open", "> open"),
+        ("&amp;lt; &nope; &#xE9;&#233;&eacute;&Eacute; &#128; &#0; &#1114112; & &; &#; 5&6", "&lt; &nope; éééÉ € \ufffd \ufffd & &; &#; 5&6"),
+        ("&NotEqualTilde;&AMP;&hearts;&#x1F600;", "≂̸&♥😀"),
+        ("\x01\x02\x03 plain", "plain"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_html_structure(spark, html, want):
+    assert column(spark, [html], X.html_to_text) == [want]
+
+
+def test_references_are_decoded_as_python_does(spark):
+    names = [n for n in html5 if n.endswith(";")]
+    numbers = [*range(1, 0x250), *range(0x2000, 0x2100), 0xD800, 0xFFFD, 0x10000, 0x10FFFD, 0x110000]
+    whole = "".join(f"<&{n}" for n in names) + "".join(f" &#{n};&#x{n:x};&#X{n:X};" for n in numbers if n < 0xFDD0 or n > 0xFFFC)
+    got = column(spark, [whole], X.decode_references)[0]
+    assert got == unescape(whole)
+
+
 def test_html_to_text(spark):
     html = (
         "<html><head><title>t</title><style>p{}</style></head><body><!-- c --><script>x</script>"

