@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html import unescape
 from html.entities import html5
 
@@ -96,6 +96,11 @@ def clean_text(text: Column, banner_patterns: Sequence[str] | None = None) -> Co
     return F.when(clean.rlike(rf"(?U)^{_BLANK}*$"), F.lit("")).otherwise(clean)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _replaced(text: Column, steps: Sequence[tuple[str, str]]) -> Column:
     for pattern, replacement in steps:
         text = F.regexp_replace(text, pattern, replacement)
@@ -113,19 +118,23 @@ def _references() -> Column:
 def decode_references(text: Column) -> Column:
     """``&name;``, ``&#number;`` and ``&#xnumber;`` decoded once; what is no reference stays as it is."""
 
+    def named(name: Column) -> Column:
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(name.startswith("#"), F.substr(name, F.lit(2)))
+        common = F.when(name == "amp", "&").when(name == "lt", "<").when(name == "gt", ">").when(name == "quot", '"').when(name == "nbsp", "\u00a0")
+        return F.coalesce(common, _let(number.cast("int"), lambda n: F.coalesce(
+            F.element_at(_references(), F.coalesce(F.concat(F.lit("#"), n.cast("string")), name)),
+            F.when(n > 0x10FFFF, "\ufffd").when(n.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")),
+        )))
+
     def decoded(piece: Column) -> Column:
-        name = F.regexp_extract(piece, _REFERENCE, 1)
-        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
-        number = F.when(name.startswith("#"), number.cast("int"))
-        wide = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        plain = F.when(number > 0x10FFFF, "\ufffd").when(number.isNotNull(), wide)
-        known = F.coalesce(F.element_at(_references(), F.coalesce(F.concat(F.lit("#"), number.cast("string")), name)), plain)
-        rest = F.substr(piece, F.length(name) + 2)
-        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
+        whole = lambda name: F.concat(named(name), F.substr(piece, F.length(name) + 2))
+        return F.coalesce(_let(F.regexp_extract(piece, _REFERENCE, 1), whole), F.concat(F.lit("&"), piece))
 
-    pieces = F.split(text, "&", -1)
-    found = F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece)))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(found, "")).otherwise(text)
+    def joined(t: Column) -> Column:
+        found = F.transform(F.split(t, "&", -1), lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece)))
+        return F.when(F.contains(t, F.lit("&")), F.array_join(found, "")).otherwise(t)
+
+    return _let(text, joined)
 
 
 def _mark_structure(html: Column) -> Column:
@@ -136,7 +145,9 @@ def _mark_structure(html: Column) -> Column:
     """
 
     def add(state: Column, tag: Column) -> Column:
-        kind = F.lower(F.regexp_extract(tag, "^</?([a-zA-Z]+)", 1))
+        return _let(F.lower(F.regexp_extract(tag, "^</?([a-zA-Z]+)", 1)), lambda kind: step(state, tag, kind))
+
+    def step(state: Column, tag: Column, kind: Column) -> Column:
         ends, is_list = tag.startswith("</"), kind.isin("ol", "ul")
         stack = state["stack"]
         depth, top = F.size(stack), F.try_element_at(stack, F.lit(-1))
@@ -161,10 +172,13 @@ def _mark_structure(html: Column) -> Column:
         return F.struct(next_stack.alias("stack"), F.concat(state["marks"], F.array(mark)).alias("marks"))
 
     start = F.struct(F.array().cast("array<int>").alias("stack"), F.array().cast("array<string>").alias("marks"))
-    marks = F.aggregate(F.regexp_extract_all(html, F.lit(_STRUCTURE), F.lit(0)), start, add, lambda s: s["marks"])
-    between = F.split(html, _STRUCTURE, -1)
-    joined = F.array_join(F.zip_with(between, F.concat(marks, F.array(F.lit(""))), lambda t, m: F.concat(t, m)), "")
-    return F.when(html.rlike(_STRUCTURE), joined).otherwise(html)
+
+    def joined(t: Column) -> Column:
+        marks = F.aggregate(F.regexp_extract_all(t, F.lit(_STRUCTURE), F.lit(0)), start, add, lambda s: s["marks"])
+        pieces = F.zip_with(F.split(t, _STRUCTURE, -1), F.concat(marks, F.array(F.lit(""))), lambda x, m: F.concat(x, m))
+        return F.when(t.rlike(_STRUCTURE), F.array_join(pieces, "")).otherwise(t)
+
+    return _let(html, joined)
 
 
 def _quote_lines(text: Column) -> Column:
@@ -178,8 +192,13 @@ def _quote_lines(text: Column) -> Column:
         return F.struct(after.alias("level"), F.concat(state["lines"], F.array(quoted)).alias("lines"))
 
     start = F.struct(F.lit(0).alias("level"), F.array().cast("array<string>").alias("lines"))
-    lines = F.split(F.regexp_replace(_replaced(text, _QUOTE_EDGES), r"^\s+|\s+$", ""), "\n", -1)
-    return F.when(F.contains(text, F.lit(_QUOTE)), F.array_join(F.aggregate(lines, start, add, lambda s: s["lines"]), "\n")).otherwise(text)
+
+    def joined(t: Column) -> Column:
+        lines = F.split(F.regexp_replace(_replaced(t, _QUOTE_EDGES), r"^\s+|\s+$", ""), "\n", -1)
+        quoted = F.array_join(F.aggregate(lines, start, add, lambda s: s["lines"]), "\n")
+        return F.when(F.contains(t, F.lit(_QUOTE)), quoted).otherwise(t)
+
+    return _let(text, joined)
 
 
 def html_to_text(html: Column) -> Column:
