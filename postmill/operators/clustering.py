@@ -1,8 +1,7 @@
 """Density clustering with noise, hierarchical, over distributed vectors.
 
 Follows the published method (Campello, Moulavi and Sander 2013): core distance, mutual
-reachability, hierarchy of components, selection by stability. The hierarchy is read off a grid of
-radii instead of every edge weight; everything else is exact.
+reachability, minimum spanning tree, hierarchy of components, selection by stability. All steps are exact.
 
 How the work is spread:
 
@@ -12,6 +11,10 @@ How the work is spread:
   within reach, in one task per pair of blocks, with at most ``2 * block_rows`` points.
 * A task returns the nearest neighbours of its points, or a minimum spanning forest of its edges:
   never all pairs. The forests' union has the same components at every radius as all edges have.
+* One tree is drawn from the forests by Borůvka rounds until what is left fits one task.
+* The hierarchy of the tree's edges is built by halves: the lighter half of the edges makes components, which are
+  problems of their own and single leaves for the heavier half, until every problem fits a task. Problems
+  return clusters, sums and one label per leaf, not their hierarchies.
 
 The number of block pairs is what the data's density leaves in reach; without any separation it is
 quadratic, as the exact method is.
@@ -19,12 +22,11 @@ quadratic, as the exact method is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.operators.components import connected_components
@@ -36,7 +38,8 @@ MIN_CLUSTER_SIZE = 10
 MIN_SAMPLES = 5
 BLOCK_ROWS = 1000
 MAX_PIVOTS = 1024
-LEVELS = 24
+TASK_EDGES = 200_000  # edges of a spanning tree that one task works on
+ROOT = "root"
 
 
 @dataclass(frozen=True)
@@ -54,8 +57,10 @@ class Cells:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances, rounded to 40 bits so that one distance is the same number in whatever task it is computed."""
     squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(squares, 0.0))
+    part, power = np.frexp(np.sqrt(np.maximum(squares, 0.0)))
+    return np.ldexp(np.rint(np.ldexp(part, 40)), power - 40)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -219,10 +224,15 @@ def _prepare(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _largest_first(sizes: DataFrame, id_column: str) -> DataFrame:
-    """(id_column, topic_id): 0, 1, … by descending size; numbered without gathering the rows."""
-    ordered = sizes.orderBy(F.desc("size"), id_column).select(id_column)
-    numbered = ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    return sizes.sparkSession.createDataFrame(numbered, f"{id_column} string, topic_id int")
+    """(id_column, topic_id): 0, 1, … by descending size; the parts of a sorted table are numbered each by itself."""
+    ordered = sizes.orderBy(F.desc("size"), id_column).withColumn("_part", F.spark_partition_id())
+    ordered = checkpointed(ordered.select(id_column, "size", "_part"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("size"), id_column))
+    numbered = ordered.withColumn("_rank", rank).join(parts, "_part")
+    return numbered.select(id_column, (F.col("_before") + F.col("_rank") - 1).cast("int").alias("topic_id"))
 
 
 def density_cut(
@@ -250,22 +260,193 @@ def density_cut(
     return out.select(key, F.coalesce("topic_id", F.lit(NOISE)).alias("topic_id"))
 
 
+# --- spanning tree ------------------------------------------------------------------------------
+
+
+def _kruskal(ends: list[tuple[str, str]]) -> list[int]:
+    """Which of the edges, in their order, join two components."""
+    above: dict[str, str] = {}
+
+    def root(x: str) -> str:
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
+    kept = []
+    for i, (a, b) in enumerate(ends):
+        a, b = root(a), root(b)
+        if a != b:
+            above[a] = b
+            kept.append(i)
+    return kept
+
+
+def spanning_forest(edges: DataFrame, floor: int = HOT_FLOOR, most: int = TASK_EDGES) -> DataFrame:
+    """The minimum spanning forest of edges (src, dst, weight); equal weights in the order of the ends.
+
+    While there are more than ``most`` edges, each node takes its lightest edge, what these edges connect becomes
+    one node, and inner edges vanish; every round at least halves the nodes and is written out. The
+    rest is done in one task.
+    """
+    low, high = F.least("src", "dst"), F.greatest("src", "dst")
+    open_ = checkpointed(edges.select(low.alias("src"), high.alias("dst"), "weight", low.alias("u"), high.alias("v")))
+    order = F.struct("weight", "src", "dst", "u", "v")
+    taken, left = [], open_.count()
+    while left > most:
+        both = open_.select("u", order.alias("e")).unionByName(open_.select(F.col("v").alias("u"), order.alias("e")))
+        lightest = checkpointed(both.groupBy("u").agg(F.min("e").alias("e")).select("e.*").distinct())
+        taken.append(lightest.select("src", "dst", "weight"))
+        labels = checkpointed(connected_components(lightest.select(F.col("u").alias("src"), F.col("v").alias("dst")), floor))
+        for end in ("u", "v"):
+            names = labels.select(F.col("id").alias(end), "component")
+            open_ = lookup(open_, names, end, ["src", "dst"], floor=floor, rows=left).withColumn(end, F.coalesce("component", end)).drop("component")
+        open_ = checkpointed(open_.where("u <> v"))
+        left = open_.count()
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["weight", "src", "dst"])
+        kept = _kruskal(list(zip(group["u"], group["v"], strict=True)))
+        return group.iloc[kept][["src", "dst", "weight"]]
+
+    rest = open_.withColumn("_all", F.lit("all")).groupBy("_all").applyInPandas(finish, "src string, dst string, weight double")
+    for part in taken:
+        rest = rest.unionByName(part)
+    return checkpointed(rest)
+
+
+def _spanning_tree(points: DataFrame, n: int, cells: Cells, floor: int, most: int) -> DataFrame:
+    """The minimum spanning tree of mutual reachability of n points. The radius within which cells are compared grows until it holds.
+
+    A forest over the edges up to a radius is part of the tree, so later rounds only add to what the first one found.
+    """
+    found = None
+    few = int(cells.blocks.sum()) ** 2 <= 64
+    radius = np.inf if few else 2 * (points.agg(F.max("core")).first()[0] or np.inf)
+    while True:
+        edges = _edges(points, cells, radius)
+        found = spanning_forest(edges if found is None else edges.unionByName(found), floor, most)
+        if not np.isfinite(radius) or found.count() >= n - 1:
+            return found
+        radius = 4 * radius if radius < 2 * float(_distances(cells.pivots, cells.pivots).max() + cells.radius.max()) else np.inf
+
+
 # --- hierarchy ----------------------------------------------------------------------------------
 
 
-def _grid(points: DataFrame, levels: int) -> list[float]:
-    """Radii in geometric steps from the densest points' core distance to twice the sparsest's."""
-    low, high = points.agg(
-        F.percentile_approx(F.when(F.col("core") > 0, F.col("core")), 0.01, 10_000), F.max("core")
-    ).first()
-    if not high:
-        return [1e-9]
-    return [float(r) for r in np.geomspace(low or high, 2 * high, levels)]
+def _problems(tree: DataFrame, points: DataFrame, n: int, floor: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """The tree's edges (problem, a, b, weight, place) and leaves (problem, leaf, size, core), no problem with more than ``most`` edges.
 
+    The lighter half of a problem's edges splits it into components. Each is a problem of its own, and a leaf of the
+    problem that keeps the name and the heavier half. ``core`` is null for such leaves. Edges of one weight stay together
+    unless they alone are more than ``most``.
+    """
+    ordered = tree.orderBy("weight", "src", "dst").withColumn("place", F.monotonically_increasing_id())
+    edges = checkpointed(ordered.select(F.lit(ROOT).alias("problem"), F.col("src").alias("a"), F.col("dst").alias("b"), "weight", "place"))
+    leaves = points.select(F.lit(ROOT).alias("problem"), F.col("point").alias("leaf"), F.col("weight").alias("size"), "core")
+    depth = 0
+    while n > most:
+        middle = [F.percentile_approx(c, 0.5).alias(f"middle_{c}") for c in ("weight", "place")]
+        large = edges.groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high"), *middle)
+        large = checkpointed(large.where(F.col("n") > most).drop("n"))
+        if large.isEmpty():
+            break
+        depth += 1
+        light = (
+            F.when(F.col("middle_weight") < F.col("high"), F.col("weight") <= F.col("middle_weight"))
+            .when(F.col("low") < F.col("high"), F.col("weight") < F.col("high"))
+            .otherwise(F.col("place") <= F.col("middle_place"))
+        )
+        marked = lookup(edges, large, "problem", ["a", "b"], floor=floor).withColumn("light", F.coalesce(light, F.lit(False)))
+        marked = checkpointed(marked.select(*edges.columns, "light"))
+        parts = connected_components(marked.where("light").select(F.col("a").alias("src"), F.col("b").alias("dst")), floor)
+        parts = checkpointed(parts.select(F.col("id").alias("leaf"), F.concat("component", F.lit(f":{depth}")).alias("part")))
+        for end in ("a", "b"):
+            marked = lookup(marked, parts.withColumnRenamed("leaf", end).withColumnRenamed("part", f"part_{end}"), end, ["place"], floor=floor)
+        light, heavy = marked.where("light"), marked.where("not light")
+        light = light.select(F.col("part_a").alias("problem"), "a", "b", "weight", "place")
+        heavy = heavy.select("problem", F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"), "weight", "place")
+        edges = checkpointed(light.unionByName(heavy))
+        placed = checkpointed(leaves.join(parts, "leaf", "left"))
+        inner = placed.select(F.coalesce("part", "problem").alias("problem"), "leaf", "size", "core")
+        outer = placed.where("part is not null").groupBy("problem", F.col("part").alias("leaf")).agg(F.sum("size").alias("size"), F.lit(None).cast("double").alias("core"))
+        leaves = checkpointed(inner.unionByName(outer))
+    return edges, leaves
+
+
+_FOUND = "kind string, name string, label string, amount double"
+
+
+def _condense(min_cluster_size: int):
+    """One problem: the cluster of each leaf, the clusters born, and what every cluster's stability gains.
+
+    Edges of one weight join their sides at once. Where two or more sides are large, each founds a cluster;
+    otherwise the large side goes on. Small sides fall out. The problem's own top has the label ``^problem``, to be
+    replaced by the cluster that holds the problem as a leaf.
+    """
 
-def _level_id(level: Column, point: Column) -> Column:
-    # the hash comes first, so that ids are in random order within a level
-    return F.concat_ws(":", point, level.cast("string"))
+    def density(weight: float) -> float:
+        return 1.0 / max(weight, 1e-12)
+
+    def condense(key: tuple, edges: pd.DataFrame, leaves: pd.DataFrame) -> pd.DataFrame:
+        edges = edges.sort_values("place")
+        names, sizes = leaves["leaf"].tolist(), leaves["size"].tolist()
+        number = {name: i for i, name in enumerate(names)}
+        above, sides, weights = list(range(len(names))), [[] for _ in names], [0.0] * len(names)
+        last, begin = None, 0
+        for a, b, w, place in zip(*(edges[c].tolist() for c in ("a", "b", "weight", "place")), strict=True):
+            if w != last:
+                last, begin = w, len(names)  # nodes from here on are of this weight
+            x, y = number[a], number[b]
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            while above[y] != y:
+                above[y] = y = above[above[y]]
+            x, y = max(x, y), min(x, y)
+            if x < begin:
+                names.append(f"e{place}"), sizes.append(sizes[x]), weights.append(w), sides.append([x])
+                above[x] = len(above)
+                x = above[x]
+                above.append(x)
+            sides[x] += sides[y] if y >= begin else [y]
+            if y >= begin:
+                sides[y] = []  # this node is part of the other
+            sizes[x] += sizes[y]
+            above[y] = x
+        label = [f"^{key[0]}"] * len(names)
+        gains: dict[str, float] = {}
+        out = []
+        for node in range(len(names) - 1, len(leaves) - 1, -1):
+            own, at = label[node], density(weights[node])
+            split = sum(sizes[x] >= min_cluster_size for x in sides[node]) > 1
+            for x in sides[node]:
+                founds = split and sizes[x] >= min_cluster_size
+                label[x] = names[x] if founds else own
+                if founds:
+                    out.append(("born", names[x], own, -sizes[x] * at))
+                if founds or sizes[x] < min_cluster_size <= sizes[node]:
+                    gains[own] = gains.get(own, 0.0) + sizes[x] * at
+        for name, own, size, core in zip(names, label, leaves["size"].tolist(), leaves["core"].tolist(), strict=False):
+            out.append(("problem" if core is None or core != core else "point", name, own, 0.0))
+            if out[-1][0] == "point" and size >= min_cluster_size:  # copies that are a cluster by themselves
+                gains[own] = gains.get(own, 0.0) + size * density(core)
+        out += [("gain", None, own, gain) for own, gain in gains.items()]
+        return pd.DataFrame(out, columns=["kind", "name", "label", "amount"])
+
+    return condense
+
+
+def _resolved(found: DataFrame, floor: int) -> DataFrame:
+    """Labels ``^problem`` replaced by the cluster that the problem lies in; problems nest as often as they were halved."""
+    if found.where("kind = 'problem'").isEmpty():
+        return found.withColumn("label", F.when(F.col("label") == f"^{ROOT}", ROOT).otherwise(F.col("label")))
+    outer = found.where("kind = 'problem'").select(F.concat(F.lit("^"), "name").alias("problem"), "label")
+    top = found.sparkSession.createDataFrame([(f"^{ROOT}", ROOT)], "problem string, label string")
+    outer = checkpointed(outer.unionByName(top))
+    while not outer.where(F.col("label").startswith("^")).isEmpty():
+        ahead = outer.select(F.col("problem").alias("label"), F.col("label").alias("_next"))
+        outer = checkpointed(outer.join(ahead, "label", "left").select("problem", F.coalesce("_next", "label").alias("label")))
+    whole = outer.select(F.col("problem").alias("label"), F.col("label").alias("_cluster"))
+    return lookup(found, whole, "label", ["kind", "name"], floor=floor).withColumn("label", F.coalesce("_cluster", "label")).drop("_cluster")
 
 
 def topics(
@@ -274,120 +455,71 @@ def topics(
     vector: str,
     min_cluster_size: int = MIN_CLUSTER_SIZE,
     min_samples: int = MIN_SAMPLES,
-    radii: Sequence[float] | None = None,
-    levels: int = LEVELS,
     block_rows: int = BLOCK_ROWS,
     floor: int = HOT_FLOOR,
+    task_edges: int = TASK_EDGES,
 ) -> DataFrame:
     """(key, topic_id): clusters 0, 1, … by descending size, −1 for noise.
 
     A cluster is a component of at least ``min_cluster_size`` rows that lives over a range of
     radii; clusters are chosen where splitting them further does not raise the total stability. The
-    component that holds everything at the widest radius is not a cluster by itself.
+    component that holds everything is not a cluster by itself.
     """
     keyed = _prepare(rows, key, vector)
+    if rows.isEmpty():
+        return keyed.select(key, F.lit(NOISE).alias("topic_id"))
     points, cells = _place(_points(keyed, "_v"), block_rows)
     points = checkpointed(_core_distances(points, cells, min_samples))
-    grid = sorted(radii) if radii else _grid(points, levels)
-    member = _memberships(points, cells, grid, floor)
-    birth, chosen = _select(_cluster_tree(member, grid, min_cluster_size, floor))
-    born = lookup(member, birth, "component", ["point"], how="inner", floor=floor)
-    inside = lookup(born.select("point", "cluster", "weight"), chosen, "cluster", ["point"], "left_semi", floor)
-    inside = checkpointed(inside)
-    numbers = _largest_first(inside.groupBy("cluster").agg(F.sum("weight").alias("size")), "cluster")
-    labelled = lookup(inside.select("point", "cluster"), numbers, "cluster", ["point"], how="inner", floor=floor)
+    # a point with fewer neighbours than asked for is no cluster's and joins nothing
+    dense = checkpointed(points.where(F.col("core").isNotNull()))
+    n = dense.count()
+    edges, leaves = _problems(_spanning_tree(dense, n, cells, floor, task_edges), dense, n, floor, task_edges)
+    found = edges.groupBy("problem").cogroup(leaves.groupBy("problem"))
+    found = checkpointed(_resolved(checkpointed(found.applyInPandas(_condense(min_cluster_size), _FOUND)), floor))
+    homes = _chosen(_clusters(found), floor)
+    inside = found.where("kind = 'point'").select(F.col("name").alias("point"), F.col("label").alias("cluster"))
+    inside = lookup(inside, homes, "cluster", ["point"], how="inner", floor=floor, rows=n)
+    inside = checkpointed(inside.select("point", "home").join(dense.select("point", "weight"), "point"))
+    numbers = _largest_first(inside.groupBy("home").agg(F.sum("weight").alias("size")), "home")
+    labelled = lookup(inside, numbers, "home", ["point"], how="inner", floor=floor, rows=n)
     out = lookup(keyed, labelled.select("point", "topic_id"), "point", [key], floor=floor)
     return out.select(key, F.coalesce("topic_id", F.lit(NOISE)).alias("topic_id"))
 
 
-def _memberships(points: DataFrame, cells: Cells, grid: list[float], floor: int) -> DataFrame:
-    """(level, point, weight, component): every dense point at every radius, all radii at once."""
-    radius = F.array(*map(F.lit, grid))
-    from_level = lambda w: F.explode(
-        F.filter(F.sequence(F.lit(0), F.lit(len(grid) - 1)), lambda i: F.get(radius, i) >= w)
-    )
-    edges = _edges(points, cells, grid[-1]).select("src", "dst", from_level(F.col("weight")).alias("level"))
-    level = F.col("level")
-    labels = connected_components(
-        edges.select(_level_id(level, F.col("src")).alias("src"), _level_id(level, F.col("dst")).alias("dst")), floor
-    )
-    dense = points.where(F.col("core") <= grid[-1])
-    nodes = dense.select("point", "weight", from_level(F.col("core")).alias("level"))
-    nodes = nodes.withColumn("id", _level_id(level, F.col("point")))
-    return checkpointed(
-        nodes.join(labels, "id", "left").select(
-            "level", "point", "weight", F.coalesce("component", "id").alias("component")
-        )
-    )
+def _clusters(found: DataFrame) -> DataFrame:
+    """(cluster, parent_cluster, stability); the root has no parent and no stability, so it is never chosen."""
+    born = found.where("kind = 'born'").select(F.col("name").alias("cluster"), F.col("label").alias("parent_cluster"))
+    changes = found.where("kind in ('born', 'gain')")
+    sums = changes.groupBy(F.when(F.col("kind") == "born", F.col("name")).otherwise(F.col("label")).alias("cluster"))
+    clusters = born.join(sums.agg(F.sum("amount").alias("stability")), "cluster", "left")
+    top = found.sparkSession.createDataFrame([(ROOT, None, None)], "cluster string, parent_cluster string, stability double")
+    return checkpointed(clusters.unionByName(top))
 
 
-def _cluster_tree(member: DataFrame, grid: list[float], min_cluster_size: int, floor: int) -> DataFrame:
-    """One row per large component: (component, level, size, parent, siblings, gain).
+def _chosen(clusters: DataFrame, floor: int) -> DataFrame:
+    """(cluster, home): the chosen cluster that each cluster is or lies in; those in none are left out.
 
-    ``parent`` is the component around it one radius wider, ``siblings`` the number of large
-    components that share the parent, ``gain`` the stability it adds to its cluster.
+    Loops run over cluster rows only, as many times as clusters nest: upwards for the best sums, downwards for the choice.
     """
-    step = grid[-1] / grid[-2] if len(grid) > 1 else 2.0
-    density = [1.0 / max(r, 1e-12) for r in [*grid, grid[-1] * step]]
-    gains = F.array(*[F.lit(density[i] - density[i + 1]) for i in range(len(grid))])
-    large = member.groupBy("component", "level").agg(F.sum("weight").alias("size"), F.min("point").alias("point"))
-    large = checkpointed(large.where(F.col("size") >= min_cluster_size))
-    wider = member.select("point", (F.col("level") - 1).alias("level"), F.col("component").alias("parent"))
-    tree = large.join(wider, ["point", "level"], "left")
-    tree = tree.withColumn("gain", F.col("size") * F.get(gains, F.col("level")))
-    # at the widest radius all components are siblings below one root
-    tree = tree.withColumn("parent", F.coalesce("parent", F.lit("root")))
-    siblings = tree.groupBy("parent").agg(F.count(F.lit(1)).alias("siblings"))
-    return checkpointed(lookup(tree, siblings, "parent", ["component"], floor=floor))
-
-
-def _select(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(component → cluster for the component a cluster is born with, the chosen clusters).
-
-    A component alone below its parent continues the parent's cluster; otherwise it founds one.
-    Loops run over component and cluster rows only, as many times as the tree is deep.
-    """
-    founds = (F.col("siblings") > 1) & (F.col("parent") != "root") | (F.col("parent") == "root")
-    resolved = tree.withColumn("cluster", F.when(founds, F.col("component")).otherwise(F.col("parent")))
-    pointer = resolved.select("component", "cluster")
+    rows = clusters.count()
+    own = F.coalesce("stability", F.lit(0.0))
+    state = clusters.withColumn("best", own)
     while True:
-        onward = pointer.select(F.col("component").alias("cluster"), F.col("cluster").alias("_next"))
-        moved = checkpointed(pointer.join(onward, "cluster", "left"))
-        pointer = moved.select("component", F.coalesce("_next", "cluster").alias("cluster"))
-        if moved.where("_next <> cluster").isEmpty():
+        sums = state.where("parent_cluster is not null").groupBy(F.col("parent_cluster").alias("cluster")).agg(F.sum("best").alias("_below"))
+        update = state.join(sums, "cluster", "left").withColumn("below", F.coalesce("_below", F.lit(0.0)))
+        update = update.select("cluster", "parent_cluster", "stability", F.greatest(own, "below").alias("best"), "below", F.col("best").alias("_old"))
+        update = checkpointed(update)
+        state = update.select("cluster", "parent_cluster", "stability", "best")
+        if update.where("best <> _old").isEmpty():
             break
-    rows = tree.join(pointer, "component")
-    stability = rows.groupBy("cluster").agg(F.sum("gain").alias("stability"))
-    parents = tree.select(F.col("component").alias("parent"), "level").drop("level")
-    parents = parents.join(pointer.select(F.col("component").alias("parent"), F.col("cluster").alias("parent_cluster")), "parent")
-    born = tree.where(founds).select(F.col("component").alias("cluster"), "parent", "siblings")
-    clusters = born.join(parents, "parent", "left").join(stability, "cluster")
-    # the only component at the widest radius is the root itself and cannot be chosen
-    eligible = (F.col("parent") != "root") | (F.col("siblings") > 1)
-    clusters = checkpointed(clusters.select("cluster", "parent_cluster", "stability", eligible.alias("eligible")))
-
-    best = clusters.select("cluster", F.when(F.col("eligible"), F.col("stability")).otherwise(0.0).alias("best"))
+    wanted = F.col("stability").isNotNull() & (F.col("stability") >= F.col("below"))
+    tree = update.select("cluster", "parent_cluster", wanted.alias("wanted"))
+    front = tree.where("parent_cluster is null").select("cluster", F.lit(None).cast("string").alias("home"))
+    homes = front.where("home is not null")
     while True:
-        below = clusters.join(best, "cluster").groupBy(F.col("parent_cluster").alias("cluster"))
-        joined = clusters.join(below.agg(F.sum("best").alias("below")), "cluster", "left")
-        joined = joined.withColumn("below", F.coalesce("below", F.lit(0.0)))
-        own = F.when(F.col("eligible"), F.col("stability")).otherwise(0.0)
-        update = checkpointed(joined.withColumn("best", F.greatest(own, "below")))
-        settled = update.join(best.withColumnRenamed("best", "_old"), "cluster").where("best <> _old").isEmpty()
-        best = update.select("cluster", "best")
-        if settled:
-            break
-    wanted = update.select("cluster", "parent_cluster", (F.col("eligible") & (F.col("stability") >= F.col("below"))).alias("wanted"))
-
-    # from the root down: a cluster is chosen unless one above it is
-    chosen = None
-    front = wanted.where(F.col("parent_cluster").isNull())
-    while not front.isEmpty():
-        taken = front.where("wanted").select("cluster")
-        chosen = taken if chosen is None else chosen.unionByName(taken)
-        open_parents = front.where(~F.col("wanted")).select(F.col("cluster").alias("parent_cluster"))
-        front = checkpointed(wanted.join(open_parents, "parent_cluster", "left_semi").select(*wanted.columns))
-    if chosen is None:
-        chosen = wanted.select("cluster").where(F.lit(False))
-    birth = born.select(F.col("cluster").alias("component"), "cluster")
-    return birth, chosen
+        above = front.select(F.col("cluster").alias("parent_cluster"), "home")
+        below = lookup(tree, above, "parent_cluster", ["cluster"], how="inner", floor=floor, rows=rows)
+        front = checkpointed(below.select("cluster", F.coalesce("home", F.when(F.col("wanted"), F.col("cluster"))).alias("home")))
+        if front.isEmpty():
+            return homes
+        homes = homes.unionByName(front.where("home is not null"))

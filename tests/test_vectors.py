@@ -67,48 +67,94 @@ def test_density_cut(spark, radius, block_rows, floor):
     assert sizes == sorted(sizes, reverse=True)
 
 
-def brute_topics(x, grid, size, k):
-    """The same hierarchy, built in plain Python from one cut per radius."""
-    cuts = [sorted(partition(brute_cut(x, r, size, k)), key=sorted) for r in grid]
-    step = grid[-1] / grid[-2]
-    density = [1 / r for r in [*grid, grid[-1] * step]]
-
-    class Node:
-        def __init__(self, members):
-            self.members, self.stability, self.children = members, 0.0, []
-
-    def grow(level, members, node):
-        node.stability += len(members) * (density[level] - density[level + 1])
-        inside = [c for c in cuts[level - 1] if c <= members] if level else []
-        if len(inside) == 1:
-            grow(level - 1, inside[0], node)
-        for c in inside if len(inside) > 1 else []:
-            child = Node(c)
-            node.children.append(child)
-            grow(level - 1, c, child)
-        return node
-
-    top = [grow(len(grid) - 1, c, Node(c)) for c in cuts[-1]]
-
-    def choose(node, allowed=True):
-        below = [choose(c) for c in node.children]
-        total = sum(b[0] for b in below)
-        if allowed and node.stability >= total:
-            return node.stability, {node.members}
-        return total, set().union(*[b[1] for b in below])
-
-    if len(top) == 1:
-        return choose(top[0], allowed=False)[1]
-    return set().union(*[choose(t)[1] for t in top])
-
-
-@pytest.mark.parametrize("block_rows,floor", [(20, 100_000)])
-def test_topics(spark, block_rows, floor):
+def brute_topics(x, size, k):
+    """The hierarchy over all pairs in plain Python; edges of one weight join all they touch at once."""
+    part, power = np.frexp(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)))
+    apart = np.ldexp(np.rint(np.ldexp(part, 40)), power - 40)
+    core = np.sort(apart, axis=1)[:, k]
+    reach = np.maximum(apart, np.maximum(core[:, None], core[None]))
+    left, edges = {*range(1, len(x))}, []
+    near, source = reach[0].copy(), np.zeros(len(x), dtype=int)
+    while left:
+        j = min(left, key=lambda i: near[i])
+        edges.append((near[j], int(source[j]), j))
+        left.discard(j)
+        closer = reach[j] < near
+        near[closer], source[closer] = reach[j][closer], j
+    node = {i: (frozenset([i]), [], 0.0) for i in range(len(x))}  # of each point: points, sides, weight
+    for w in sorted({e[0] for e in edges}):
+        sides = {}
+        for _, a, b in (e for e in edges if e[0] == w):
+            own = {id(s): s for p in (a, b) for s in sides.get(id(node[p]), [node[p]])}
+            groups = [own]
+            for other in {id(s): sides[s_id] for s_id, s in own.items() if s_id in sides}.values():
+                groups.append({id(s): s for s in other})
+            whole = {i: s for g in groups for i, s in g.items()}
+            for i in whole:
+                sides[i] = list(whole.values())
+        for group in {frozenset(map(id, g)): g for g in sides.values()}.values():
+            new = (frozenset().union(*[s[0] for s in group]), group, w)
+            for i in new[0]:
+                node[i] = new
+
+    def choose(top, birth, allowed=True):
+        stability, at = -birth * len(top[0]), top
+        while True:
+            big = [s for s in at[1] if len(s[0]) >= size]
+            density = 1 / max(at[2], 1e-12)
+            stability += density * (len(at[0]) - (len(big[0][0]) if len(big) == 1 else 0))
+            if len(big) != 1:
+                break
+            at = big[0]
+        found = [choose(s, density) for s in big]
+        total = sum(f[0] for f in found)
+        if allowed and stability >= total:
+            return stability, {frozenset(top[0])}
+        return total, set().union(*[f[1] for f in found])
+
+    return choose(node[0], 0.0, False)[1]
+
+
+@pytest.mark.parametrize("block_rows,floor,task_edges", [(1000, 100_000, 200_000), (20, 100_000, 30)])
+def test_topics(spark, block_rows, floor, task_edges):
+    """In one task, and over many cells, spanning rounds and halved problems."""
+    rng = np.random.default_rng(5)
     x = blobs()
-    grid = [float(r) for r in np.geomspace(0.02, 12, 14)]
-    found = labels_of(K.topics(frame(spark, x), "id", "v", radii=grid, block_rows=block_rows, floor=floor), len(x))
-    want = brute_topics(x, grid, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)
-    assert len(want) == 4 and partition(found) == {frozenset(w) for w in want}
+    x[-40:-25] += rng.normal(0, 1e-3, (15, 3))  # no copies: the brute force breaks their ties otherwise
+    found = labels_of(K.topics(frame(spark, x), "id", "v", block_rows=block_rows, floor=floor, task_edges=task_edges), len(x))
+    want = brute_topics(x, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)
+    assert len(want) >= 4 and partition(found) == {frozenset(w) for w in want}
+    sizes = [(found == n).sum() for n in range(found.max() + 1)]
+    assert sizes == sorted(sizes, reverse=True)
+
+
+def test_topics_of_unseparated_vectors(spark):
+    """2,000 vectors of one cloud with denser places and noise: nothing separates them, labels are those of the exact method."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(0, 3, (12, 4))
+    x = np.vstack([rng.normal(c, 0.5 + 0.1 * i, (140, 4)) for i, c in enumerate(centres)] + [rng.normal(0, 4, (320, 4))])
+    found = labels_of(K.topics(frame(spark, x), "id", "v", block_rows=300), len(x))
+    want = brute_topics(x, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)
+    assert len(want) > 3 and (found == -1).sum() > 100 and partition(found) == {frozenset(w) for w in want}
+
+
+def test_spanning_forest_in_rounds(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"n{a}", f"n{b}", float(rng.integers(0, 40))) for a, b in rng.integers(0, 60, (500, 2)) if a != b]
+    rows += [("x", "y", 1.0), ("y", "z", 1.0), ("z", "x", 1.0)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    whole = K.spanning_forest(edges).collect()
+    parts = K.spanning_forest(edges, most=20).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, parts)) and len(whole) == 59 + 2
+
+
+def test_topics_of_few_vectors(spark):
+    assert K.topics(frame(spark, [(0, 0)]).limit(0), "id", "v").count() == 0
+    assert [r.topic_id for r in K.topics(frame(spark, [(0, 0)]), "id", "v").collect()] == [-1]
+    assert {r.topic_id for r in K.topics(frame(spark, np.arange(8).reshape(4, 2)), "id", "v").collect()} == {-1}
+    copies = np.repeat(np.array([[0.0, 0.0], [9.0, 9.0]]), [12, 11], axis=0)
+    found = labels_of(K.topics(frame(spark, copies), "id", "v"), 23)
+    assert found.tolist() == [0] * 12 + [1] * 11
 
 
 def test_topics_find_planted_groups_with_their_own_grid(spark):
