@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -51,6 +51,40 @@ def numbered(df: DataFrame, groups: Sequence[str], block: str, order: Sequence[s
     return ranked.withColumn(name, (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_before", "_rank")
 
 
+# --- arrays in expressions ----------------------------------------------------------------------
+
+CHUNK = 256
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often a lambda in it asks for it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def folded(items: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """(last, out): a state carried over the items, and what every step gives out, an array of ``kind`` each, flattened.
+
+    Output is gathered per CHUNK items and the chunks are flattened at the end, so that no long array grows item by item.
+    """
+    none, no_parts = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def add(s: Column, x: Column) -> Column:
+        last, out = step(s["last"], x)
+        return F.struct(last.alias("last"), F.concat(s["out"], out).alias("out"))
+
+    def add_chunk(s: Column, chunk: Column) -> Column:
+        part = F.aggregate(chunk, F.struct(s["last"].alias("last"), none.alias("out")), add)
+        return once(part, lambda p: F.struct(p["last"].alias("last"), F.concat(s["parts"], F.array(p["out"])).alias("parts")))
+
+    def over(every: Column) -> Column:
+        places = F.when(F.size(every) > 0, F.sequence(F.lit(1), F.size(every), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+        start = F.struct(zero.alias("last"), no_parts.alias("parts"))
+        finish = lambda s: F.struct(s["last"].alias("last"), F.flatten(s["parts"]).alias("out"))
+        return F.aggregate(F.transform(places, lambda i: F.slice(every, i, F.lit(CHUNK))), start, add_chunk, finish)
+
+    return once(items, over)
+
+
 # --- look-ups -----------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import saved, text_or_empty
+from postmill.llm.common import folded, once, saved, text_or_empty
 
 
 def either_case(word: str) -> str:
@@ -157,42 +157,43 @@ def _any(columns: list[Column]) -> Column:
 
 # --- verification -------------------------------------------------------------------------------
 
-_SPAN = "array<struct<begin:long,rank:int,kind:string,end:long>>"
+_ONE = "struct<begin:long,rank:int,kind:string,end:long,first_byte:long,last_byte:long>"
+_SPAN = f"array<{_ONE}>"
 
 
 def spans_of(text: Column, rule: Rule, rank: int) -> Column:
-    """All spans of one rule in code points: the gaps between matches and the matches, added up."""
-    pattern = F.lit(rule.pattern)
-    gaps = F.split(text, rule.pattern, -1)
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    judged = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    lengths = F.transform(gaps, lambda g, i: F.struct(
-        F.length(g).cast("long").alias("gap"),
-        F.length(F.get(hits, i)).cast("long").alias("hit"),
-        (F.length(F.get(judged, i)) >= rule.least).alias("good"),
-    ))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans"))
-
-    def add(so_far: Column, x: Column) -> Column:
-        begin = so_far["at"] + x["gap"]
-        end = begin + F.coalesce(x["hit"], F.lit(0).cast("long"))
-        span = F.struct(begin.alias("begin"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        spans = F.when(F.coalesce(x["good"], F.lit(False)), F.concat(so_far["spans"], F.array(span).cast(_SPAN))).otherwise(so_far["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    return F.aggregate(lengths, start, add, lambda x: x["spans"])
+    """All spans of one rule, in code points and in bytes: the gaps between matches and the matches, added up."""
+    hits = F.zip_with(
+        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)),
+        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)),
+        lambda h, j: F.struct(F.length(h).alias("hit"), F.octet_length(h).alias("bytes"), (F.length(j) >= rule.least).alias("good")),
+    )
+    gaps = F.transform(F.split(text, rule.pattern, -1), lambda g: F.struct(F.length(g).alias("gap"), F.octet_length(g).alias("bytes")))
+
+    def add(at: Column, x: Column) -> tuple[Column, Column]:
+        begin, first = at["at"] + x["g"]["gap"], at["byte"] + x["g"]["bytes"]
+        end, last = begin + F.coalesce(x["h"]["hit"], F.lit(0)), first + F.coalesce(x["h"]["bytes"], F.lit(0))
+        names = (begin.alias("begin"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+        span = F.struct(*names, first.alias("first_byte"), last.alias("last_byte"))
+        good = F.coalesce(x["h"]["good"], F.lit(False))
+        return F.struct(end.alias("at"), last.alias("byte")), F.when(good, F.array(span).cast(_SPAN)).otherwise(F.array().cast(_SPAN))
+
+    zero = F.lit(0).cast("long")
+    both = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("g"), h.alias("h")))
+    return folded(both, F.struct(zero.alias("at"), zero.alias("byte")), add, _ONE)["out"]
 
 
 def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``docs`` with ``secret_spans``: (begin, rank, kind, end) in code points, by begin, then by rule.
+    """``docs`` with ``secret_spans``: (begin, rank, kind, end) in code points, by begin, then by rule; and their bytes.
 
     Rules with mandatory trigrams are verified in the documents that the index proposes; the others
     scan every text. The index holds the trigrams that the rules ask for, over all whole texts.
 
     Null text counts as empty; a null doc_id is an id like any other; repeated rows are scanned each
-    and get equal spans; an empty table gives no rows; a column named ``secret_spans`` is replaced.
+    and get equal spans; an empty table gives no rows; a column named ``secret_spans`` is replaced, and columns with the names of helpers
+    (``_key``, ``_may_`` and a kind) are left out.
     """
-    docs = docs.drop("secret_spans")
+    docs = docs.drop("secret_spans", "_key", *[f"_may_{r.kind}" for r in rules])
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     trigrams = sorted({t for q in queries.values() for clause in q for s in clause for t in s})
     keyed, empty = docs.withColumn("_key", document_key()), F.array().cast(_SPAN)
@@ -208,21 +209,27 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with every span, or run of overlapping spans, replaced by the mark."""
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """The text with every span, or run of overlapping spans, replaced by the mark.
 
-    def add(s: Column, x: Column) -> Column:
-        between = F.substr(text, (s["at"] + 1).cast("int"), F.greatest(x["begin"] - s["at"], F.lit(0)).cast("int"))
-        fresh = (x["begin"] >= s["at"])
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(fresh, F.concat(s["out"], between, F.lit(mark))).otherwise(s["out"]).alias("out"),
-        )
-
-    def finish(s: Column) -> Column:
-        return F.concat(s["out"], F.substr(text, (s["at"] + 1).cast("int"), F.length(text)))
-
-    return F.when(F.size(spans) > 0, F.aggregate(spans, state, add, finish)).otherwise(text)
+    Pieces between runs are cut by bytes, which need no count of characters, and joined at the end.
+    """
+    data = text.cast("binary")
+
+    def add(at: Column, x: Column) -> tuple[Column, Column]:
+        fresh = x["first_byte"] >= at
+        piece = F.struct(at.alias("begin"), x["first_byte"].alias("end"))
+        kind = "array<struct<begin:long,end:long>>"
+        return F.greatest(at, x["last_byte"]), F.when(fresh, F.array(piece).cast(kind)).otherwise(F.array().cast(kind))
+
+    def cut(both: Column) -> Column:
+        raw, found = both["raw"], both["found"]
+        between = F.transform(found["out"], lambda p: F.substring(raw, (p["begin"] + 1).cast("int"), (p["end"] - p["begin"]).cast("int")).cast("string"))
+        rest = F.substring(raw, (found["last"] + 1).cast("int"), F.length(raw)).cast("string")
+        return F.array_join(F.concat(between, F.array(rest)), mark)
+
+    found = folded(spans, F.lit(0).cast("long"), add, "struct<begin:long,end:long>")
+    whole = once(F.struct(data.alias("raw"), found.alias("found")), cut)
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def joined(spans: Column) -> Column:
