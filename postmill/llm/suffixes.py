@@ -20,8 +20,8 @@ GRAM = 32  # an anchor is the least hash of a 32-byte string within 100 bytes
 WINDOW = LENGTH - GRAM + 1
 SLICE = 1 << 20
 GROUP = 8 << 20  # bytes of text whose passages one group gathers
-SHARD = 1 << 20  # bytes of passages in one suffix array; sorting needs about a hundred times as much
-PASS_ON = 12 << 20  # bytes of passages that a worker gathers before it passes them on
+SHARD = 1 << 19  # bytes of passages in one suffix array; sorting needs about a hundred times as much
+PASS_ON = 6 << 20  # bytes of passages that a worker gathers before it passes them on
 #: An anchor that occurs more often is split: its 100-byte strings are compared one by one, dealt by their hashes.
 HOT = 500
 
