@@ -24,21 +24,25 @@ def with_threading(mails: DataFrame) -> DataFrame:
     )
 
 
+def referenced_ids(mails: DataFrame) -> DataFrame:
+    """Distinct ids that mails refer to; forwarded mails are skipped."""
+    not_forwarded = ~F.coalesce(F.col("subject_prefix").contains("fw"), F.lit(False))
+    none = F.array().cast("array<string>")
+    wanted = F.array_union(
+        F.filter(F.coalesce(F.col("references"), none), lambda x: x.isNotNull()),
+        F.filter(F.array("previous_message_id"), lambda x: x.isNotNull()),
+    )
+    return mails.where(not_forwarded).select(F.explode(wanted).alias("message_id")).distinct()
+
+
 def missing_message_ids(mails: DataFrame) -> DataFrame:
     """Distinct referenced ids that are no ``message_id`` of the frame.
 
     Forwarded mails are skipped. Duplicates are combined on both sides before the anti join, so an
     id that every mail refers to, or that many copies share, arrives there as one row.
     """
-    not_forwarded = ~F.coalesce(F.col("subject_prefix").contains("fw"), F.lit(False))
-    none = F.array().cast("array<string>")
-    wanted = F.array_union(
-        F.coalesce(F.col("references"), none),
-        F.filter(F.array("previous_message_id"), lambda x: x.isNotNull()),
-    )
-    ids = mails.where(not_forwarded).select(F.explode(wanted).alias("message_id")).distinct()
     present = mails.select("message_id").where(F.col("message_id").isNotNull()).distinct()
-    return ids.join(present, "message_id", "left_anti")
+    return referenced_ids(mails).join(present, "message_id", "left_anti")
 
 
 def with_response_time(mails: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:

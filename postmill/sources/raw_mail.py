@@ -10,7 +10,7 @@ from email.header import decode_header, make_header
 from email.message import Message
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
@@ -127,6 +127,20 @@ def parse_mails(files: DataFrame, content: str = "content", model: CharsetModel
     return parts.select(*kept, *typed, p("parse_error").alias("parse_error"))
 
 
+COUNTS = "read bigint, accepted bigint, set_aside bigint"
+
+
+def counted(parsed: DataFrame, counts: Observation) -> DataFrame:
+    """Parsed mails, counted while the next action reads them; ``counts.get`` has the ``COUNTS`` after it, without another scan."""
+    good = F.col("parse_error").isNull()
+    return parsed.observe(
+        counts,
+        F.count(F.lit(1)).alias("read"),
+        F.count(F.when(good, 1)).alias("accepted"),
+        F.count(F.when(~good, 1)).alias("set_aside"),
+    )
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     """The mails that parsed."""
     return parsed.where(F.col("parse_error").isNull()).select(*[f.name for f in MAIL.fields])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.operators.relate import dedupe
@@ -41,6 +41,25 @@ def fetch_since(mails: DataFrame, since: date | datetime, column: str = "submit_
     return mails.where(F.col(column) >= F.lit(f"{day:%Y-%m-%d} 00:00:00").cast("timestamp_ntz"))
 
 
+def write_by_day(mails: DataFrame, path: str, column: str = "submit_time", key: str = "message_id", mode: str = "append") -> None:
+    """A source in one folder per day. Rows without a time go to Spark's default partition.
+
+    Rows are dealt by ranges of (day, key), so a day with very many mails is spread over tasks and files and
+    a task writes few days. ``day`` replaces a column of that name.
+    """
+    dated = mails.withColumn("day", F.to_date(column))
+    dated.repartitionByRange("day", key).write.mode(mode).partitionBy("day").parquet(path)
+
+
+def read_by_day(spark: SparkSession, path: str, since: date | datetime | None = None) -> DataFrame:
+    """A source written by day; with ``since`` only the folders from that calendar day on are listed and read."""
+    mails = spark.read.parquet(path)
+    if since is not None:
+        day = since.date() if isinstance(since, datetime) else since
+        mails = mails.where(F.col("day") >= F.lit(day))
+    return mails.drop("day")
+
+
 def union_sources(*sources: DataFrame) -> DataFrame:
     """UNION ALL by column name; columns a source lacks are null."""
     first, *rest = sources

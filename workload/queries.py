@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import asyncio
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -18,7 +19,8 @@ from postmill.functions.vectors import l2_normalise
 from postmill.operators import charsets, clustering, embeddings, language, scoring, threads, topics
 from postmill.operators import relate as R
 from postmill.sources import raw_mail, select, tables
-from postmill.sources.checkpoints import checkpointed
+from postmill.sources.checkpoints import checkpoint_folder, checkpointed
+from postmill.sources.completion import complete
 from workload import mail as M
 
 c = F.col
@@ -115,6 +117,23 @@ def fetch_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.fetch_since(events, datetime(2024, 1, 10, 15, 30), "ts").select("event_id", "ts")
 
 
+def fetch_since_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same question to a source written in folders by day."""
+    path = f"{checkpoint_folder(spark)}/postmill-{uuid.uuid4().hex}"
+    select.write_by_day(M.table(spark, sf_dir, "events"), path, "ts", "event_id")
+    return select.read_by_day(spark, path, datetime(2024, 1, 10, 15, 30)).select("event_id", "ts")
+
+
+def fetch_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive with every fourth mail, which names its predecessor only; a server with most of all mails completes it."""
+    mails = M.mails(spark, sf_dir).withColumn("references", F.lit(None).cast("array<string>"))
+    mails = checkpointed(mails.withColumn("n", c("conv_id") + c("turn")))
+    archive, server = mails.where("n % 4 = 3"), mails.where("n % 11 <> 5")
+    done = complete(archive, server)
+    fetched = done.added.select("message_id", F.lit("fetched").alias("state"), "subject", "plain_text_body")
+    return select.union_sources(fetched, done.not_found.select("message_id", F.lit("not found").alias("state")))
+
+
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = M.mails(spark, sf_dir).select("message_id", "subject", F.lit("archive").alias("origin"))
     server = M.mails(spark, sf_dir).select("message_id", "submit_time", F.lit("server").alias("origin"))
@@ -656,6 +675,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ids_not_found": ids_not_found,
     "request_counts": request_counts,
     "fetch_since": fetch_since,
+    "fetch_since_by_day": fetch_since_by_day,
+    "fetch_missing": fetch_missing,
     "union_sources": union_sources,
     "sample_first_n": sample_first_n,
     "load_project": load_project,

@@ -18,9 +18,9 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def mail(select: str) -> str:
+def mail(select: str, recursive: bool = False) -> str:
     """The mail view followed by a select, or by a comma and further table expressions."""
-    return f"WITH {MAIL_SQL}\n{select}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{MAIL_SQL}\n{select}"
 
 
 def tokens(text: str) -> str:
@@ -178,6 +178,20 @@ FROM mail m JOIN conv USING (conv_id, turn)"""
 FROM ({REQUESTED}) r LEFT JOIN mail m USING (message_id)"""
     ),
     "fetch_since": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'",
+    "fetch_since_by_day": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'",
+    "fetch_missing": mail(
+        """, every AS (SELECT *, conv_id + turn AS n FROM mail),
+archive AS (SELECT * FROM every WHERE n % 4 = 3),
+server AS (SELECT * FROM every WHERE n % 11 <> 5),
+asked(id) AS (
+  SELECT previous_message_id FROM archive WHERE previous_message_id NOT IN (SELECT message_id FROM archive)
+    AND (subject_prefix IS NULL OR NOT contains(subject_prefix, 'fw'))
+  UNION SELECT previous_message_id FROM asked JOIN server ON message_id = id
+  WHERE previous_message_id NOT IN (SELECT message_id FROM archive) AND (subject_prefix IS NULL OR NOT contains(subject_prefix, 'fw')))
+SELECT id AS message_id, CASE WHEN message_id IS NULL THEN 'not found' ELSE 'fetched' END AS state, subject, body AS plain_text_body
+FROM asked LEFT JOIN server ON message_id = id""",
+        recursive=True,
+    ),
     "union_sources": mail(
         """SELECT message_id, subject, 'archive' AS origin, NULL::TIMESTAMP AS submit_time FROM mail
 UNION ALL SELECT message_id, NULL, 'server', submit_time FROM mail"""
