@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import date
 
@@ -11,10 +12,14 @@ from postmill.schemas import PARENTS
 from postmill.sources.tables import TableStore, export_csv
 
 
-def load_all(frames: Mapping[str, DataFrame], store: TableStore) -> dict[str, DataFrame]:
-    """Load parents before children; returns the rejected rows by table."""
+def load_all(frames: Mapping[str, DataFrame], store: TableStore, load_id: str | None = None) -> dict[str, DataFrame]:
+    """Load parents before children; returns the rejected rows by table.
+
+    A load that failed half-way, or that ran before, is repeated under the same ``load_id``: it leaves each row once.
+    """
+    load_id = uuid.uuid4().hex if load_id is None else load_id
     order = ["topics", "messages", *[t for t in PARENTS if t != "messages"]]
-    loaded = {table: store.load(frames[table], table) for table in order if table in frames}
+    loaded = {table: store.load(frames[table], table, load_id) for table in order if table in frames}
     return {table: rejected for table, rejected in loaded.items() if rejected is not None}
 
 

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from postmill.functions.headers import joined
 from postmill.operators.skew import lookup
 from postmill.schemas import ADDRESS_TYPES, KEYS, LONG_TEXT, MAX_LENGTH, PARENTS, TABLES, UNIQUE
 
-from postmill.sources.checkpoints import checkpointed, path_exists
+from postmill.sources.checkpoints import checkpointed, path_exists, remove
 
 log = logging.getLogger(__name__)
 
@@ -110,7 +112,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 class TableStore:
-    """The ten tables as Parquet datasets below one base path."""
+    """The ten tables as Parquet datasets below one base path, one folder per load."""
 
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark = spark
@@ -121,48 +123,70 @@ class TableStore:
 
     def read(self, table: str) -> DataFrame:
         """The table; an empty frame when nothing has been loaded. A full row hides the stub of its key."""
-        full = self._stored(table, self.path(table))
+        return self._with_stubs(table, F.lit(True)).select(*TABLES[table].names)
+
+    def _with_stubs(self, table: str, chosen: Column) -> DataFrame:
+        """The full rows, and of the ``chosen`` stubs those without a full row, one per key."""
+        full = self._stored(table, self.path(table), "load_id").select(*TABLES[table].names)
         if not path_exists(self.spark, self.stub_path(table)):
             return full
-        stubs = self._stored(table, self.stub_path(table))
-        return full.unionByName(stubs.join(full.select(KEYS[table]), KEYS[table], "left_anti"))
+        stubs = self._stored(table, self.stub_path(table), "load_id", "child").where(chosen).select(*TABLES[table].names)
+        return full.unionByName(stubs.dropDuplicates(KEYS[table]).join(full.select(KEYS[table]), KEYS[table], "left_anti"))
 
     def stub_path(self, table: str) -> str:
         return f"{self.path(table)}_stubs"
 
-    def _stored(self, table: str, path: str) -> DataFrame:
+    def _stored(self, table: str, path: str, *folders: str) -> DataFrame:
+        schema = StructType([*TABLES[table].fields, *[StructField(f, StringType()) for f in folders]])
         if path_exists(self.spark, path):
-            return self.spark.read.schema(TABLES[table]).parquet(path)
-        return self.spark.createDataFrame([], TABLES[table])
+            return self.spark.read.schema(schema).parquet(path)
+        return self.spark.createDataFrame([], schema)
 
     def read_all(self) -> dict[str, DataFrame]:
         """Every table by name."""
         return {table: self.read(table) for table in TABLES}
 
-    def load(self, df: DataFrame, table: str) -> DataFrame | None:
-        """Append a frame to its table; returns the rejected rows.
+    def load(self, df: DataFrame, table: str, load_id: str | None = None) -> DataFrame | None:
+        """Add a frame to its table under a load's name; returns the rejected rows.
+
+        The rows of one ``load_id`` (letters, digits, ``.``, ``_``, ``-``) lie in one folder of each table, which the same load
+        replaces when it runs again, also with other rows or none, however far it came the last time; files become visible as the
+        write commits. So each row of a load is stored once. Without a name every load is a new one.
 
         An unknown table name is logged and nothing is written. Parents that do not exist yet are
-        added as stubs first. In the parent tables, whose key is unique, rows with a stored or repeated
-        key are rejected, so a load that runs again adds nothing to them. Expects a frame that was written out before, if it is costly: it is
-        read once for the parents and once for the rows.
+        added as stubs first. In the parent tables, whose key is unique, rows whose key another load stored, or that
+        repeats, are rejected, so a load under a new name adds nothing to them. Expects a frame that was written out before, if it
+        is costly: it is read once for the parents and once for the rows.
         """
         if table not in TABLES:
             log.error("table %r is unknown", table)
             return None
+        load_id = uuid.uuid4().hex if load_id is None else load_id
+        if not re.fullmatch(r"[\w.-]+", load_id, re.ASCII):
+            raise ValueError(f"{load_id!r} cannot name a load")
         good, rejected = split_rejects(df, table)
         if table in UNIQUE:
-            judged = mark_conflicts(good, self._stored(table, self.path(table)), KEYS[table][0])
-            judged = checkpointed(judged)  # judged before the rows are stored
+            others = self._stored(table, self.path(table), "load_id").where(F.col("load_id") != load_id)
+            judged = checkpointed(mark_conflicts(good, others, KEYS[table][0]))  # judged before the rows are stored
             good = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
             rejected = rejected.unionByName(judged.where(F.col("reject_reason").isNotNull()))
         if table in PARENTS:
             parent, key = PARENTS[table]
-            stubs = missing_parents(good, self.read(parent), key)
-            stubs.write.mode("append").parquet(self.stub_path(parent))
-        good.write.mode("append").parquet(self.path(table))
+            others = (F.col("load_id") != load_id) | (F.col("child") != table)  # this load's own stubs are written anew
+            stubs = checkpointed(missing_parents(good, self._with_stubs(parent, others), key))
+            self._replace(stubs, self.stub_path(parent), load_id=load_id, child=table)
+        self._replace(good, self.path(table), load_id=load_id)
         return rejected
 
+    def _replace(self, rows: DataFrame, path: str, **folders: str) -> None:
+        """Write the rows as the one content of a folder below the path; other folders stay."""
+        folder = "/".join([path, *[f"{name}={value}" for name, value in folders.items()]])
+        if path_exists(self.spark, folder) and rows.isEmpty():  # no row would replace nothing
+            remove(self.spark, folder)
+        named = rows.withColumns({name: F.lit(value) for name, value in folders.items()})
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*folders).parquet(path)
+
 
 def write_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str]) -> None:
     """The accepted rows of a frame appended to an external database table."""

@@ -203,6 +203,58 @@ def test_conflicts_and_repeated_loads(spark, tmp_path):
     assert sorted((r.message_id, r.subject) for r in store.read("messages").collect()) == once
 
 
+LOADED = ("topics", "messages", "addresses", "references")
+
+
+def stored(store):
+    return {t: sorted(map(str, store.read(t).collect())) for t in LOADED}
+
+
+@pytest.mark.parametrize("killed", ["messages", "references"])
+def test_a_load_that_failed_half_way_is_repeated(spark, tmp_path, monkeypatch, killed):
+    frames = {t: spark.createDataFrame(ROWS[t], TABLES[t]) for t in LOADED}
+    whole = tables.TableStore(spark, str(tmp_path / "whole"))
+    load.load_all(frames, whole, "day-1")
+    expected = stored(whole)
+    assert all(expected.values())
+
+    store = tables.TableStore(spark, str(tmp_path / "tables"))
+    replace = tables.TableStore._replace
+
+    def fail(self, rows, path, **folders):
+        if path.endswith(f"/{killed}"):  # after the stubs of the table's parents, before its rows
+            raise RuntimeError("killed")
+        replace(self, rows, path, **folders)
+
+    monkeypatch.setattr(tables.TableStore, "_replace", fail)
+    with pytest.raises(RuntimeError):
+        load.load_all(frames, store, "day-1")
+    monkeypatch.undo()
+    for _ in range(2):
+        rejected = load.load_all(frames, store, "day-1")
+        assert stored(store) == expected and not any(r.count() for r in rejected.values())
+
+
+def test_a_repeated_load_replaces_its_rows_only(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path / "tables"))
+    rows = lambda *r: spark.createDataFrame(list(r), TABLES["addresses"])
+    store.load(rows(("m1", "from", "a@x"), ("m1", "from", "a@x")), "addresses", "1")
+    store.load(rows(("m1", "from", "a@x"), ("m2", "to", "b@x")), "addresses", "2")
+    assert store.read("addresses").count() == 4
+    store.load(rows(("m3", "to", "c@x")), "addresses", "2")
+    assert sorted(r.message_id for r in store.read("addresses").collect()) == ["m1", "m1", "m3"]
+    assert sorted(r.message_id for r in store.read("messages").collect()) == ["m1", "m3"]  # the stub of m2 went with its row
+    store.load(rows(), "addresses", "2")
+    assert [r.message_id for r in store.read("messages").collect()] == ["m1"]
+    for name in ("", "a/b", "a=b", "ä"):
+        with pytest.raises(ValueError):
+            store.load(rows(), "addresses", name)
+    mail = spark.createDataFrame([("m1", "s")], "message_id string, subject string")
+    assert store.load(mail, "messages", "3").count() == 0 == store.load(mail, "messages", "3").count()
+    assert [r.reject_reason for r in store.load(mail, "messages", "4").collect()] == ["message_id is stored already"]
+    assert [(r.message_id, r.subject) for r in store.read("messages").collect()] == [("m1", "s")]
+
+
 def test_long_subject_loads(spark):
     row = spark.createDataFrame([("m", "s" * 300)], "message_id string, subject string")
     good, bad = tables.split_rejects(row, "messages")
