@@ -186,6 +186,32 @@ def test_svd(spark):
     assert len(V.truncated_svd(frame(spark, x), "id", "v", 50).first().reduced) == 8
 
 
+def test_wide_svd(spark):
+    """20,000 dimensions, rank 55, singular values down to 1e-9 of the largest."""
+    random = np.random.default_rng(5)
+    left, right = (np.linalg.qr(random.normal(size=(n, 55)))[0] for n in (200, 20_000))
+    values = np.logspace(3, -6, 55)
+    x = (left * values) @ right.T
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>").repartition(5)
+    got = np.array([r.reduced for r in V.truncated_svd(rows, "id", "v", 50).orderBy("id").collect()])
+    assert got.shape == (200, 50)
+    assert np.allclose(np.linalg.norm(got, axis=0), np.linalg.svd(x, compute_uv=False)[:50], rtol=1e-6, atol=1e-9)
+    assert np.allclose(got @ got.T, (left[:, :50] * values[:50] ** 2) @ left[:, :50].T, atol=1e-6)
+
+
+def test_wide_svd_edges(spark, monkeypatch):
+    """Sketch and Gram matrix agree where both apply; fewer rows than components, equal rows, zeros and nulls are no harm."""
+    x = np.random.default_rng(6).normal(size=(40, 8)) * np.logspace(0, -3, 8)
+    narrow = [r.reduced for r in V.truncated_svd(frame(spark, x), "id", "v", 3).orderBy("id").collect()]
+    monkeypatch.setattr(V, "MAX_DIMENSIONS", 1)
+    assert np.allclose([r.reduced for r in V.truncated_svd(frame(spark, x), "id", "v", 3).orderBy("id").collect()], narrow)
+    same = [r.reduced for r in V.truncated_svd(frame(spark, [x[0], x[0], x[0] * 0]), "id", "v", 6).orderBy("id").collect()]
+    assert np.allclose(np.linalg.norm(same, axis=1), np.linalg.norm([x[0], x[0], x[0] * 0], axis=1))
+    empty = frame(spark, x).where("id < 0")
+    assert V.truncated_svd(empty, "id", "v", 3).count() == 0
+    assert V.wide_basis(frame(spark, x).withColumn("v", F.lit(None).cast("array<double>")), "v", 8, 3).shape == (8, 3)
+
+
 def test_normalise(spark):
     got = frame(spark, [(3, 4), (0, 0)]).select(l2_normalise(F.col("v")), l2_norm(F.col("v"))).collect()
     assert [tuple(r) for r in got] == [([0.6, 0.8], 5.0), ([0.0, 0.0], 0.0)]

@@ -606,6 +606,15 @@ def svd_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.join(after, "vec_id").select("vec_id", (F.round(product, 4) + 0.0).alias("product"))
 
 
+def svd_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for vectors beyond the Gram matrix: each is repeated 128 times, which keeps the rank."""
+    wide = M.table(spark, sf_dir, "embeddings").select("vec_id", F.flatten(F.array_repeat("embedding", 128)).alias("wide"))
+    reduced = embeddings.truncated_svd(wide, "vec_id", "wide", k=64)
+    after = reduced.select((c("vec_id") - 1).alias("vec_id"), c("reduced").alias("after"))
+    product = F.aggregate(F.zip_with("reduced", "after", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return reduced.join(after, "vec_id").select("vec_id", (F.round(product / 128, 4) + 0.0).alias("product"))
+
+
 def embed_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without document frequencies, an embedding has length 1, or 0 if the text has no token."""
     rows = embeddings.hashed_embeddings(M.table(spark, sf_dir, "documents"), "doc_id", "text", idf=False)
@@ -738,6 +747,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "populate_missing": populate_missing,
     "svd": svd,
     "svd_full": svd_full,
+    "svd_wide": svd_wide,
     "embed_lengths": embed_lengths,
     "l2_normalise": l2_normalised,
     "density_cut": density_cut,
