@@ -11,7 +11,7 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.functions.text import tokens
@@ -20,6 +20,7 @@ from postmill.sources.checkpoints import checkpointed, path_exists
 
 Encoder = Callable[[list[str]], np.ndarray]
 STORE_SCHEMA = "message_id string, embedding array<float>"
+BUCKETS = 256  # folders of the embedding store
 PART = "strip int, lane int, matrix binary"
 COMPONENTS = 50
 MAX_DIMENSIONS = 4096  # up to here the driver holds the Gram matrix of the SVD, beyond it a sketch of the row space
@@ -57,11 +58,19 @@ def hashed_embeddings(docs: DataFrame, key: str, text: str, dimensions: int = 25
     return unit.select(key, vector_to_array("_u", "float32").alias("embedding"))
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The embedding store, empty when it does not exist yet."""
-    if path_exists(spark, path):
-        return spark.read.schema(STORE_SCHEMA).parquet(path)
-    return spark.createDataFrame([], STORE_SCHEMA)
+def bucket_of(key: Column) -> Column:
+    """The store's folder for an id."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def read_store(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The embedding store, or only the folders of the given buckets; empty when it does not exist yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], STORE_SCHEMA)
+    stored = spark.read.schema(f"{STORE_SCHEMA}, bucket int").parquet(path)
+    if buckets is not None:
+        stored = stored.where(F.col("bucket").isin(buckets))
+    return stored.drop("bucket")
 
 
 def not_embedded(docs: DataFrame, store: DataFrame, key: str = "message_id") -> DataFrame:
@@ -73,12 +82,17 @@ def populate(docs: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame]
     """Embed the documents the store lacks, append them, and return the documents with embeddings.
 
     ``docs`` has one row per ``message_id``. Running it again embeds nothing new, so a repeated
-    batch does no harm.
+    batch does no harm. The store has one folder per bucket of ids, and only the folders that the documents' ids fall in are
+    read (at most ``BUCKETS`` numbers reach the driver), so a small batch reads a small share of a large store. Rows
+    are gathered by bucket before they are written, where Spark splits the large buckets and joins the small ones.
     """
     spark = docs.sparkSession
-    fresh = embed(not_embedded(docs, read_store(spark, path)))
-    fresh.select("message_id", F.col("embedding").cast("array<float>")).write.mode("append").parquet(path)
-    return docs.join(read_store(spark, path), "message_id")
+    touched = docs.select(bucket_of(F.col("message_id")).alias("bucket")).where("bucket IS NOT NULL").distinct()
+    buckets = sorted(r["bucket"] for r in touched.collect())
+    fresh = embed(not_embedded(docs, read_store(spark, path, buckets)))
+    typed = fresh.select("message_id", F.col("embedding").cast("array<float>"), bucket_of(F.col("message_id")).alias("bucket"))
+    typed.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    return docs.join(read_store(spark, path, buckets), "message_id")
 
 
 def truncated_svd(rows: DataFrame, key: str, vector: str, k: int = COMPONENTS) -> DataFrame:

@@ -236,3 +236,21 @@ def test_store_grows_only_by_new_documents(spark, tmp_path):
     assert again.count() == 6 and counted.value == 3
     assert V.read_store(spark, store).count() == 6
     assert all(abs(np.linalg.norm(r.embedding) - 1) < 1e-6 for r in first.collect())
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    store = str(tmp_path / "store")
+    docs = spark.range(400).selectExpr("concat('m', id) message_id", "concat('text number ', id) clean_text")
+    embed = lambda d: V.hashed_embeddings(d, "message_id", "clean_text", 16, idf=False)
+    V.populate(docs, store, embed)
+    files = list((tmp_path / "store").glob("bucket=*/*.parquet"))
+    assert 150 < len(files) <= V.BUCKETS  # one file per bucket, not one per task and bucket
+    batch = docs.where("message_id in ('m1', 'm2', 'm399')").union(spark.createDataFrame([("new", "text")], docs.schema))
+    got = V.populate(batch, store, embed)
+    assert sorted(r.message_id for r in got.collect()) == ["m1", "m2", "m399", "new"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan
+    buckets = {r[0] for r in batch.select(V.bucket_of(F.col("message_id"))).collect()}
+    assert len(buckets) <= 4 and V.read_store(spark, store, sorted(buckets)).count() < 40
+    assert V.read_store(spark, store).count() == 401 and V.read_store(spark, store, []).count() == 0
+    assert V.populate(batch.limit(0), store, embed).count() == 0
