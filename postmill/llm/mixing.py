@@ -66,18 +66,19 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, budget: flo
 
     Null source: a source of its own. Null text: one byte in the sizes. Null doc_id: hashed by its
     text. Repeated rows have equal copies each. An empty table gives no rows. Columns of ``docs``
-    named like the added ones are replaced.
+    named like the added ones are replaced; those named like the helpers (``_mix_`` in front,
+    ``_before``, ``_rank``) are left out.
     """
-    docs = docs.drop("rate", "n_copies", "copy", "position")
-    tables = saved(poisson_tables(rates(docs, weights, budget)))
+    docs = docs.drop("rate", "n_copies", "copy", "position", "_mix_source", "_mix_cdf", "_mix_place", "_mix_block", "_before", "_rank")
+    tables = saved(poisson_tables(rates(docs, weights, budget)).withColumnsRenamed({"_source": "_mix_source", "cdf": "_mix_cdf"}))
     # F.md5 of the text only where the id is null
     identity = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(text_or_empty().cast("binary"))))
     u = _uniform(F.lit(str(seed)), identity) / F.lit(float(2**BITS))
-    joined = docs.withColumn("_source", source_key()).join(tables, "_source")
-    drawn = joined.withColumn("n_copies", F.size(F.filter("cdf", lambda c: c <= u))).drop("cdf", "_source")
+    joined = docs.withColumn("_mix_source", source_key()).join(tables, "_mix_source")
+    drawn = joined.withColumn("n_copies", F.size(F.filter("_mix_cdf", lambda c: c <= u))).drop("_mix_cdf", "_mix_source")
     copies = drawn.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     place = _uniform(F.lit(str(seed)), identity, F.col("copy").cast("string"))
     blocks = blocks_for(int(docs.count() * max(budget, 1e-9)), block_rows)
-    block = F.floor(F.col("_place") / F.lit(float(2**BITS)) * blocks).cast("int")
-    placed = copies.withColumn("_place", place).withColumn("_block", block)
-    return numbered(placed, [], "_block", ["_place", "doc_id", "copy"], "position").drop("_place", "_block")
+    block = F.floor(F.col("_mix_place") / F.lit(float(2**BITS)) * blocks).cast("int")
+    placed = copies.withColumn("_mix_place", place).withColumn("_mix_block", block)
+    return numbered(placed, [], "_mix_block", ["_mix_place", "doc_id", "copy"], "position").drop("_mix_place", "_mix_block")

@@ -216,8 +216,16 @@ def base_failed(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
     return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
 
 
+VERDICT = ("base_failed", "anomaly", "kept")
+
+
 def judge(docs: DataFrame, forest: Forest, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep``, the base counts, base_failed, anomaly (the score) and kept for every row."""
+    """``keep``, the base counts, base_failed, anomaly (the score) and kept for every row.
+
+    Null and empty texts have no words and fail a base rule; repeated rows are judged each, alike; an empty table gives no
+    rows. A column of ``keep`` that is named like a result is replaced by it.
+    """
+    keep = [c for c in keep if c not in (*COUNTS, *MORE, *VERDICT)]
     measured = statistics(docs, keep)
     names = [c for c in measured.columns if c not in MORE]
     schema = measured.select(*names).schema.add("base_failed", "boolean").add("anomaly", "double").add("kept", "boolean")
@@ -229,6 +237,6 @@ def judge(docs: DataFrame, forest: Forest, keep: Sequence[str] = ("doc_id",)) ->
             failed = base_failed(counts["n_words"], counts["n_repeat_words"])
             kept = ~failed & (score <= forest.threshold)
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(failed), pa.array(score), pa.array(kept)], names=[*names, "base_failed", "anomaly", "kept"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(failed), pa.array(score), pa.array(kept)], names=[*names, *VERDICT])
 
     return measured.mapInArrow(judged, schema)
