@@ -71,7 +71,11 @@ def preprocess(mails: DataFrame, internal_pattern: str, banners: Sequence[str] |
 
 
 def with_language(mails: DataFrame, model: NaiveBayes) -> DataFrame:
-    """Add ``language``. Copies of a mail share an id, so one text per id is scored and looked up."""
-    texts = mails.where(F.col("message_id").isNotNull()).groupBy("message_id").agg(F.min("clean_text").alias("text"))
-    named = language.languages(texts, "message_id", "text", model)
-    return lookup(mails, named, "message_id", ["submit_time", "clean_text"])
+    """Add ``language``, that of each mail's own text: each different text is scored once and looked up by its digest.
+
+    Mails without an id count too, and copies of an id may differ. Null text has no language.
+    """
+    digest = F.sha2(F.col("clean_text"), 256)
+    texts = mails.where(F.col("clean_text").isNotNull()).groupBy(digest.alias("_text")).agg(F.min("clean_text").alias("text"))
+    named = language.languages(texts, "_text", "text", model)
+    return lookup(mails.withColumn("_text", digest), named, "_text", ["message_id", "submit_time"]).drop("_text")

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from postmill.operators import naive_bayes
 from postmill.plans import extract
 from postmill.schemas import MAIL
 from postmill.sources import select
@@ -130,3 +131,14 @@ def test_extract_with_a_server(spark, tmp_path):
     assert set(mails) == {"a@x", "b@x", "c@x"} and mails["a@x"].response_time == 3600.0
     assert [r.message_id for r in points.pull("not_found").collect()] == ["lost@x"] and points.pull("fetched").count() == 2
     assert points.pull("ingested").first().asDict() == {"read": 2, "accepted": 1, "set_aside": 1}
+
+
+def test_each_mail_has_the_language_of_its_own_text(spark):
+    pairs = spark.createDataFrame([("en", "hello there question"), ("de", "guten tag frage")], "l string, t string")
+    model = naive_bayes.fit(pairs, naive_bayes.letter_pairs(F.col("t")), "l")
+    rows = [("a", "hello there"), ("a", "guten tag"), (None, "guten tag"), (None, "hello there"), ("b", None), ("c", "hello there")]
+    mails = spark.createDataFrame([(k, datetime(2024, 1, 1), t) for k, t in rows], "message_id string, submit_time timestamp_ntz, clean_text string")
+    got = extract.with_language(mails, model)
+    assert got.columns == [*mails.columns, "language"]
+    expected = [(k, t, {"h": "en", "g": "de"}[t[0]] if t else None) for k, t in rows]
+    assert sorted(map(str, got.select("message_id", "clean_text", "language").collect())) == sorted(map(str, spark.createDataFrame(expected, "message_id string, clean_text string, language string").collect()))
