@@ -6,6 +6,8 @@ text form (``", "``) is produced only at the sinks, by :func:`joined`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ def bound(value: Column, function: str) -> Column:
     return F.get(F.call_function("transform", F.array(value), F.expr(function)), F.lit(0))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def non_empty(values: Column) -> Column:
     """An empty array means "absent"."""
     return F.nullif(values, F.expr(EMPTY))
@@ -48,24 +55,90 @@ def unfold(header: Column) -> Column:
     return F.regexp_replace(header, r"\r?\n[ \t]*", " ")
 
 
+# Characters with a meaning in address lists, and the marks that stand for them inside quotes. Of the next four, two are its ends and two
+# stand for an escaped quote and an escaped backslash.
+_MEANT, _MARKS = ",;:<>()@ \t", "\x01\x02\x03\x04\x05\x06\x07\x08\x0e\x0f"
+_BEGIN, _END, _QUOTE_MARK, _BACKSLASH_MARK = "\x10", "\x11", "\x12", "\x13"
+_CHUNK = 64
+_QUOTED = r'"[^"\\]*(?:\\.[^"\\]*)*"'
+_ODD = r'(?s)\([^()]*\(|\(.*["\\]|["\\].*\(|"\s*[@.]|\.\s*"|\)\s*[@.]|[@.]\s*\('
+
+
+def _without_comments(header: Column) -> Column:
+    """The header without comments, and with marks for what quotes hold: a counter automaton over its tokens.
+
+    The state is the depth of nested comments and whether a quote is open; quotes mean nothing in comments, nor
+    brackets in quotes. Output is gathered per ``_CHUNK`` tokens, so that long lists do not grow token by token. Null
+    where a quote or a comment stays open.
+    """
+
+    def step(state: Column, token: Column) -> Column:
+        depth, quoted = state["depth"], state["quoted"]
+        comment, opens, quote = depth > 0, token == "(", token == '"'
+        bare = F.when(token.startswith("\\"), F.substr(token, F.lit(2))).otherwise(token)
+        inside = F.when(token == '\\"', _QUOTE_MARK).when(token == "\\\\", _BACKSLASH_MARK).otherwise(F.translate(bare, _MEANT, _MARKS))
+        out = F.when(comment | (~quoted & opens), "").when(quoted, F.when(quote, _END).otherwise(inside)).when(quote, _BEGIN).otherwise(token)
+        return F.struct(
+            F.when(quoted, depth).when(opens, depth + 1).when(comment & (token == ")"), depth - 1).otherwise(depth).alias("depth"),
+            F.when(comment | ~quote, quoted).otherwise(~quoted).alias("quoted"),
+            F.concat(state["out"], out).alias("out"),
+        )
+
+    def chunk(state: Column, part: Column) -> Column:
+        start = F.struct(state["depth"].alias("depth"), state["quoted"].alias("quoted"), F.lit("").alias("out"))
+        return let(
+            F.aggregate(part, start, step),
+            lambda done: F.struct(
+                done["depth"].alias("depth"), done["quoted"].alias("quoted"), F.concat(state["parts"], F.array(done["out"])).alias("parts")
+            ),
+        )
+
+    def over(tokens: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)), F.lit(_CHUNK))
+        start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.expr(EMPTY).alias("parts"))
+        closed = lambda s: F.when((s["depth"] == 0) & ~s["quoted"], F.array_join(s["parts"], ""))
+        return F.aggregate(F.transform(places, lambda i: F.slice(tokens, i, F.lit(_CHUNK))), start, chunk, closed)
+
+    plain = F.translate(header, _MARKS + _BEGIN + _END + _QUOTE_MARK + _BACKSLASH_MARK, "")
+    return let(F.regexp_extract_all(plain, F.lit(r'(?s)\\.|[()"\\]|[^()"\\]+'), F.lit(0)), over)
+
+
+def _specs(text: Column) -> Column:
+    """The addr-spec of every piece of a list in which only separators separate."""
+
+    def spec(piece: Column) -> Column:
+        route = F.regexp_replace(F.regexp_extract(piece, "<([^<>]*)>", 1), r"\s+|^@[^:]*:", "")
+        word = F.when(F.contains(piece, F.lit("@")), F.regexp_extract(piece, r"\S*@\S*", 0)).otherwise(F.regexp_extract(piece, r"\S+", 0))
+        return F.when(F.contains(piece, F.lit("<")), route).otherwise(word)
+
+    ungrouped = F.regexp_replace(text, r'(^|[,;])\s*[^,;:<>@"\x10\x11]*:', "$1")
+    return F.filter(F.transform(F.split(F.translate(ungrouped, ";", ","), ",", -1), spec), lambda s: s != "")
+
+
 def parse_addresses(header: Column) -> Column:
     """Address list → lower-case addr-specs in order; null without an ``@``.
 
-    Quoted display names and comments are masked first, so commas inside them do not split; then
-    group labels go. A piece in angle brackets yields its content without route and blanks, another
-    piece its first word that holds an ``@`` (or its first word). Not covered: nested comments and
-    quoted local parts.
+    Comments go, quotes hide what they hold, and group labels go. A piece in angle brackets yields its content
+    without route and blanks, another piece its first word that holds an ``@`` (or its first word). Plain comments and quoted
+    names take two replacements; nested comments, quoted local parts, and quotes or escapes beside comments go through
+    an automaton. Where a quote or a comment never ends, its mark is read as a letter.
     """
-    unfolded = r"lower(regexp_replace(h, r'\r?\n[ \t]*', ' '))"
-    unquoted = rf"""regexp_replace({unfolded}, r'"[^"\\]*(?:\\.[^"\\]*)*"', ' ')"""
-    uncommented = rf"regexp_replace({unquoted}, r'\([^()]*\)', ' ')"
-    ungrouped = rf"""regexp_replace({uncommented}, r'(^|[,;])\s*[^,;:<>@"]*:', '$1')"""
-    spec = r"""
-        p -> case when contains(p, '<') then regexp_replace(regexp_extract(p, r'<([^<>]*)>', 1), r'\s+|^@[^:]*:', '')
-                  when contains(p, '@') then regexp_extract(p, r'\S*@\S*', 0)
-                  else regexp_extract(p, r'\S+', 0) end"""
-    pieces = f"transform(split(translate({ungrouped}, ';', ','), ','), {spec})"
-    return non_empty(bound(header, f"h -> case when contains(h, '@') then filter({pieces}, s -> s <> '') end"))
+
+    def plain(h: Column) -> Column:
+        return _specs(F.regexp_replace(F.regexp_replace(h, _QUOTED, " "), r"\([^()]*\)", " "))
+
+    def marked(m: Column) -> Column:
+        unnamed = F.regexp_replace(m, r"(?<!\.)\x10[^\x11]*\x11(?!\s*[@.])", " ")
+        local = F.regexp_replace(unnamed, r"\s*@\s*", "@")
+        quotes = lambda s: F.translate(s, _MARKS + _BEGIN + _END, _MEANT + '""')
+        restored = lambda s: F.replace(F.replace(quotes(s), F.lit(_QUOTE_MARK), F.lit('\\"')), F.lit(_BACKSLASH_MARK), F.lit("\\\\"))
+        return F.transform(_specs(local), restored)
+
+    def parsed(h: Column) -> Column:
+        odd = let(_without_comments(h), lambda m: F.coalesce(F.when(m.isNotNull(), marked(m)), plain(h)))
+        return F.when(F.contains(h, F.lit("@")), F.when(h.rlike(_ODD), odd).otherwise(plain(h)))
+
+    return non_empty(let(F.lower(unfold(header)), parsed))
 
 
 def parse_identifiers(header: Column) -> Column:

@@ -1,5 +1,6 @@
 """Header expressions against the standard library and crafted rows."""
 
+import random
 from datetime import UTC, datetime
 from email.utils import formataddr, format_datetime, getaddresses, parsedate_to_datetime
 
@@ -48,6 +49,41 @@ def test_addresses_match_the_standard_library(spark, batches):
     assert column(spark, headers, H.parse_addresses) == want
 
 
+def odd_lists(n):
+    """Address lists with nested comments, quoted local parts, and separators and escapes inside both."""
+    r = random.Random(5)
+    atom = lambda: "".join(r.choice("abcxyz019-_+") for _ in range(r.randint(1, 6)))
+
+    def comment(depth=0):
+        letters = (" ", ",", '"', "<", ">", "@", ";", ".", "\\)", "\\(", "\\\\", atom())
+        return "(" + "".join(r.choice(letters) if depth > 3 or r.random() < 0.4 else comment(depth + 1) for _ in range(r.randint(0, 3))) + ")"
+
+    def quoted():
+        return '"' + "".join(r.choice(("a", "B", " ", ",", ";", "<", ">", "(", ")", "@", ":", ".", '\\"', "\\\\", "\\z")) for _ in range(r.randint(0, 6))) + '"'
+
+    def local():
+        return r.choice((atom, lambda: atom() + "." + atom(), quoted, lambda: atom() + "." + quoted(), lambda: quoted() + "." + atom()))()
+
+    def address():
+        aside = lambda: r.choice(("", "", f" {comment()} "))
+        spec = f"{local()}@{atom()}.example"
+        named = f"{aside()}{r.choice((quoted(), atom(), atom() + ' ' + quoted()))} {aside()}<{spec}>{aside()}"
+        return r.choice((aside() + spec + aside(), named, f"<{spec}>", f"{local()}{comment()}@{atom()}.example"))
+
+    return [", ".join(address() for _ in range(r.randint(1, 4))) for _ in range(n)]
+
+
+def test_nested_comments_and_quoted_local_parts(spark):
+    headers = odd_lists(1500)
+    want = [[a for _, a in getaddresses([h.lower()], strict=False) if a.strip()] or None for h in headers]
+    assert sum('"' in a for w in want for a in w or []) > 500
+    assert column(spark, headers, H.parse_addresses) == want
+    opened = ['"a <b@x.example>', "(a <b@x.example>", "(a (b) <b@x.example>", '"c.d"@x.example, "e']
+    assert [g and len(g) for g in column(spark, opened, H.parse_addresses)] == [1, 1, 1, 2]
+    long = ", ".join(f'"n, {i}" (a (b)) <"u {i}"@x.example>' for i in range(5000))
+    assert column(spark, [long], H.parse_addresses) == [[f'"u {i}"@x.example' for i in range(5000)]]
+
+
 def test_identifiers(spark):
     cases = {None: None, "": None, "no brackets": None, "<a@b> <c@d>\r\n <e@f>": ["a@b", "c@d", "e@f"], "<a b> <c>": ["c"]}
     assert column(spark, list(cases), H.parse_identifiers) == list(cases.values())

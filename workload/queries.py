@@ -16,7 +16,7 @@ from postmill.functions import headers as H
 from postmill.functions import text as X
 from postmill.functions.times import to_utc_ntz
 from postmill.functions.vectors import l2_normalise
-from postmill.operators import charsets, clustering, embeddings, language, scoring, threads, topics
+from postmill.operators import charsets, clustering, embeddings, labelling, language, scoring, threads, topics
 from postmill.operators import relate as R
 from postmill.sources import raw_mail, select, tables
 from postmill.sources.checkpoints import checkpoint_folder, checkpointed
@@ -200,8 +200,10 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mails' lists; as ``bcc`` one with nested comments, a quoted local part and brackets in quotes."""
     names = ("from", "to", "cc", "bcc")
-    raw = M.raw_headers(spark, sf_dir)
+    odd = F.format_string('"Case (%d, <old>" (by (the, "desk) of) turn %d) <"User, %d"@ext.example>, x(y)@z.example', "conv_id", "turn", "conv_id")
+    raw = M.raw_headers(spark, sf_dir).withColumn("bcc_header", odd)
     return raw.select("conv_id", "turn", *[H.joined(H.parse_addresses(c(f"{n}_header"))).alias(n) for n in names])
 
 
@@ -492,19 +494,17 @@ def top_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-def _ascii() -> Column:
-    return F.regexp_replace("text", "[^\\x00-\\x7F]", " ")
-
-
 def entities_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = M.table(spark, sf_dir, "documents").select("doc_id", _ascii().alias("text"))
+    """Whole documents, each with numbers and codes that stand alone, and others that touch a letter beyond ASCII."""
+    text = F.format_string("%s É%08d %08d %08dß ñQ7%06d Q7%06d", "text", *["doc_id"] * 5)
+    docs = M.table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
     found = docs.select("doc_id", F.explode(E.entities_from_text(c("text"))).alias("e"))
     return found.select("doc_id", "e.entity_type", "e.entity_value")
 
 
 def entities_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     mails = M.mails(spark, sf_dir).select("message_id", c("plain_text_body").alias("text"))
-    return scoring.entities(mails.select("message_id", _ascii().alias("text")), "message_id", "text")
+    return scoring.entities(mails, "message_id", "text")
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -577,6 +577,27 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.products(M.cleaned(spark, sf_dir), "message_id", "clean_text")
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All documents, and as examples the labelled ones, with all labels that apply."""
+    docs = M.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = M.table(spark, sf_dir, "labels")
+    marks = F.array_compact(F.array(F.concat(F.lit("lang_"), "lang"), F.when(c("toxic") == 1, "toxic"), F.when(c("quality") == 0, "junk")))
+    return docs.select("doc_id", "text"), docs.join(rows, "doc_id").select("text", marks.alias("marks"))
+
+
+LEARNED = ["lang_de", "lang_en", "lang_es", "lang_fr", "toxic", "junk", "never_seen"]
+
+
+def categories_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, examples = _labelled(spark, sf_dir)
+    return labelling.categories(docs, "doc_id", "text", labelling.fit(examples, "text", "marks", LEARNED))
+
+
+def products_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, examples = _labelled(spark, sf_dir)
+    return labelling.products(docs, "doc_id", "text", labelling.fit(examples, "text", "marks", LEARNED))
+
+
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.summaries(M.table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -735,6 +756,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entities_regex": entities_regex,
     "entities_exploded": entities_exploded,
     "entities_json": entities_json,
+    "categories_learned": categories_learned,
+    "products_learned": products_learned,
     "build_prompt": build_prompt,
     "invoke_model": invoke_model,
     "invoke_concurrently": invoke_concurrently,

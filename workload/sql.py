@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from postmill.functions import entities as E
 from postmill.functions import text as X
 from postmill.operators import scoring
 from workload.mail import MAIL_SQL, ORGANISATION, OWN_ADDRESS
@@ -76,11 +75,48 @@ PARENTS = "parents AS (SELECT message_id AS pid, min(submit_time) AS pt FROM mai
 RESPONSE = "epoch_us(m.submit_time) / 1000000.0 - epoch_us(p.pt) / 1000000.0"
 REQUESTED = "SELECT DISTINCT previous_message_id AS message_id FROM mail WHERE previous_message_id IS NOT NULL"
 
-ENTITY_ROWS = " || ".join(
-    f"list_transform(regexp_extract_all(text, {quoted(p)}), lambda v: {{'t': {quoted(t)}, 'v': v}})"
-    for t, p in E.ENTITY_PATTERNS.items()
+# The patterns of the entities, as RE2 has them, in the order of the output.
+_PATTERNS = (
+    ("QID", r"\b[0-9]{11}\b"),
+    ("Mobile Number", r"\+?[0-9]{1,4}[\s-]?[0-9]{1,4}[\s-]?[0-9]{6,10}"),
+    ("Account Number", r"\b[0-9]{8,12}\b"),
+    ("Passport Number", r"\b[A-Z0-9]{5,9}\b"),
+    ("Email Address", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"),
+    ("IBAN", r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{1,30}\b"),
+    ("Transaction Amount", r"\b[\$|QAR|USD|EUR]?\s?[0-9]{1,3}(?:,[0-9]{3})*(?:\.[0-9]{2})?\b"),
+    ("Transaction Date", r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b"),
+    ("Date of Birth", r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b"),
 )
-ASCII = "regexp_replace({}, '[^\\x00-\\x7F]', ' ', 'g')"
+
+
+def entity_rows(text: str) -> str:
+    """All entities of a text. RE2's borders know ASCII alone, so other letters, of which no match may hold one, become
+    underscores, which are letters to a border; for addresses, which may hold underscores, the word that they begin goes.
+    """
+    other = {t: f"regexp_replace({text}, '[^\\x00-\\x7F]', '_', 'g')" for t, _ in _PATTERNS}
+    other["Email Address"] = f"regexp_replace({text}, '[^\\x00-\\x7F]+\\w*', ' ', 'g')"
+    return " || ".join(f"list_transform(regexp_extract_all({other[t]}, {quoted(p)}), lambda v: {{'t': {quoted(t)}, 'v': v}})" for t, p in _PATTERNS)
+
+
+def learned(scale: str, out: str) -> str:
+    """One-against-rest naive Bayes over the different words of a text; ``scale`` makes scores of probabilities ``p``."""
+    return f"""
+WITH l AS (SELECT unnest(['lang_de', 'lang_en', 'lang_es', 'lang_fr', 'toxic', 'junk', 'never_seen']) AS label),
+ex AS (
+  SELECT doc_id, text, ['lang_' || lang, CASE WHEN toxic = 1 THEN 'toxic' END, CASE WHEN quality = 0 THEN 'junk' END] AS marks
+  FROM documents JOIN labels USING (doc_id)),
+sizes AS (SELECT label, count(*) FILTER (list_contains(marks, label)) AS n, count(*) AS every FROM ex, l GROUP BY 1),
+words AS (SELECT marks, unnest(list_distinct({tokens("text")})) AS w FROM ex),
+counts AS (SELECT label, w, count(*) FILTER (list_contains(marks, label)) AS n, count(*) AS every FROM words, l GROUP BY 1, 2),
+totals AS (SELECT label, sum(n) + count(*) AS own, sum(every - n) + count(*) AS rest FROM counts GROUP BY 1),
+weights AS (SELECT label, w, round((ln((n + 1) / own) - ln((every - n + 1) / rest)) * 1000000) AS s FROM counts JOIN totals USING (label)),
+found AS (SELECT doc_id, unnest(list_distinct({tokens("text")})) AS w FROM documents),
+sums AS (SELECT doc_id, label, sum(s) AS s FROM found JOIN weights USING (w) GROUP BY 1, 2),
+single AS (
+  SELECT doc_id, label, 1 / (1 + exp(-(round(ln((n + 1) / (every - n + 1)) * 1000000) + coalesce(s, 0)) / 1000000)) AS p
+  FROM documents CROSS JOIN sizes LEFT JOIN sums USING (doc_id, label)),
+scaled AS (SELECT doc_id, label, {scale} AS score FROM single)
+SELECT d.doc_id, label AS {out} FROM documents d LEFT JOIN (SELECT * FROM scaled WHERE score > 0.09) USING (doc_id)"""
 
 
 def bayes(examples: str, docs: str, key: str, features: str, first: str, out: str) -> str:
@@ -214,7 +250,7 @@ SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS event_ty
     "source_counts": "SELECT source, count(*) AS messages FROM documents GROUP BY 1",
     "parse_addresses": mail(
         """SELECT conv_id, turn, from_address AS "from", to_address AS "to", array_to_string(cc, ', ') AS cc,
-  NULL::VARCHAR AS bcc FROM mail"""
+  '"user, ' || conv_id || '"@ext.example, x@z.example' AS bcc FROM mail"""
     ),
     "parse_identifiers": mail(
         """SELECT conv_id, turn, message_id, previous_message_id AS previous, array_to_string(refs, ', ') AS refs FROM mail"""
@@ -326,13 +362,12 @@ SELECT a.*, subject FROM a JOIN dom USING (message_id) WHERE NOT is_internal AND
 FROM mail GROUP BY 1 ORDER BY messages DESC, topic_id LIMIT 10"""
     ),
     "entities_regex": f"""
-WITH ascii AS (SELECT doc_id, {ASCII.format("text")} AS text FROM documents),
-found AS (SELECT doc_id, unnest({ENTITY_ROWS}) AS e FROM ascii)
+WITH made AS (SELECT doc_id, text || format(' É{{0:08d}} {{0:08d}} {{0:08d}}ß ñQ7{{0:06d}} Q7{{0:06d}}', doc_id) AS text FROM documents),
+found AS (SELECT doc_id, unnest({entity_rows("text")}) AS e FROM made)
 SELECT doc_id, e.t AS entity_type, e.v AS entity_value FROM found""",
     "entities_exploded": mail(
-        f""", ascii AS (SELECT message_id, {ASCII.format("body")} AS text FROM mail),
-found AS (SELECT message_id, unnest({ENTITY_ROWS}) AS e FROM ascii)
-SELECT message_id, e.t AS entity_type, e.v AS entity_value FROM ascii LEFT JOIN found USING (message_id)"""
+        f""", found AS (SELECT message_id, unnest({entity_rows("body")}) AS e FROM mail)
+SELECT message_id, e.t AS entity_type, e.v AS entity_value FROM mail LEFT JOIN found USING (message_id)"""
     ),
     "entities_json": """
 WITH e AS (SELECT event_id, event_id % 6 AS kind, event_type, CAST(user_id AS VARCHAR) AS u, format('{:.2f}', value) AS v FROM events)
@@ -359,6 +394,8 @@ UNION ALL SELECT event_id, 'Mobile Number', event_type FROM e WHERE kind = 5""",
     "spam_response": "SELECT event_id, event_id % 4 IN (0, 3) AS is_spam FROM events",
     "categories": shares(scoring.CATEGORIES, True, "category"),
     "products": shares(scoring.PRODUCTS, False, "product"),
+    "categories_learned": learned("p / sum(p) OVER (PARTITION BY doc_id)", "category"),
+    "products_learned": learned("p", "product"),
     "summaries": f"""
 WITH split AS (
   SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: trim(regexp_replace(s, '\\s+', ' ', 'g'))), lambda s: s <> '') AS p
