@@ -29,7 +29,7 @@ def op2_weighted_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "source", F.length("text").alias("text_chars"), "text", "n_copies", "copy", "position")
+    return mixed.select("doc_id", "source", F.length("text").alias("text_chars"), "text", F.col("n_copies").cast("int").alias("n_copies"), F.col("copy").cast("int").alias("copy"), "position")
 
 
 def op4_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm import mixing, quality
 
-HELPERS = ("cdf", "_source", "_key", "k", "mass", "_bytes", "_weight", "_place", "_block", "_mix_cdf", "_mix_source", "_mix_place", "_mix_block", "_before", "_rank", "rate", "copy", "position")
+HELPERS = ("cdf", "_source", "_key", "k", "mass", "_bytes", "_weight", "_place", "_block", "_mix_cdf", "_mix_source", "_mix_place", "_mix_block", "_mix_draws", "_mix_first", "_before", "_rank", "rate", "copy", "position")
 
 
 def test_mixing_with_clashing_names(spark):
@@ -18,6 +18,37 @@ def test_mixing_with_clashing_names(spark):
     assert mixed.select("cdf").distinct().collect() == [("x",)]
 
 
+def test_mixing_rates_beyond_one_draw(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 100)
+    docs = spark.createDataFrame([(i, "few", "ab") for i in range(60)] + [(100 + i, "many", "word " * 200) for i in range(60)], "doc_id long, source string, text string")
+    rate = {r["_source"]: r["rate"] for r in mixing.rates(docs, {"few": 1.0, "many": 1.0}).collect()}
+    tables = mixing.poisson_tables(mixing.rates(docs, {"few": 1.0, "many": 1.0})).collect()
+    assert rate["=few"] > 200 and all(len(t.cdf) <= 200 and abs(t.cdf[-1] - 1) < 1e-9 for t in tables)
+    rows = mixing.mix(docs, {"few": 1.0, "many": 1.0}).select("doc_id", "n_copies", "copy", "position").collect()
+    assert sorted(r.position for r in rows) == list(range(len(rows)))
+    copies = {}
+    for r in rows:
+        copies.setdefault((r.doc_id, r.n_copies), []).append(r.copy)
+    assert all(sorted(c) == list(range(n)) for (_, n), c in copies.items())
+    few = [n for (i, n) in copies if i < 100]
+    assert len(few) == 60 and abs(np.mean(few) - rate["=few"]) < 5 * np.sqrt(rate["=few"] / 60)
+    assert 0.5 < np.var(few) / rate["=few"] < 2
+
+
+def test_threshold_uses_both_labels():
+    good = np.linspace(0.3, 0.5, 2000)
+    assert quality.threshold(good, np.array([0.2, 0.6, 0.9])) == (good[-3] + 0.6) / 2
+    assert quality.threshold(good, np.array([0.2])) == good[-3] + 1e-9
+    assert quality.threshold(np.array([0.4]), np.array([])) == 0.4 + 1e-9
+
+
+def test_symbols_are_counted(spark):
+    texts = ["#*$%&|<>", "a # b ** c", "", None, "é€£@!", "<x> " * 500, "|\n|\n&"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_symbols for r in quality.statistics(docs).collect()}
+    assert got == {i: sum(ch in "#*$%&|<>" for ch in t or "") for i, t in enumerate(texts)}
+
+
 def test_forest_verdict(spark):
     random = np.random.default_rng(3)
     words = [f"w{i}" for i in range(400)]
