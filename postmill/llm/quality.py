@@ -194,9 +194,12 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 1
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Forest:
     """Grow the forest on labelled rows of good quality and set the threshold by all labelled rows.
 
-    At most ``fit_rows`` labelled rows are used, those with the smallest hashes of doc_id. The
-    threshold is the lowest score that rejects at most ``GOOD_REJECTED`` of the good rows. Rows that
-    fail a base rule take no part, as they are rejected anyway. Without good rows nothing is rejected.
+    At most ``fit_rows`` labelled rows are used, those with the smallest hashes of doc_id. Thresholds that reject at most
+    ``GOOD_REJECTED`` of the good rows are allowed; of those that then reject the most bad rows, the threshold is the
+    middle one, halfway between the last good score kept and the first bad score above it, which leaves unseen rows of
+    both kinds the same margin. Without bad rows above, it lies at the last good score kept. Rows that fail a base
+    rule take no part, as they are rejected anyway. Without good rows nothing is rejected. Null ids and null labels
+    are left out; a document with two labels counts as bad.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
@@ -207,11 +210,17 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Forest:
     x, good = features({n: rows[n].to_numpy() for n in (*COUNTS, *MORE)}), rows["quality"].to_numpy() == 1
     forest = grow(x[good])
     if good.any():
-        ranked = np.sort(forest.score(x[good]))
-        forest.threshold = float(ranked[-1 - int(GOOD_REJECTED * len(ranked))]) + 1e-9
+        forest.threshold = threshold(forest.score(x[good]), forest.score(x[~good]))
     return forest
 
 
+def threshold(good: np.ndarray, bad: np.ndarray) -> float:
+    """The middle of the thresholds that reject most bad scores and at most ``GOOD_REJECTED`` of the good ones."""
+    last = np.sort(good)[-1 - int(GOOD_REJECTED * len(good))]
+    above = bad[bad > last]
+    return float((last + above.min()) / 2 if len(above) else last + 1e-9)
+
+
 def base_failed(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
     return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
 
