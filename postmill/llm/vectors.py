@@ -259,30 +259,33 @@ def links(classes: DataFrame, overlap: float = OVERLAP) -> DataFrame:
     return index.unionByName(asked).groupBy(*keys, "block", "ask").applyInPandas(_search_block, "id long, links long, root long")
 
 
-def recall(vectors: DataFrame, result: DataFrame, queries: int = AUDIT) -> float:
-    """Found over true links of at most ``queries`` comparable vectors, by brute force against all rows.
+def recall(classes: DataFrame, found: DataFrame, queries: int = AUDIT) -> float:
+    """Mean over queries of the share of their links to other vectors that ``found`` holds, by brute force against all classes.
 
-    The queries are those with the smallest hashes of vec_id; 1 if they have no links.
+    A query is a class of equal vectors, and links within it do not count, so that copies, which need no search, hide no loss.
+    Queries are the at most ``queries`` linked classes, of four times as many with the smallest hashes of their id; 1 if
+    none has a link.
     """
-    rows = vectors.where(comparable()).select("vec_id", "label", "embedding")
-    asked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(queries).toPandas().drop_duplicates("vec_id")
+    asked = classes.orderBy(F.xxhash64("id"), "id").limit(4 * queries).select("id", "label", "dims", "embedding").toPandas()
     if not len(asked):
         return 1.0
-    groups = {(key[0], key[1]): (f["vec_id"].to_numpy(), unit(f["embedding"])) for key, f in asked.assign(dims=asked["embedding"].map(len)).groupby(["label", "dims"])}
+    groups = {key: (f["id"].to_numpy(), unit(f["embedding"])) for key, f in asked.groupby(["label", "dims"])}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for key, part in frame.assign(dims=frame["embedding"].map(len)).groupby(["label", "dims"]):
+            for key, part in frame.groupby(["label", "dims"]):
                 if key in groups:
                     ids, q = groups[key]
-                    near = (q @ unit(part["embedding"]).T >= COSINE) & (ids[:, None] != part["vec_id"].to_numpy()[None, :])
-                    yield pd.DataFrame({"vec_id": ids, "n": near.sum(1).astype("int64")})
+                    near = (q @ unit(part["embedding"]).T >= COSINE) & (ids[:, None] != part["id"].to_numpy()[None, :])
+                    yield pd.DataFrame({"id": ids, "n": near @ part["weight"].to_numpy().astype("int64")})
 
-    true = {r["vec_id"]: r["n"] for r in rows.mapInPandas(count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n")).collect()}
-    ids = [int(i) for i in asked["vec_id"]]
-    found = {r["vec_id"]: r["n_links"] for r in result.where(F.col("vec_id").isin(ids)).select("vec_id", "n_links").collect()}
-    total = sum(true.values())
-    return sum(min(found.get(i, 0), n) for i, n in true.items()) / total if total else 1.0
+    rows = classes.select("id", "label", "dims", "embedding", "weight")
+    true = rows.mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0")
+    ids = [int(i) for i in asked["id"]]
+    held = found.where(F.col("id").isin(ids)).groupBy("id").agg(F.sum("links").alias("links"))
+    both = true.join(held, "id", "left").orderBy(F.xxhash64("id"), "id").limit(queries)
+    share = F.least(F.coalesce("links", F.lit(0)) / F.col("n"), F.lit(1.0))
+    return both.agg(F.coalesce(F.avg(share), F.lit(1.0))).first()[0]
 
 
 def near_duplicates(vectors: DataFrame, least_recall: float = 0.98) -> DataFrame:
@@ -290,7 +293,8 @@ def near_duplicates(vectors: DataFrame, least_recall: float = 0.98) -> DataFrame
 
     Rows are compared if their labels are equal and not null; rows with equal labels and vectors are
     one class, linked with each other. Cosines are verified in double precision. If the audit finds a
-    recall below ``least_recall``, the search is repeated with twice the overlap, up to three times.
+    recall below ``least_recall``, the search is repeated with twice the overlap, up to three times; a last search that is
+    short, too, is an error, not a result.
 
     A row without a label or vec_id, or whose vector is null, empty, zero or has a null or non-finite
     component, is linked with nothing; its component is its vec_id, and it is kept. Vectors of
@@ -302,15 +306,18 @@ def near_duplicates(vectors: DataFrame, least_recall: float = 0.98) -> DataFrame
     classes = rows.where("_ok").groupBy(*shape).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
     classes = saved(classes.withColumn("dims", F.size("embedding")))
     overlap = OVERLAP
-    for attempt in range(3):
+    for _ in range(3):
         found = saved(links(classes, overlap))
-        edges = found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-        counts = found.groupBy("id").agg(F.sum("links").alias("_links"))
-        joined = classes.join(counts, "id", "left").join(components(edges), "id", "left")
-        about = joined.select(*shape, (F.col("weight") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"), F.coalesce("component", "id").alias("_component"))
-        out = spread_lookup(rows, saved(about), shape, [F.col("vec_id")])
-        out = saved(out.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_component", "vec_id").alias("component_id")))
-        if attempt == 2 or recall(vectors, out) >= least_recall:
+        measured = recall(classes, found)
+        if measured >= least_recall:
             break
         overlap *= 2
+    else:
+        raise RuntimeError(f"recall of {measured:.3f} is below {least_recall}")
+    edges = found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    counts = found.groupBy("id").agg(F.sum("links").alias("_links"))
+    joined = classes.join(counts, "id", "left").join(components(edges), "id", "left")
+    about = joined.select(*shape, (F.col("weight") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"), F.coalesce("component", "id").alias("_component"))
+    out = spread_lookup(rows, saved(about), shape, [F.col("vec_id")])
+    out = out.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -175,6 +175,30 @@ def test_vectors(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in (2000, 2001, 2002, 2003, 2005))
 
 
+def test_audit_asks_for_links_between_different_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 8))
+    rows = [(i, v.tolist(), 8, 0, 500) for i, v in enumerate(np.concatenate([x, x * 1.5 + 0.01 * rng.normal(size=x.shape)]))]
+    classes = spark.createDataFrame(rows, "id long, embedding array<double>, dims int, label int, weight long")
+    whole = spark.createDataFrame([(i, 500, i) for i in range(80)], "id long, links long, root long")
+    assert vectors.recall(classes, whole) == 1
+    assert 0.4 < vectors.recall(classes, whole.where("id < 40")) < 0.6
+    assert vectors.recall(classes, whole.limit(0)) == 0
+    assert vectors.recall(classes.where("id < 40"), whole.limit(0)) == 1 and vectors.recall(classes.limit(0), whole) == 1
+
+
+def test_vectors_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
+    assert vectors.near_duplicates(none).collect() == []
+
+
+def test_a_search_that_stays_short_is_an_error(spark, monkeypatch):
+    rows = [(i, [1.0, i / 50], 0) for i in range(10)]
+    monkeypatch.setattr(vectors, "recall", lambda *a: 0.5)
+    with pytest.raises(RuntimeError):
+        vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+
+
 def test_rule_statistics(docs, texts):
     for r in quality.statistics(docs).collect():
         t = texts[r.doc_id] or ""
