@@ -134,16 +134,20 @@ def comparable() -> Column:
 
 
 def _centres(classes: DataFrame) -> dict[tuple, np.ndarray]:
-    """Centres of the groups (label, dimensions) that need more than one shard, by a few steps of k-means."""
+    """Centres of the groups (label, dimensions) that need more than one shard, by a few steps of k-means.
+
+    They are fitted on the rows with the smallest hashes of their id, so that every run finds the same ones.
+    """
     sizes = classes.groupBy("label", "dims").count().where(F.col("count") > BLOCK)
-    large = {(r["label"], r["dims"]): r["count"] for r in sizes.orderBy(F.desc("count")).limit(MAX_CENTRES // 2).collect()}
+    largest = sizes.orderBy(F.desc("count"), "label", "dims").limit(MAX_CENTRES // 2)
+    large = {(r["label"], r["dims"]): r["count"] for r in largest.collect()}
     total = sum(large.values())
     if not total:
         return {}
     every = 1 << 20
     share = min(1.0, FIT_ROWS / total)
-    chosen = classes.where(F.pmod(F.xxhash64("id"), F.lit(every)) < int(share * every)).join(F.broadcast(sizes.orderBy(F.desc("count")).limit(MAX_CENTRES // 2).select("label", "dims")), ["label", "dims"])
-    rows = chosen.limit(2 * FIT_ROWS).toPandas()
+    chosen = classes.where(F.pmod(F.xxhash64("id"), F.lit(every)) < int(share * every)).join(F.broadcast(largest.select("label", "dims")), ["label", "dims"])
+    rows = chosen.orderBy(F.xxhash64("id"), "id").limit(2 * FIT_ROWS).toPandas()
     out = {}
     for key, frame in rows.groupby(["label", "dims"]):
         x = unit(frame.sort_values("id")["embedding"])
