@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from postmill.functions import text as X
 from postmill.operators import scoring
 from workload.mail import MAIL_SQL, ORGANISATION, OWN_ADDRESS
 
@@ -57,19 +56,39 @@ def html(column: str) -> str:
     return f"regexp_replace({text}, '^\\s+|\\s+$', '', 'g')"
 
 
-def clean(column: str, banners: list[str]) -> str:
-    pattern = quoted("(?ms)" + "|".join(f"^{m}.*" for m in X.CUT_MARKERS))
+# After one of these at the start of a line, a mail is quoted text or a signature.
+_CUTS = (
+    "-- \\n",
+    "--\\n",
+    "-----Original Message-----",
+    "________________________________",
+    "On .* wrote:",
+    "From: ",
+    "Sent from my iPhone",
+)
+_EXTERNAL = (
+    "CAUTION: This email originated from outside of the organization. Do not click links or open "
+    "attachments unless you recognize the sender and know the content is safe"
+)
+_OUTSIDE = (
+    f"CAUTION: This email originated from outside {ORGANISATION}. Do not click any links or open "
+    "attachments unless you are sure of the safety of the contents."
+)
+
+
+def clean(column: str, banners: tuple[str, ...] = (_EXTERNAL,)) -> str:
+    pattern = quoted("(?ms)" + "|".join(f"^{m}.*" for m in _CUTS))
     cut = f"regexp_replace({column}, {pattern}, '')"
     text = (
         f"CASE WHEN length({cut}) < length({column}) THEN regexp_replace({cut}, '^\\s+|\\s+$', '', 'g') ELSE {column} END"
     )
-    text = f"regexp_replace({text}, '[{X.SEPARATORS}]+', ' ', 'g')"
+    text = f"regexp_replace({text}, '[\\n\\r\\t| -]+', ' ', 'g')"
     for banner in banners:
         text = f"regexp_replace({text}, {quoted(banner)}, '', 'g')"
     return f"CASE WHEN trim({text}) = '' THEN '' ELSE {text} END"
 
 
-CLEAN_MAIL = clean("body", X.banners())
+CLEAN_MAIL = clean("body")
 CLEANED = f"cleaned AS (SELECT *, {CLEAN_MAIL} AS clean_text FROM dom)"
 PARENTS = "parents AS (SELECT message_id AS pid, min(submit_time) AS pt FROM mail GROUP BY 1)"
 RESPONSE = "epoch_us(m.submit_time) / 1000000.0 - epoch_us(p.pt) / 1000000.0"
@@ -318,11 +337,11 @@ SELECT message_id, {RESPONSE} AS response_time FROM mail m LEFT JOIN parents p O
 SELECT CAST(e.event_id AS VARCHAR) AS message_id, (epoch_us(e.ts) - epoch_us(p.ts)) / 1000000.0 AS response_time
 FROM events e LEFT JOIN events p ON p.event_id = CASE WHEN e.event_type = 'error' THEN 0 ELSE e.event_id - 150 END""",
     "clean_text": mail(f", {CLEANED} SELECT message_id, clean_text FROM cleaned"),
-    "clean_documents": f"SELECT doc_id, {clean('text', X.banners(ORGANISATION))} AS clean_text FROM documents",
+    "clean_documents": f"SELECT doc_id, {clean('text', (_OUTSIDE, _EXTERNAL))} AS clean_text FROM documents",
     "drop_empty": f"""
 WITH lines AS (
   SELECT doc_id, unnest(l) AS text, unnest(range(0, len(l))) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
-cleaned AS (SELECT doc_id, CAST(line AS INTEGER) AS line, {clean("text", X.banners())} AS clean_text FROM lines)
+cleaned AS (SELECT doc_id, CAST(line AS INTEGER) AS line, {clean("text")} AS clean_text FROM lines)
 SELECT * FROM cleaned WHERE clean_text <> ''""",
     "language": bayes(
         "SELECT lang AS label, text FROM documents",
