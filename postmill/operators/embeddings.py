@@ -101,9 +101,9 @@ def truncated_svd(rows: DataFrame, key: str, vector: str, k: int = COMPONENTS) -
     Up to ``MAX_DIMENSIONS`` one pass adds up the d × d Gram matrix, whose eigenvectors the driver takes; beyond, a
     randomised range finder takes four passes (see :func:`wide_basis`). Rows stay distributed
     and only d × k numbers return to the tasks. The vectors are written out first, so that no
-    pass computes them again. Each component's sign makes its largest entry positive.
+    pass computes them again, in row groups of few megabytes, so that a task holds few of them whatever their width. Each component's sign makes its largest entry positive.
     """
-    typed = checkpointed(rows.select(key, F.col(vector).cast("array<double>").alias("_a")))
+    typed = checkpointed(rows.select(key, F.col(vector).cast("array<double>").alias("_a")), wide=True)
     width = typed.select(F.max(F.size("_a"))).first()[0]
     if width is None:
         return typed.select(key, F.col("_a").alias("reduced"))

@@ -254,3 +254,13 @@ def test_a_batch_reads_its_buckets_only(spark, tmp_path):
     assert len(buckets) <= 4 and V.read_store(spark, store, sorted(buckets)).count() < 40
     assert V.read_store(spark, store).count() == 401 and V.read_store(spark, store, []).count() == 0
     assert V.populate(batch.limit(0), store, embed).count() == 0
+
+
+def test_svd_keeps_wide_rows_in_small_row_groups(spark):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(0, 1500, 1, 1).select("id", F.array_repeat(F.col("id") % 3 + 1.0, 600).alias("v"))  # values that repeat take no room as written
+    reduced = V.truncated_svd(rows, "id", "v", k=2)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in reduced.inputFiles()]
+    assert sum(f.num_rows for f in files) == 1500
+    assert max(f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) <= 512
