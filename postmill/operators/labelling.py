@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.text import tokens
-from postmill.operators.naive_bayes import FIXED_POINT, MAX_LABELS
+from postmill.operators.naive_bayes import FIXED_POINT, MAX_LABELS, common_features, summed
 from postmill.operators.scoring import THRESHOLD, labels_above, sum_to_one
-from postmill.operators.skew import lookup
 from postmill.sources.checkpoints import checkpointed
 
 
@@ -20,12 +19,13 @@ class LabelModel:
     """One binary model per label, as log odds in fixed point.
 
     ``priors`` has one number per label; ``table``, a saved frame, one row per known word with a column ``w0``, ``w1``, …
-    for each label.
+    for each label, and ``common`` the condition for the words that every task may hold; None if it may hold all.
     """
 
     labels: list[str]
     priors: list[int]
     table: DataFrame
+    common: Column | None = None
 
 
 def _words(df: DataFrame, text: str, *columns: str) -> DataFrame:
@@ -67,17 +67,19 @@ def fit(examples: DataFrame, text: str, labels_of: str, labels: Sequence[str]) -
 
     odds = F.array(*[F.round(F.log(F.lit((sizes[h] + 1) / (sizes["all"] - sizes[h] + 1))) * FIXED_POINT).cast("bigint") for h in of_label])
     priors = examples.sparkSession.range(1).select(odds).first()[0]
-    return LabelModel(list(labels), list(priors), counts.select(F.col("_word").alias("feature"), *map(weight, ids)))
+    common = common_features(counts, F.col("all"), sums["size"], len(labels))
+    table = counts.select(F.col("_word").alias("feature"), *map(weight, ids), *([] if common is None else [common.alias("common")]))
+    return LabelModel(list(labels), list(priors), table, None if common is None else F.col("common"))
 
 
 def scored(docs: DataFrame, key: str, text: str, model: LabelModel) -> DataFrame:
     """(key, scores): each label's probability by its own model, as ``array<struct<label,score>>`` in the model's order.
 
-    ``key`` is unique per row. Each different word of a text meets the vocabulary once, frequent words are split by the
-    look-up, and sums are integers, so they do not depend on order. A text without known words has the priors' odds.
+    ``key`` is unique per row. Each different word of a text meets the vocabulary once (see :func:`naive_bayes.summed`), and
+    sums are integers, so they do not depend on order. A text without known words has the priors' odds.
     """
-    counted = _words(docs, text, key).withColumnRenamed("_word", "feature")
-    sums = lookup(counted, model.table, "feature", [key]).groupBy(key).agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(model.labels))])
+    found = _words(docs, text, key).withColumnRenamed("_word", "feature")
+    sums = summed(found, key, model.table, model.common, len(model.labels))
 
     def probability(i: int):
         odds = (F.coalesce(F.col(f"s{i}"), F.lit(0)) + F.lit(model.priors[i])) / F.lit(float(FIXED_POINT))

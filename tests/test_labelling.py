@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from postmill.operators import labelling
+from postmill.operators import labelling, naive_bayes, scoring
 
 LABELS = ["card", "loan", "fraud", "none"]
 
@@ -80,3 +80,26 @@ def test_labels_without_examples(spark):
             labelling.fit(df, "text", "marks", labels)
     with pytest.raises(ValueError):
         labelling.fit(df.where("id = 2"), "text", "marks", ["x"])
+
+
+@pytest.mark.parametrize("most", [4, 40])
+def test_rare_words_are_looked_up_and_common_ones_are_not_shuffled(spark, monkeypatch, most):
+    monkeypatch.setattr(naive_bayes, "MAX_WEIGHTS", most)
+    rows = texts(120)
+    df = spark.createDataFrame(rows, "id int, text string, marks array<string>")
+    model = labelling.fit(df, "text", "marks", LABELS)
+    assert int(most > 4) <= model.table.where(model.common).count() <= most // len(LABELS)
+    want = plain(rows, rows)
+    got = {r.id: [s.score for s in r.scores] for r in labelling.scored(df, "id", "text", model).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i] == pytest.approx(want[i], abs=1e-4) for i in want)
+    spam = df.select("id", "text", F.array_contains("marks", "fraud").alias("is_spam"))
+    monkeypatch.setattr(naive_bayes, "MAX_WEIGHTS", most // 2)  # two labels
+    few = scoring.fit_spam(spam, "text", "is_spam")
+    monkeypatch.setattr(naive_bayes, "MAX_WEIGHTS", 1000)
+    every = scoring.fit_spam(spam, "text", "is_spam")
+    assert few.common is not None and every.common is None
+    flags = [sorted(scoring.spam_flags(spam, "id", "text", m).collect()) for m in (few, every)]
+    assert flags[0] == flags[1] and len(flags[0]) == len(rows)
+    plan = scoring.spam_flags(spam, "id", "text", every)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # one row per document
