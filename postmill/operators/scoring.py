@@ -10,9 +10,12 @@ from __future__ import annotations
 import asyncio
 from collections.abc import Awaitable, Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from postmill.functions.entities import entities_from_json, entities_from_text
 from postmill.functions.text import tokens
@@ -62,6 +65,7 @@ PRODUCTS = [
     "Home Finance",
 ]
 THRESHOLD = 0.09
+PART_BYTES = 2 << 20  # prompts that a worker holds as Python strings
 
 SPAM_PROMPT = (
     "Decide whether the mail below is unwanted bulk mail or wanted mail. "
@@ -83,23 +87,41 @@ def build_prompt(text: Column, template: str) -> Column:
     return F.concat(F.lit(before), F.coalesce(text, F.lit("")), F.lit(after))
 
 
+def _in_parts(batches: Iterator[pa.Array], ask: Callable[[list[str]], list[str]]) -> Iterator[pa.Array]:
+    """The answers to each batch's prompts, asked for in parts of about ``PART_BYTES``, so that a worker holds few texts as Python strings.
+
+    A null prompt has a null answer. Memory is given back after each part, as a worker lives on from task to task.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(batch):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + PART_BYTES, "right")))
+            prompts = batch.slice(start, end - start).to_pylist()
+            asked = [p for p in prompts if p is not None]
+            answers = list(ask(asked)) if asked else []
+            if len(answers) != len(asked):
+                raise ValueError(f"{len(answers)} answers to {len(asked)} prompts")
+            left = iter(answers)
+            yield pa.array([None if p is None else next(left) for p in prompts], pa.string(), from_pandas=True)
+            del prompts, asked, answers, left
+            pa.default_memory_pool().release_unused()
+            start = end
+
+
 def invoke_model(df: DataFrame, prompt: str, factory: Callable[[], BatchModel], out: str = "response") -> DataFrame:
     """Add the model's response to each prompt.
 
-    Only the prompt column travels to the Python workers, in Arrow batches; the model is built once
+    Only the prompt column travels to the Python workers, in Arrow batches that are asked in parts; the model is built once
     per task. The function is marked non-deterministic so that no later filter evaluates it twice.
     Write the result out before using it more than once.
     """
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = factory()
-        for batch in batches:
-            asked = batch[batch.notna()]  # a null prompt has a null response
-            answers = pd.Series(model(asked.tolist()) if len(asked) else [], index=asked.index, dtype=object)
-            yield answers.reindex(batch.index).astype(object).where(lambda v: v.notna(), None)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _in_parts(batches, factory())
 
-    scorer = F.pandas_udf(run, "string").asNondeterministic()
-    return df.withColumn(out, scorer(F.col(prompt)))
+    return df.withColumn(out, F.arrow_udf(run, "string", ArrowUDFType.SCALAR_ITER).asNondeterministic()(F.col(prompt)))
 
 
 def invoke_model_concurrently(
@@ -120,16 +142,12 @@ def invoke_model_concurrently(
 
         return await asyncio.gather(*map(one, prompts))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         with asyncio.Runner() as runner:
-            for batch in batches:
-                asked = batch[batch.notna()]
-                answers = pd.Series(runner.run(gather(model, asked.tolist())) if len(asked) else [], index=asked.index, dtype=object)
-                yield answers.reindex(batch.index).astype(object).where(lambda v: v.notna(), None)
+            yield from _in_parts(batches, lambda prompts: runner.run(gather(model, prompts)))
 
-    scorer = F.pandas_udf(run, "string").asNondeterministic()
-    return df.withColumn(out, scorer(F.col(prompt)))
+    return df.withColumn(out, F.arrow_udf(run, "string", ArrowUDFType.SCALAR_ITER).asNondeterministic()(F.col(prompt)))
 
 
 # --- spam -------------------------------------------------------------------------------------

@@ -164,6 +164,25 @@ def test_models_run_once_per_row_and_once_in_the_plan(spark):
     assert plan(filtered).count("ArrowEvalPython") == 1
 
 
+def test_models_are_asked_in_parts_of_bounded_bytes(spark):
+    def factory():
+        return lambda prompts: [f"{p[0]} {sum(map(len, prompts))}" for p in prompts]
+
+    def async_factory():
+        async def answer(prompt):
+            return None if prompt.startswith("3") else prompt[:1]
+
+        return answer
+
+    text = F.when(F.col("id") != 5, F.rpad(F.col("id").cast("string"), 700_000, "é"))
+    rows = spark.range(0, 9, 1, 1).select("id", text.alias("prompt"))
+    got = {r.id: r.response for r in scoring.invoke_model(rows, "prompt", factory).collect()}
+    assert got.pop(5) is None and {i: int(v[0]) for i, v in got.items()} == {i: i for i in got}
+    assert len(got) == 8 and max(int(v[2:]) for v in got.values()) * 2 <= scoring.PART_BYTES
+    got = {r.id: r.response for r in scoring.invoke_model_concurrently(rows, "prompt", async_factory).collect()}
+    assert got == {i: None if i in (3, 5) else str(i) for i in range(9)}
+
+
 def test_spam_responses(spark):
     cases = {"spam": True, "It is ham": False, "spam, not ham": False, "": False}
     rows = spark.createDataFrame([(k,) for k in cases], "r string").select("r", scoring.spam_from_response(F.col("r")).alias("s"))
