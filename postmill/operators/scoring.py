@@ -65,6 +65,7 @@ PRODUCTS = [
     "Home Finance",
 ]
 THRESHOLD = 0.09
+TASK_BYTES = 4 << 20  # text whose words one task counts for summaries
 PART_BYTES = 2 << 20  # prompts that a worker holds as Python strings
 
 SPAM_PROMPT = (
@@ -262,12 +263,15 @@ def summaries(df: DataFrame, key: str, text: str, sentences: int = 3) -> DataFra
 
     The text is shuffled once by ``key`` (unique per row); everything after that groups and ranks
     within the same partitions, so no exploded word crosses the network. (The outer explode keeps
-    both readers of the shuffled text alike, so that Spark shuffles it once for both.)
+    both readers of the shuffled text alike, so that Spark shuffles it once for both.) A task's words take many times
+    the room of its text, so there are as many partitions as the texts have ``TASK_BYTES``; ``df`` is read once more to know them.
     """
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
     parts = F.filter(
         F.transform(F.split(text, r"[.!?]+"), lambda s: F.trim(F.regexp_replace(s, r"\s+", " "))), lambda s: s != ""
     )
-    base = df.select(key, F.coalesce(parts, F.array().cast("array<string>")).alias("_parts")).repartition(key)
+    base = df.select(key, F.coalesce(parts, F.array().cast("array<string>")).alias("_parts")).repartition(tasks, key)
     words = base.select(key, F.posexplode_outer("_parts").alias("_pos", "_part")).select(
         key, "_pos", F.explode(tokens(F.col("_part"))).alias("_word")
     )

@@ -227,6 +227,12 @@ def test_summaries_shuffle_the_text_once(spark):
     assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= 1
 
 
+def test_summaries_have_partitions_by_the_size_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "TASK_BYTES", 50, raising=False)
+    rows = spark.range(50).select("id", F.lit("one two. three two.").alias("text"))
+    assert "19), REPARTITION_BY_NUM" in plan(scoring.summaries(rows, "id", "text"))
+
+
 # --- topics -------------------------------------------------------------------------------------
 
 
