@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.functions.text import ngrams, tokens
 from postmill.operators.relate import NOISE_TOPIC
 from postmill.operators.scoring import BatchModel, invoke_model
 from postmill.operators.skew import HOT_FLOOR, lookup
+from postmill.sources.checkpoints import checkpointed
 
 # How many n-grams of each length a topic reports, and when it is described.
 TOP_NGRAMS = {1: 12, 2: 4, 3: 2}
+BUCKETS = 1 << 17  # counters of n-grams per topic and length
+LEADERS = 4  # buckets counted first, per n-gram asked for
 MIN_DESCRIBED = 5
 SAMPLES = 3
 
@@ -52,20 +56,43 @@ def topic_samples(assigned: DataFrame, n: int = SAMPLES, seed: int | None = 42)
 def word_frequencies(assigned: DataFrame, text: str = "clean_text", top: dict[int, int] | None = None) -> DataFrame:
     """(topic_id, word, frequency): the most frequent n-grams of each topic, noise included.
 
-    All lengths are counted in one pass with map-side combining; a gram's length is its number of
-    spaces plus one. Ties go to the smaller gram.
+    Ties go to the smaller gram. Distinct n-grams are far too many to shuffle, so they are counted by buckets of their hash first, at
+    most ``BUCKETS`` per topic and length, with map-side combining. A bucket's total is no less than the count of any gram in it. The
+    grams of each topic's largest buckets are counted exactly, which gives a frequency that the grams reported
+    reach at least; then those of all other buckets that reach it, if there are such. The result is exact. ``assigned`` is read two or three times.
     """
     top = TOP_NGRAMS if top is None else top
+    lengths = sorted(top)
     split = assigned.select("topic_id", tokens(F.col(text)).alias("_t"))
-    grams = split.select("topic_id", F.explode(F.concat(*[ngrams(F.col("_t"), n) for n in top])).alias("word"))
-    counts = grams.groupBy("topic_id", "word").agg(F.count(F.lit(1)).alias("frequency"))
-    counts = counts.withColumn("_n", F.length("word") - F.length(F.replace("word", F.lit(" "), F.lit(""))) + 1)
-    order = Window.partitionBy("topic_id", "_n").orderBy(F.desc("frequency"), "word")
-    ranked = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max(top.values()))
-    cap = F.lit(0)
-    for n, limit in top.items():
-        cap = F.when(F.col("_n") == n, limit).otherwise(cap)
-    return ranked.where(F.col("_rank") <= cap).select("topic_id", "word", "frequency")
+    each = split.select("topic_id", F.posexplode(F.array(*[ngrams(F.col("_t"), n) for n in lengths])).alias("_at", "_grams"))
+    grams = each.select("topic_id", "_at", F.explode("_grams").alias("word"))
+    grams = grams.withColumn("_bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int"))
+    cap = F.get(F.array(*[F.lit(top[n]) for n in lengths]), F.col("_at"))
+    group, bucket = ["topic_id", "_at"], ["topic_id", "_at", "_bucket"]
+
+    def counted(buckets: DataFrame) -> DataFrame:
+        found = grams.join(buckets, _same(grams, buckets, bucket), "left_semi")
+        return checkpointed(found.groupBy(*group, "word").agg(F.count(F.lit(1)).alias("frequency")))
+
+    totals = grams.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_total"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("_total"), "_bucket"))
+    totals = checkpointed(totals.withColumn("_place", place))
+    counts = counted(checkpointed(totals.where(F.col("_place") <= LEADERS * cap).select(*bucket)))
+    order = Window.partitionBy(*group).orderBy(F.desc("frequency"), "word")
+    least = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == cap)
+    least = checkpointed(least.select(*group, F.col("frequency").alias("_least")))
+    others = totals.where(F.col("_place") > LEADERS * cap)
+    reached = others.join(least, _same(others, least, group), "left").where(F.col("_total") >= F.coalesce("_least", F.lit(0)))
+    others = checkpointed(reached.select(*[others[c] for c in bucket]))
+    if not others.isEmpty():
+        counts = counts.unionByName(counted(others))
+    ranked = counts.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= cap)
+    return ranked.select("topic_id", "word", "frequency")
+
+
+def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
+    """Whether two frames agree in the columns, nulls included."""
+    return reduce(Column.__and__, [a[c].eqNullSafe(b[c]) for c in columns])
 
 
 def topic_descriptions(assigned: DataFrame, text: str = "clean_text", words: int = 3) -> DataFrame:

@@ -1,5 +1,6 @@
 """Frame operators on small frames, with hot keys forced where the plan differs for them."""
 
+import random
 import re
 from collections import Counter
 from datetime import datetime
@@ -253,6 +254,27 @@ def test_samples_are_limited_before_the_shuffle(assigned):
     assert "WindowGroupLimit" in plan(samples)
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 40, 1000])
+def test_word_frequencies_over_few_buckets(spark, monkeypatch, buckets):
+    monkeypatch.setattr(topics, "BUCKETS", buckets, raising=False)
+    monkeypatch.setattr(topics, "LEADERS", 1, raising=False)
+    rng = random.Random(buckets)
+    rows = [(t, " ".join(f"w{int(rng.random() ** 2 * 30):02}" for _ in range(n))) for t in (None, 1, 2) for n in (40, 0, 3, 200)]
+    got = topics.word_frequencies(spark.createDataFrame([*rows, (3, None), (4, "one")], "topic_id int, clean_text string"))
+    want = {(4, "one", 1)}
+    for t in (None, 1, 2):
+        for n, cap in topics.TOP_NGRAMS.items():
+            grams = [" ".join(w[i : i + n]) for k, text in rows if k == t for w in [text.split()] for i in range(len(w) - n + 1)]
+            want |= {(t, g, c) for g, c in sorted(Counter(grams).items(), key=lambda kv: (-kv[1], kv[0]))[:cap]}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_word_frequencies_shuffle_buckets_only(spark):
+    rows = spark.range(2000).select(F.lit(1).alias("topic_id"), F.concat_ws(" ", F.lit("aa bb cc dd ee ff gg hh ii jj kk ll mm"), F.col("id") + 10_000, F.col("id") + 20_000).alias("clean_text"))
+    files = topics.word_frequencies(rows).inputFiles()
+    assert 0 < spark.read.parquet(*files).count() < 1000  # of 12,000 distinct n-grams
+
+
 def test_word_frequencies(assigned):
     got = topics.word_frequencies(assigned).collect()
     want = {}
