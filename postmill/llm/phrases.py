@@ -15,7 +15,7 @@ from postmill.llm.arrays import get, new_folder, put
 from postmill.llm.common import _LOWER, blocks_for, give_back, mix, numbered, powers, prefix_hash, saved, slices_of, spread_lookup, text_or_empty
 from postmill.llm.ngrams import _find, _ranges
 
-SLICE = 4 << 20  # bytes of text that a worker handles at once
+SLICE = 1 << 20  # bytes of text that a worker handles at once; its arrays take some sixty times as much
 GROUP = 16 << 20  # bytes of text whose grams one group adds up
 FLUSH = 1_000_000  # grams, distinct in their slices, that a worker gathers before it passes them on
 WORDS = 1 << 20  # frequent words per file of the dictionary

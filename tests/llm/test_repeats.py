@@ -240,3 +240,19 @@ def test_phrases_of_odd_tables(spark):
     docs = spark.createDataFrame([("en es", "es", "x", 1, 1), ("es en", "en", "x", 1, 1)] * 2 + [("long " * 9000, None, "x", 1, 1)], schema)
     got = sorted(tuple(r) for r in phrases.collocations(docs, 2).select(*COLUMNS).collect())
     assert got == slow_collocations([(r.text, r.lang) for r in docs.collect()], 2, 2000)
+
+
+def test_a_slice_of_text_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from postmill.llm import phrases
+
+    texts = ["some words of a text, repeated. " * 8000] * 32  # 8 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 32)], names=["text", "lang"])
+    tracemalloc.start()
+    n = sum(len(tokens.key) for tokens in phrases._slices(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 32 * 8000 * 6 and peak < 120 << 20, peak >> 20
