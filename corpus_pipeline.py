@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the base rules and that the isolation forest, fitted here on labelled rows, accepts."""
     docs = docs.select(*COLUMNS)
     forest = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.judge(docs.withColumn("_kept_text", F.col("text")), forest, [*COLUMNS]).where("kept").select(*COLUMNS)
+    return quality.judge(docs, forest, [*COLUMNS]).where("kept").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,11 @@ def test_forest_verdict(spark):
     assert {(r.doc_id, r.kept, r.n_words) for r in clashing.collect()} == {(i, r.kept, r.n_words) for i, r in got.items()}
     assert quality.judge(docs.limit(0), forest).count() == 0
     assert quality.fit(docs.limit(0), labels).threshold >= quality.fit(docs, labels.limit(0)).threshold
+
+
+def test_verdict_takes_one_python_step(spark):
+    docs = spark.createDataFrame([(i, f"some {i} text " * 9) for i in range(20)], "doc_id long, text string")
+    judged = quality.judge(docs, quality.fit(docs, docs.select("doc_id", F.lit(1).alias("quality"))), ["doc_id", "text"])
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # a second one would keep a second worker for every core
+    assert {(r.doc_id, r.text, r.n_words) for r in judged.collect()} == {(i, f"some {i} text " * 9, 27) for i in range(20)}
