@@ -67,6 +67,19 @@ def test_density_cut(spark, radius, block_rows, floor):
     assert sizes == sorted(sizes, reverse=True)
 
 
+def test_density_cut_without_separation(spark, monkeypatch):
+    """Blocks of one large component are not compared with each other; long chains and their gaps are still found."""
+    monkeypatch.setattr(K, "_paired", None)
+    x = np.random.default_rng(5).normal(size=(300, 20))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found = labels_of(K.density_cut(frame(spark, x), "id", "v", 1.8, block_rows=10), len(x))
+    assert partition(found) == partition(brute_cut(x, 1.8, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)) == {frozenset(range(300))}
+    line = np.arange(200) * 0.2 + 1.1 * (np.arange(200) >= 120)
+    x = np.stack([line, np.zeros(200)], 1)
+    found = labels_of(K.density_cut(frame(spark, x), "id", "v", 1.0, block_rows=2), len(x))
+    assert partition(found) == partition(brute_cut(x, 1.0, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)) == {frozenset(range(120)), frozenset(range(120, 200))}
+
+
 def brute_topics(x, size, k):
     """The hierarchy over all pairs in plain Python; edges of one weight join all they touch at once."""
     part, power = np.frexp(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)))
