@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -11,22 +12,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PAIRS = 1 << 16
+_BEGIN, _END = 1 << 16, (1 << 16) + 256  # codes of the first and the last byte of a body follow those of the pairs
+PAIRS = _END + 256
 #: Charsets that a model tells apart unless it is given others. UTF-8 is not among them: a body is UTF-8 if it is valid.
 CANDIDATES = ("windows-1252", "windows-1251", "windows-1253", "windows-1255", "windows-1256", "iso-8859-2", "koi8-r", "shift_jis", "euc-jp", "euc-kr", "gb18030", "big5", "utf-16-le", "utf-16-be")
 FALLBACK = ("windows-1252",)
-_PRIOR = 0.05  # added to the count of each pair
+_PRIOR = 0.05  # added to the count of each byte
+_BACKOFF = 5.0  # weight of the bytes' own shares in the shares of what follows a byte
+_CONTROLS = re.compile(rb"[\x00-\x08\x0e-\x1f]")
 
 
-def _pairs(body: bytes) -> np.ndarray:
-    """The pairs of neighbouring bytes, the blank before and after the body included."""
-    data = np.frombuffer(b" " + body + b" ", dtype=np.uint8).astype(np.int64)
-    return data[:-1] << 8 | data[1:]
+def _pairs(body: bytes, marks: bool = True) -> np.ndarray:
+    """The pairs of neighbouring bytes and the codes of the first and last one; without marks the body stands between blanks."""
+    data = np.frombuffer(body if marks else b" " + body + b" ", dtype=np.uint8).astype(np.int64)
+    pairs = data[:-1] << 8 | data[1:]
+    return np.concatenate((pairs, _BEGIN + data[:1], _END + data[-1:])) if marks else pairs
 
 
 @dataclass(frozen=True)
 class CharsetModel:
-    """Log-likelihoods of all byte pairs, a row of 65,536 for each charset: a few megabytes, whatever it was trained on."""
+    """Log-likelihoods of a byte after another, first or last, a row of 66,048 for each charset: a few megabytes, whatever it was trained on."""
 
     names: tuple[str, ...]
     logs: np.ndarray
@@ -38,12 +43,13 @@ class CharsetModel:
         return [self.names[i] for i in np.argsort(-scores, kind="stable")]
 
 
-def pair_counts(bodies: DataFrame, candidates: Sequence[str] = CANDIDATES, body: str = "body", charset: str = "charset") -> DataFrame:
+def pair_counts(bodies: DataFrame, candidates: Sequence[str] = CANDIDATES, body: str = "body", charset: str = "charset", marks: bool = False) -> DataFrame:
     """(charset, pair, n): how often each byte pair occurs in the bodies that declare one of the candidates.
 
     Bodies that do not decode as declared teach nothing. Each body also counts in capitals, as some charsets have the
     small letters where others have the capital ones. Counts are summed per batch in the workers, so a charset that
-    most bodies declare costs at most 65,536 rows per batch. Save the result to train again with more bodies.
+    most bodies declare costs at most 66,048 rows per batch. Save the result, with ``marks`` of the first and last
+    bytes, to train again with more bodies.
     """
     names = [n.lower() for n in candidates]
 
@@ -58,7 +64,7 @@ def pair_counts(bodies: DataFrame, candidates: Sequence[str] = CANDIDATES, body:
                     continue
                 own = sums.setdefault(name, np.zeros(PAIRS, dtype=np.int64))
                 for form in forms:
-                    pairs, times = np.unique(_pairs(form), return_counts=True)
+                    pairs, times = np.unique(_pairs(form, marks), return_counts=True)
                     own[pairs] += times
             for name, own in sums.items():
                 seen = np.flatnonzero(own)
@@ -71,21 +77,28 @@ def pair_counts(bodies: DataFrame, candidates: Sequence[str] = CANDIDATES, body:
 
 
 def model_of(counts: DataFrame) -> CharsetModel:
-    """The model of pair counts. They have at most 65,536 rows per charset, so they fit the driver whatever was counted."""
+    """The model of pair counts. They have at most 66,048 rows per charset, so they fit the driver whatever was counted.
+
+    It holds the shares of what follows a byte, not those of pairs, which would weigh every byte of a body twice.
+    """
     rows = counts.toPandas()
     names = tuple(sorted(rows["charset"].unique()))
     logs = np.zeros((len(names), PAIRS), dtype=np.float32)
     for i, name in enumerate(names):
         own = rows[rows["charset"] == name]
-        n = np.full(PAIRS, _PRIOR)
-        n[own["pair"].to_numpy(dtype=np.int64)] += own["n"].to_numpy(dtype=np.float64)
-        logs[i] = np.log(n / n.sum())
+        n = np.zeros(PAIRS)
+        n[own["pair"].to_numpy(dtype=np.int64)] = own["n"].to_numpy(dtype=np.float64)
+        follows = np.zeros((257, 257))  # the last row: the body begins; the last column: it ends
+        follows[:256, :256], follows[256, :256], follows[:256, 256] = n[:_BEGIN].reshape(256, 256), n[_BEGIN:_END], n[_END:]
+        share = follows.sum(0) + _PRIOR
+        share = np.log((follows + _BACKOFF * share / share.sum()) / (follows.sum(1)[:, None] + _BACKOFF))
+        logs[i] = np.concatenate((share[:256, :256].ravel(), share[256, :256], share[:256, 256]))
     return CharsetModel(names, logs)
 
 
 def train(bodies: DataFrame, candidates: Sequence[str] = CANDIDATES, body: str = "body", charset: str = "charset") -> CharsetModel:
     """Learn from bodies that declare their charset, as most mails do; null bodies and charsets are left out."""
-    return model_of(pair_counts(bodies, candidates, body, charset))
+    return model_of(pair_counts(bodies, candidates, body, charset, marks=True))
 
 
 def decode(body: bytes, declared: str | None, model: CharsetModel | None = None) -> tuple[str, str]:
@@ -93,10 +106,12 @@ def decode(body: bytes, declared: str | None, model: CharsetModel | None = None)
 
     The declared charset comes first if it is known and fits the bytes, then UTF-8 (a body with a NUL is not
     taken for it unless declared), then the model's charsets by likelihood, the first that fits. If none does, the first one
-    is used and what it cannot read is replaced.
+    is used and what it cannot read is replaced. Control characters are letters' halves in UTF-16 beyond Latin: a body that
+    has some and is likeliest UTF-16 is taken for it before UTF-8.
     """
     others = model.ranked(body) if model and model.names else list(FALLBACK)
     tried = [declared] if declared else []
+    tried += others[:1] if others[0].startswith("utf-16") and _CONTROLS.search(body) else []
     tried += ["utf-8"] if b"\0" not in body else []
     for name in [*tried, *others]:
         try:
@@ -110,9 +125,9 @@ _UTF8 = ("utf-8", "utf8", "us-ascii", "ascii")
 
 
 def is_plain_utf8(body: Column, charset: Column) -> Column:
-    """Bodies that need no Python: declared UTF-8 or nothing, and valid; undeclared ones hold no NUL."""
+    """Bodies that need no Python: declared UTF-8 or nothing, and valid; undeclared ones hold no control characters but blanks."""
     valid = F.is_valid_utf8(body.cast("string"))
-    fits = F.when(charset.isNull(), ~F.contains(body, F.lit(b"\0"))).otherwise(F.lower(charset).isin(*_UTF8))
+    fits = F.when(charset.isNull(), ~body.cast("string").rlike(r"[\x00-\x08\x0e-\x1f]")).otherwise(F.lower(charset).isin(*_UTF8))
     return F.coalesce(fits & valid, F.lit(False))
 
 

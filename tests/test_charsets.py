@@ -52,6 +52,29 @@ def test_model_counts_only_what_decodes(spark, model):
     assert none.names == () and charsets.decode(b"\xe9", None, none) == ("windows-1252", "é")
 
 
+def test_utf16_without_ascii_is_not_taken_for_utf8(spark, model):
+    """Letters beyond Latin have no NUL in UTF-16: 04 3F 04 40 is valid UTF-8 as well. Control characters alone change nothing."""
+    rows = [("привет".encode("utf-16-be"), "utf-16-be", "привет"), (b"bonjour \x04?", "utf-8", "bonjour \x04?"), ("été\x1f".encode(), "utf-8", "été\x1f")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, b binary, c string, w string")
+    got = df.select("c", "w", charsets.detected(F.col("b"), F.lit(None).cast("string"), model).alias("d")).orderBy("i").collect()
+    assert [(r.d.charset, r.d.text) for r in got] == [(r.c, r.w) for r in got]
+    assert charsets.decode(rows[0][0], None) == ("utf-8", rows[0][0].decode())
+
+
+def test_first_and_last_bytes_tell_short_bodies(spark):
+    """Bodies begin with a capital letter, words do not: the bytes of "Со." in windows-1251 are "яН." in koi8-r."""
+    words = "я он на со но да по от ты мы".split()
+    rng = random.Random(7)
+    rows = [(" ".join(rng.choices(words, k=30)).capitalize() + ".", n) for n in ("koi8-r", "windows-1251") for _ in range(40)]
+    rows += [(" ".join(rng.choices(["12", "7", "305"], k=9)) + " é", n) for n in ("utf-16-le", "utf-16-be") for _ in range(5)]
+    model = charsets.train(spark.createDataFrame([(t.encode(n), n) for t, n in rows], "body binary, charset string"))
+    for text in ("Со.", "На.", "Я.", "Ты."):
+        for name in ("koi8-r", "windows-1251"):
+            assert charsets.decode(text.encode(name), None, model) == (name, text)
+    for name in ("utf-16-le", "utf-16-be"):
+        assert charsets.decode("7".encode(name), None, model) == (name, "7")
+
+
 def test_declared_charset_comes_first(spark, model):
     koi = "письмо".encode("koi8-r")
     rows = [
