@@ -151,6 +151,57 @@ def test_topics_of_unseparated_vectors(spark):
     assert len(want) > 3 and (found == -1).sum() > 100 and partition(found) == {frozenset(w) for w in want}
 
 
+def far_apart(rng, sizes=(90, 70, 60), dims=12):
+    """Clusters whose points are all about as far from each other, 0.3 times a unit vector beside the cluster's mark."""
+    parts = []
+    for i, n in enumerate(sizes):
+        unit = rng.normal(size=(n, dims))
+        marks = np.zeros((n, len(sizes)))
+        marks[:, i] = 1
+        parts.append(np.hstack([0.3 * unit / np.linalg.norm(unit, axis=1)[:, None], marks]))
+    return np.vstack(parts)
+
+
+@pytest.mark.parametrize("block_rows,close_rows", [(1000, 8000), (25, 20)])
+def test_topics_far_apart_need_no_tree(spark, monkeypatch, block_rows, close_rows):
+    monkeypatch.setattr(K, "CLOSE_ROWS", close_rows, raising=False)
+    monkeypatch.setattr(K, "_spanning_tree", None)
+    x = far_apart(np.random.default_rng(3))
+    found = labels_of(K.topics(frame(spark, x), "id", "v", block_rows=block_rows), len(x))
+    assert {frozenset(w) for w in brute_topics(x, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)} == partition(found)
+    copies = np.vstack([x, np.repeat(x[:3], 8, axis=0)])  # nine copies are no cluster
+    found = labels_of(K.topics(frame(spark, copies), "id", "v", block_rows=block_rows), len(copies))
+    assert sorted(map(len, partition(found))) == [60, 70, 114]
+
+
+def _denser_inside(x, rng):
+    """In each cluster two groups of near copies, more stable than what holds them."""
+    near = [x[i] + rng.normal(0, 1e-4, (12, x.shape[1])) for i in (0, 5, 95, 99, 170, 175)]
+    return np.vstack([x, *near])
+
+
+@pytest.mark.parametrize("case", ["denser inside", "noise", "near", "nested"])
+def test_topics_that_are_not_proved_are_drawn(spark, case):
+    """Where clusters inside are more stable, a point is far from all, or clusters are not far apart, the tree decides."""
+    rng = np.random.default_rng(8)
+    x = far_apart(rng)
+    if case == "denser inside":
+        x = _denser_inside(x, rng)
+    elif case == "noise":
+        x = np.vstack([x, [[0.0] * 12 + [3.0, 3.0, 3.0]]])
+    elif case == "near":
+        x[:, 12:] *= 0.25
+    else:  # pairs of clusters that are more stable together
+        x[:, 12:] *= 0.4
+        x = np.vstack([x, x + np.array([0.0] * 12 + [40.0, 0.0, 0.0])])
+    points, cells = K._place(K._points(K._prepare(frame(spark, x), "id", "v"), "_v"), 1000)
+    settled = K._settled(points, cells, K.MIN_SAMPLES, K.MIN_CLUSTER_SIZE, 1000, 100_000)
+    found = labels_of(K.topics(frame(spark, x), "id", "v"), len(x))
+    want = {frozenset(w) for w in brute_topics(x, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)}
+    assert partition(found) == want
+    assert settled is None or case == "nested"
+
+
 def test_spanning_forest_in_rounds(spark):
     rng = np.random.default_rng(4)
     rows = [(f"n{a}", f"n{b}", float(rng.integers(0, 40))) for a, b in rng.integers(0, 60, (500, 2)) if a != b]
