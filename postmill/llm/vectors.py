@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,23 +11,24 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
-from postmill.llm.common import saved, spread_lookup
+from postmill.llm.common import saved, shuffles_removed, spread_lookup
 from postmill.llm.graph import components
 
-LONGS = ArrayType(LongType())
 COSINE = 0.98
-#: Vectors that one graph holds; a larger shard is cut into blocks, and its queries search every block.
-BLOCK = 1000
+#: Vectors that one graph holds; a larger shard is cut into blocks, and its visitors search every block, so many to a task.
+BLOCK, ASKERS = 1000, 4000
+#: Vectors handed out for search at a time, times the table; the rest of the shards wait for the next round.
+ROUND, MAX_ROUNDS = 1.5, 64
 #: Centres are fitted on at most so many rows, and there are at most so many of them.
 FIT_ROWS, MAX_CENTRES = 20_000, 4096
-#: A vector also joins every shard whose boundary is nearer than this. Two linked vectors are at most
+#: A vector also visits every shard whose boundary is nearer than this. Two linked vectors are at most
 #: 0.2 apart, in a direction that is rarely that of the boundary's normal; the audit measures the loss.
 OVERLAP = 0.1
 POOL, RANDOM_POOL, DEGREE, ALPHA = 40, 12, 24, 1.2
 BEAM, MEDOIDS, SLACK = 24, 8, 0.04
 AUDIT = 256  # queries of the recall audit
+NAME = ["_high", "_low"]
 
 
 def unit(rows) -> np.ndarray:
@@ -78,20 +81,24 @@ def build_graph(x: np.ndarray, seed: int = 5) -> tuple[list[np.ndarray], np.ndar
 def range_search(x: np.ndarray, padded: np.ndarray, entries: np.ndarray, queries: np.ndarray, cosine: float = COSINE) -> np.ndarray:
     """found[q, i]: rows within range, by a greedy beam search that then spreads through the range.
 
-    The beam walks from the medoids towards each query. From then on all rows seen within the range,
-    or by SLACK short of it, are expanded until no new ones turn up, so a range may hold any number.
+    The beam walks from the medoids towards each query, all its open rows at a step. From then on all rows seen within the range,
+    or by SLACK short of it, are expanded until no new ones turn up, so a range may hold any number. Cosines are computed
+    pair by pair while few are looked at, by one matrix product once that is cheaper.
     """
     n, q = len(x), len(queries)
     seen = np.zeros((q, n), dtype=bool)
     expanded = np.zeros((q, n), dtype=bool)
     sims = np.full((q, n), -2.0)
+    product: list[np.ndarray] = []
 
     def look(new: np.ndarray) -> None:
         new &= ~seen
         a, b = np.nonzero(new)
+        if not product and len(a) > q * n // 20:
+            product.append(queries @ x.T)
         for s in range(0, len(a), 200_000):
             i, j = a[s : s + 200_000], b[s : s + 200_000]
-            sims[i, j] = np.einsum("ij,ij->i", queries[i], x[j])
+            sims[i, j] = product[0][i, j] if product else np.einsum("ij,ij->i", queries[i], x[j])
         seen[a, b] = True
 
     def neighbours(rows: np.ndarray, items: np.ndarray) -> np.ndarray:
@@ -107,13 +114,11 @@ def range_search(x: np.ndarray, padded: np.ndarray, entries: np.ndarray, queries
     beam = min(BEAM, n)
     for _ in range(n):
         floor = -np.partition(-sims, beam - 1, axis=1)[:, beam - 1]
-        ready = np.where(seen & ~expanded & (sims >= floor[:, None]), sims, -3.0)
-        best = ready.argmax(1)
-        rows = np.flatnonzero(ready[np.arange(q), best] > -3.0)
+        rows, items = np.nonzero(seen & ~expanded & (sims >= floor[:, None]))
         if not len(rows):
             break
-        expanded[rows, best[rows]] = True
-        look(neighbours(rows, best[rows]))
+        expanded[rows, items] = True
+        look(neighbours(rows, items))
     while True:
         rows, items = np.nonzero((sims >= cosine - SLACK) & ~expanded)
         if not len(rows):
@@ -126,11 +131,23 @@ def range_search(x: np.ndarray, padded: np.ndarray, entries: np.ndarray, queries
 # --- jobs ---------------------------------------------------------------------------------------
 
 
-def comparable() -> Column:
-    """Rows that can have links: a label, and a finite vector that is not zero."""
+def _comparable_vector() -> Column:
     big = F.lit(float("inf"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < big))
-    return F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
+    return F.coalesce(F.col("label").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
+
+
+def comparable() -> Column:
+    """Rows that can have links: a label, and a finite vector that is not zero."""
+    return _comparable_vector() & F.col("vec_id").isNotNull()
+
+
+def _named() -> tuple[Column, Column]:
+    """128 bits of two hashes that stand for label and vector where rows meet their class, so that vectors are not shuffled again.
+
+    Among n different vectors two agree with odds of n² / 2^129. Null where a row has no class.
+    """
+    return tuple(F.when(_comparable_vector(), F.xxhash64(F.lit(seed), "label", "embedding")) for seed in (1, 2))
 
 
 def _centres(classes: DataFrame) -> dict[tuple, np.ndarray]:
@@ -160,67 +177,57 @@ def _centres(classes: DataFrame) -> dict[tuple, np.ndarray]:
     return out
 
 
-def _sharded(classes: DataFrame, centres: dict[tuple, np.ndarray], overlap: float) -> DataFrame:
-    """(label, dims, shard, id, weight, embedding, own): one row per vector and shard; own in its nearest one."""
-    schema = classes.select("label", "dims").schema.add("shard", "integer")
-    for f in classes.select("id", "weight", "embedding").schema:
+def _visits(classes: DataFrame, centres: dict[tuple, np.ndarray], overlap: float, rounds: int = 1, turn: int = 0, full: bool = True) -> DataFrame:
+    """(label, dims, shard, own) and, if ``full``, (id, weight, embedding): one row per vector and shard of this turn; own in its nearest one."""
+    schema = classes.select("label", "dims").schema.add("shard", "integer").add("own", "boolean")
+    columns = ["id", "weight", "embedding"] if full else []
+    for f in classes.select(*columns).schema:
         schema = schema.add(f)
-    schema = schema.add("own", "boolean")
+    squares = {key: (centre**2).sum(1) for key, centre in centres.items()}
+    gaps = {key: np.sqrt(np.maximum(0, squares[key][:, None] + squares[key][None, :] - 2 * centre @ centre.T)) for key, centre in centres.items()}
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label, dims = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            row, shard, own = [], [], []
+            none = np.zeros(0, dtype=np.int64)
+            row, shard, own = [none], [none], [none.astype(bool)]
             groups: dict[tuple, list[int]] = {}
             for i, key in enumerate(zip(label, dims, strict=True)):
                 groups.setdefault(key, []).append(i)
             for key, items in groups.items():
+                start = zlib.crc32(repr(key).encode())
+                at = np.array(items)
                 if key not in centres:
-                    row += items
-                    shard += [0] * len(items)
-                    own += [True] * len(items)
+                    if start % rounds == turn:
+                        row, shard, own = [*row, at], [*shard, np.zeros_like(at)], [*own, np.ones(len(at), dtype=bool)]
                     continue
                 centre = centres[key]
-                x = unit([batch.column(4)[i].values.to_numpy(zero_copy_only=False) for i in items])
-                score = x @ centre.T - (centre**2).sum(1) / 2
+                x = unit(batch.column(2).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1))
+                score = x @ centre.T - squares[key] / 2
                 first = score.argmax(1)
-                square = (centre**2).sum(1)
-                gap = np.sqrt(np.maximum(0, square[first][:, None] + square[None, :] - 2 * centre[first] @ centre.T))
-                margin = (score[np.arange(len(items)), first][:, None] - score) / np.maximum(gap, 1e-12)
-                a, b = np.nonzero(margin <= overlap)
-                row += [items[i] for i in a.tolist()]
-                shard += b.tolist()
-                own += (b == first[a]).tolist()
-            at = pa.array(row, pa.int64())
-            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(shard, pa.int32()), *[batch.column(i).take(at) for i in (2, 3, 4)], pa.array(own)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return classes.select("label", "dims", "id", "weight", "embedding").mapInArrow(assign, schema)
+                margin = (score[np.arange(len(at)), first][:, None] - score) / np.maximum(gaps[key][first], 1e-12)
+                a, b = np.nonzero((margin <= overlap) & ((start + np.arange(len(centre))) % rounds == turn))
+                row, shard, own = [*row, at[a]], [*shard, b], [*own, b == first[a]]
+            at = pa.array(np.concatenate(row))
+            out = [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(shard), pa.int32()), pa.array(np.concatenate(own))]
+            yield pa.RecordBatch.from_arrays(out + [batch.column(i).take(at) for i in (3, 4, 2)[: len(columns)]], names=schema.names)
 
-
-def _graph_of_block(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values("id", ignore_index=True)
-    ids = frame["id"].to_numpy()
-    near, medoids = build_graph(unit(frame["embedding"]))
-    entry = np.zeros(len(ids), dtype=bool)
-    entry[medoids] = True
-    return pd.DataFrame({"label": frame["label"], "dims": frame["dims"], "shard": frame["shard"], "block": frame["block"], "id": ids, "near": [ids[a].tolist() for a in near], "entry": entry})
+    return classes.select("label", "dims", "embedding", "id", "weight").mapInArrow(assign, schema)
 
 
 def _search_block(frame: pd.DataFrame) -> pd.DataFrame:
-    """Per query the weight of the vectors found; and links to a root that connect all that is linked here."""
-    index = frame[~frame["query"]].sort_values("id", ignore_index=True)
-    asked = frame[frame["query"]].sort_values("id", ignore_index=True)
+    """A graph on the block's own vectors, asked by its visitors: per query the weight found, and links to a root that connect all that is linked here."""
+    index = frame[frame["indexed"]].sort_values("id", ignore_index=True)
+    asked = frame[frame["asks"]].sort_values("id", ignore_index=True)
     if not len(index) or not len(asked):
         return pd.DataFrame({"id": [], "links": [], "root": []}).astype("int64")
     ids, queries = index["id"].to_numpy(), asked["id"].to_numpy()
     x, q = unit(index["embedding"]), unit(asked["embedding"])
-    near = [np.flatnonzero(np.isin(ids, a)) if len(a) > 60 else _places(ids, np.asarray(a, dtype=np.int64)) for a in index["near"]]
+    near, entries = build_graph(x)
     width = max(1, max(len(a) for a in near))
     padded = np.full((len(ids), width), len(ids), dtype=np.int64)
     for i, a in enumerate(near):
         padded[i, : len(a)] = a
-    entries = np.flatnonzero(index["entry"].to_numpy())
     weight = index["weight"].to_numpy()
     links = np.zeros(len(queries), dtype=np.int64)
     every = np.unique(np.concatenate((ids, queries)))
@@ -240,27 +247,33 @@ def _search_block(frame: pd.DataFrame) -> pd.DataFrame:
     return out[(out["links"] > 0) | (out["root"] != out["id"])]
 
 
-def _places(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
-    return at[ids[at] == wanted]
-
-
 def links(classes: DataFrame, overlap: float = OVERLAP) -> DataFrame:
-    """(id, links, root) rows: links add up per id; each row with another root is an edge."""
-    placed = saved(_sharded(classes, _centres(classes), overlap))
+    """(id, links, root) rows: links add up per id; each row with another root is an edge.
+
+    A vector belongs to the graph of its nearest shard and visits all shards in reach, its own included, to search them. Shards
+    take turns, so that the vectors handed out at a time are about ``ROUND`` times the table however many visits there are.
+    """
     keys = ["label", "dims", "shard"]
-    sizes = placed.groupBy(*keys).agg((F.count(F.lit(1)) / BLOCK).cast("int").alias("_more"))
-    blocks = F.col("_more") + 1
-    cut = saved(placed.join(sizes, keys).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")))
-    schema = cut.select(*keys, "block", "id").schema.add("near", LONGS).add("entry", "boolean")
-    graphs = saved(cut.groupBy(*keys, "block").applyInPandas(_graph_of_block, schema))
-    # The union of a vector's lists from all its shards; a search uses what lies in its own shard.
-    union = graphs.select("id", F.explode("near").alias("to")).distinct().groupBy("id").agg(F.collect_list("to").alias("near"))
-    entries = graphs.select(*keys, "block", "id", "entry")
-    index = cut.join(entries, [*keys, "block", "id"]).join(union, "id", "left")
-    index = index.select(*keys, "block", F.explode(F.sequence(F.lit(0), F.col("_more"))).alias("ask"), "id", "weight", "embedding", F.coalesce("near", F.array().cast("array<bigint>")).alias("near"), "entry", F.lit(False).alias("query"))
-    asked = cut.where("own").select(*keys, F.explode(F.sequence(F.lit(0), F.col("_more"))).alias("block"), F.col("block").alias("ask"), "id", "weight", "embedding", F.array().cast("array<bigint>").alias("near"), F.lit(False).alias("entry"), F.lit(True).alias("query"))
-    return index.unionByName(asked).groupBy(*keys, "block", "ask").applyInPandas(_search_block, "id long, links long, root long")
+    centres = _centres(classes)
+    sizes = _visits(classes, centres, overlap, full=False).groupBy(*keys).agg(F.sum(F.col("own").cast("long")).alias("_own"), F.count(F.lit(1)).alias("_all"))
+    sizes = sizes.select(*keys, (F.col("_own") / BLOCK).cast("int").alias("_blocks"), (F.col("_all") / ASKERS).cast("int").alias("_asks"), "_own", "_all")
+    sizes = saved(sizes)
+    total = sizes.agg(F.sum("_own"), F.sum(F.col("_all") * (F.col("_blocks") + 1) + F.col("_own") * F.col("_asks"))).first()
+    rounds = min(MAX_ROUNDS, max(1, math.ceil((total[1] or 0) / (ROUND * (total[0] or 1)))))
+    large = saved(sizes.where("_blocks > 0 or _asks > 0").drop("_own", "_all"))
+    none = F.lit(False)
+    out = None
+    for turn in range(rounds):
+        visits = _visits(classes, centres, overlap, rounds, turn).join(large, keys, "left").fillna(0, ["_blocks", "_asks"])
+        place = lambda n: F.pmod(F.xxhash64("id"), F.col(n) + 1).cast("int")
+        visits = visits.withColumn("block", place("_blocks")).withColumn("ask", place("_asks"))
+        graph = F.transform(F.sequence(F.lit(0), F.col("_asks")), lambda a: F.struct(F.col("block").alias("block"), a.alias("ask"), F.lit(True).alias("indexed"), (a == F.col("ask")).alias("asks")))
+        search = F.transform(F.sequence(F.lit(0), F.col("_blocks")), lambda b: F.struct(b.alias("block"), F.col("ask").alias("ask"), none.alias("indexed"), F.lit(True).alias("asks")))
+        tasks = F.when(F.col("own"), F.concat(graph, F.filter(search, lambda t: t["block"] != F.col("block")))).otherwise(search)
+        each = visits.select(*keys, "id", "weight", "embedding", F.explode(tasks).alias("t")).select(*keys, "t.*", "id", "weight", "embedding")
+        found = saved(each.groupBy(*keys, "block", "ask").applyInPandas(_search_block, "id long, links long, root long"))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def recall(classes: DataFrame, found: DataFrame, queries: int = AUDIT) -> float:
@@ -306,22 +319,24 @@ def near_duplicates(vectors: DataFrame, least_recall: float = 0.98) -> DataFrame
     gives no rows; other columns are ignored.
     """
     rows = vectors.select("vec_id", "label", "embedding").withColumn("_ok", comparable())
-    shape = ["label", "embedding"]
-    classes = rows.where("_ok").groupBy(*shape).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
-    classes = saved(classes.withColumn("dims", F.size("embedding")))
-    overlap = OVERLAP
-    for _ in range(3):
-        found = saved(links(classes, overlap))
-        measured = recall(classes, found)
-        if measured >= least_recall:
-            break
-        overlap *= 2
-    else:
-        raise RuntimeError(f"recall of {measured:.3f} is below {least_recall}")
-    edges = found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-    counts = found.groupBy("id").agg(F.sum("links").alias("_links"))
-    joined = classes.join(counts, "id", "left").join(components(edges), "id", "left")
-    about = joined.select(*shape, (F.col("weight") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"), F.coalesce("component", "id").alias("_component"))
-    out = spread_lookup(rows, saved(about), shape, [F.col("vec_id")])
+    rows = rows.withColumns(dict(zip(NAME, _named(), strict=True)))
+    classes = rows.where("_ok").groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
+    with shuffles_removed(vectors.sparkSession):
+        classes = saved(classes.withColumn("dims", F.size("embedding")))
+        overlap = OVERLAP
+        for _ in range(3):
+            found = links(classes, overlap)
+            measured = recall(classes, found)
+            if measured >= least_recall:
+                break
+            overlap *= 2
+        else:
+            raise RuntimeError(f"recall of {measured:.3f} is below {least_recall}")
+        edges = found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+        counts = found.groupBy("id").agg(F.sum("links").alias("_links"))
+        named = classes.select("id", "weight", *[name.alias(n) for n, name in zip(NAME, _named(), strict=True)])
+        joined = named.join(counts, "id", "left").join(components(edges), "id", "left")
+        about = saved(joined.select(*NAME, (F.col("weight") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"), F.coalesce("component", "id").alias("_component")))
+    out = spread_lookup(rows.select("vec_id", *NAME), about, NAME, [F.col("vec_id")])
     out = out.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -187,6 +187,30 @@ def test_audit_asks_for_links_between_different_vectors(spark):
     assert vectors.recall(classes.where("id < 40"), whole.limit(0)) == 1 and vectors.recall(classes.limit(0), whole) == 1
 
 
+def test_vectors_are_handed_out_in_rounds_and_never_stored_by_shard(spark, monkeypatch):
+    for name, value in (("BLOCK", 60), ("ASKERS", 80), ("ROUND", 0.7)):
+        monkeypatch.setattr(vectors, name, value, raising=False)
+    stored, save = [], vectors.saved
+    monkeypatch.setattr(vectors, "saved", lambda df: stored.append(df.columns) or save(df))
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 24))
+    x[100:260] = x[99] + rng.normal(size=(160, 24)) * 0.03  # more than a block holds, nearer to each other than shards are
+    x[300:600:2] = x[301:600:2] * 3 + rng.normal(size=(150, 24)) * 0.03
+    rows = [(i, x[i].tolist(), "ab"[i % 5 == 0]) for i in range(900)] + [(i + 2000, x[i].tolist(), "b") for i in range(0, 40, 5)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: r for r in vectors.near_duplicates(table).collect()}
+    u = np.array([r[1] for r in rows])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (u @ u.T >= 0.98) & (label[:, None] == label[None, :])
+    reach = np.linalg.matrix_power(near.astype(float), 4) > 0
+    ids = np.array([r[0] for r in rows])
+    assert [got[i].n_links for i in ids] == (near.sum(1) - 1).tolist()
+    assert [got[i].component_id for i in ids] == [int(ids[r].min()) for r in reach]
+    assert sum("embedding" in c for c in stored) == 1 and not any("near" in c for c in stored)  # the table of classes
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") != "true"
+
+
 def test_vectors_of_an_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
     assert vectors.near_duplicates(none).collect() == []
