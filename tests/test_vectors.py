@@ -202,6 +202,34 @@ def test_topics_that_are_not_proved_are_drawn(spark, case):
     assert settled is None or case == "nested"
 
 
+@pytest.mark.parametrize("rows,task_edges", [(3000, 200_000), (40, 60)])
+def test_topics_with_near_copies_are_drawn_in_each_component(spark, monkeypatch, rows, task_edges):
+    """Groups of near copies that are more stable than what holds them need no tree of all points, and give what it gives."""
+    for name in ("TREE_ROWS", "CLOSE_ROWS"):
+        monkeypatch.setattr(K, name, rows, raising=False)
+    rng = np.random.default_rng(8)
+    x = far_apart(rng, sizes=(150, 90, 70))
+    x = np.vstack([x, *[x[i] + rng.normal(0, 3e-3, (n, x.shape[1])) * (np.arange(x.shape[1]) < 12) for i, n in ((0, 40), (155, 12), (170, 14))]])
+    want = {frozenset(w) for w in brute_topics(x, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)}
+    whole = labels_of(K.topics(frame(spark, x), "id", "v", task_edges=task_edges), len(x))
+    monkeypatch.setattr(K, "_core_distances", None)
+    monkeypatch.setattr(K, "_spanning_tree", None)
+    found = labels_of(K.topics(frame(spark, x), "id", "v", task_edges=task_edges), len(x))
+    assert partition(found) == want and (found == whole).all() and 0 < (found == -1).sum() < len(x)
+
+
+def test_components_whose_birth_decides_are_drawn_whole(spark, monkeypatch):
+    """Where bounds of the distance between components choose differently, the tree of all points decides."""
+    rng = np.random.default_rng(8)
+    x = far_apart(rng, sizes=(150, 90, 70))
+    x = np.vstack([x, x[0] + rng.normal(0, 3e-3, (40, x.shape[1])) * (np.arange(x.shape[1]) < 12)])
+    homes = [[("a", "a")], [("b", "a")]]
+    chosen = K._chosen
+    monkeypatch.setattr(K, "_chosen", lambda c, *a: spark.createDataFrame(homes.pop(0), "cluster string, home string") if homes else chosen(c, *a))
+    found = labels_of(K.topics(frame(spark, x), "id", "v"), len(x))
+    assert not homes and partition(found) == {frozenset(w) for w in brute_topics(x, K.MIN_CLUSTER_SIZE, K.MIN_SAMPLES)}
+
+
 def test_spanning_forest_in_rounds(spark):
     rng = np.random.default_rng(4)
     rows = [(f"n{a}", f"n{b}", float(rng.integers(0, 40))) for a, b in rng.integers(0, 60, (500, 2)) if a != b]
